@@ -19,11 +19,15 @@ PIXEL_VARIANCE = 1.0 / 12.0
 
 def shape_moments(labels: DataFrame, keys: Sequence[str] = tuple(IL),
                   pixel_variance: float = PIXEL_VARIANCE) -> DataFrame:
-    """Area, box, centroid, axes, eccentricity and orientation from one pass of sums."""
+    """Area, box, centroid, axes, eccentricity and orientation from one pass of sums.
+
+    Moments are rounded to nine digits: an axis-aligned object has a covariance of exactly 0, and
+    summation noise must not choose the sign of its orientation.
+    """
     y, x = F.col("y"), F.col("x")
     s = labels.where("label > 0").groupBy(*keys).agg(
         F.count(F.lit(1)).alias("area"), F.avg(y).alias("centroid-0"), F.avg(x).alias("centroid-1"),
-        F.var_pop(y).alias("_yy"), F.var_pop(x).alias("_xx"), F.covar_pop(y, x).alias("_xy"),
+        *[F.round(m, 9).alias(n) for n, m in (("_yy", F.var_pop(y)), ("_xx", F.var_pop(x)), ("_xy", F.covar_pop(y, x)))],
         F.min(y).alias("bbox-0"), F.min(x).alias("bbox-1"),
         (F.max(y) + 1).alias("bbox-2"), (F.max(x) + 1).alias("bbox-3"))
     a, c, b = F.col("_yy") + pixel_variance, F.col("_xx") + pixel_variance, F.col("_xy")
@@ -143,7 +147,7 @@ def hull_features(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFra
     rows = labels.where("label > 0").groupBy(*keys, "y").agg(
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.count(F.lit(1)).alias("n"))
     names = list(keys)
-    schema = rows.select(*keys).schema.add("area_convex", "bigint").add("solidity", "double") \
+    schema = rows.select(*keys).schema.add("area_convex", "long").add("solidity", "double") \
         .add("feret_diameter_max", "double")
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -187,7 +191,7 @@ def filled_area(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame
     rows = (gaps.withColumn("gap", F.lit(True))
             .unionByName(extent.join(gaps.select(*keys).distinct(), list(keys), "left_semi")
                          .withColumn("gap", F.lit(False))))
-    schema = gaps.select(*keys).schema.add("holes", "bigint")
+    schema = gaps.select(*keys).schema.add("holes", "long")
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         extents = {r.y: (r.g0, r.g1) for r in pdf[~pdf["gap"]].itertuples()}

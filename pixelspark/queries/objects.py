@@ -178,10 +178,10 @@ _ROOT = "sqrt(pow((a - c) / 2, 2) + b * b)"
  {r(f'4 * sqrt((a + c) / 2 + {_ROOT})')} AS axis_major_length,
  {r(f'4 * sqrt(greatest((a + c) / 2 - {_ROOT}, 0))')} AS axis_minor_length,
  {r(f'sqrt(greatest(1 - ((a + c) / 2 - {_ROOT}) / ((a + c) / 2 + {_ROOT}), 0))')} AS eccentricity,
- {r('CASE WHEN abs(a - c) < 1e-12 THEN CASE WHEN b > 1e-12 THEN pi() / 4 ELSE -pi() / 4 END ELSE atan2(2 * b, a - c) / 2 END')} AS orientation
+ {r('CASE WHEN abs(a - c) < 1e-12 THEN CASE WHEN b > 0 THEN pi() / 4 ELSE -pi() / 4 END ELSE atan2(2 * b, a - c) / 2 END')} AS orientation
  FROM (SELECT image_id, label, count(*) AS area, avg(y) AS cy, avg(x) AS cx, min(y) AS y0, min(x) AS x0,
- (max(y) + 1)::INT AS y1, (max(x) + 1)::INT AS x1, var_pop(y) + 1.0::DOUBLE / 12 AS a, var_pop(x) + 1.0::DOUBLE / 12 AS c,
- covar_pop(y, x) AS b FROM lab_b GROUP BY ALL)""", "lab_b"))
+ (max(y) + 1)::INT AS y1, (max(x) + 1)::INT AS x1, {r('var_pop(y)', 9)} + 1.0::DOUBLE / 12 AS a,
+ {r('var_pop(x)', 9)} + 1.0::DOUBLE / 12 AS c, {r('covar_pop(y, x)', 9)} AS b FROM lab_b GROUP BY ALL)""", "lab_b"))
 def shape_moments(s, d):
     return q.rounded(shape.shape_moments(q.lab_b(s, d)))
 
