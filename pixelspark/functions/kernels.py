@@ -118,7 +118,7 @@ def disk(radius: int) -> np.ndarray:
 
 
 def box_sum(a: np.ndarray, wy: int, wx: int) -> np.ndarray:
-    """Sum over every full wy x wx window (valid positions only)."""
-    c = np.zeros((a.shape[0] + 1, a.shape[1] + 1))
-    c[1:, 1:] = a.cumsum(0).cumsum(1)
-    return c[wy:, wx:] - c[:-wy, wx:] - c[wy:, :-wx] + c[:-wy, :-wx]
+    """Sum over every full wy x wx window of the last two axes (valid positions only)."""
+    c = np.zeros((*a.shape[:-2], a.shape[-2] + 1, a.shape[-1] + 1))
+    c[..., 1:, 1:] = a.cumsum(-2).cumsum(-1)
+    return c[..., wy:, wx:] - c[..., :-wy, wx:] - c[..., wy:, :-wx] + c[..., :-wy, :-wx]

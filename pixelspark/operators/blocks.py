@@ -95,8 +95,10 @@ def map_blocks(df: DataFrame, kernel: Kernel, out: Sequence[str], *,
     extra = [f for f in fill if isinstance(f, str)] + list(shape or ())
     cols = list(dict.fromkeys([*keys, "y", "x", *values, *extra]))
     tile = [*keys, "ty", "tx"]
+    # Few bytes can mean much work in the kernel: keep every shuffle partition.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tiles = (with_halo(df.select(*cols), block, halo, shape)
-             .repartition(*tile).sortWithinPartitions(*tile))
+             .repartition(parts, *tile).sortWithinPartitions(*tile))
 
     schema = T.StructType([*tiles.select(*keys).schema.fields,
                            T.StructField("y", T.IntegerType()), T.StructField("x", T.IntegerType()),

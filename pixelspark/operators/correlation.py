@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pixelspark.operators.ranking import numbered, running_sum, value_ranks
 from pixelspark.schema import IL, IMG
+from pixelspark.session import cut_lineage
 
 G = [*IL, "channel_1", "channel_2"]
 
@@ -127,6 +128,9 @@ def channel_correlation(pixels: DataFrame, labels: DataFrame, channels: Sequence
 
 def correlate_pairs(pairs: DataFrame, method: str, min_periods: int = 1,
                     keys: Sequence[str] = tuple(G)) -> DataFrame:
+    if method != "pearson":
+        # Ranks read the counted pairs several times; what leads to them runs once.
+        pairs = cut_lineage(pairs)
     got = METHODS[method](pairs, keys)
     return got.withColumn("coeff", F.when(F.col("n") >= min_periods, F.col("coeff")))
 

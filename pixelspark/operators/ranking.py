@@ -25,17 +25,18 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str = "value", out:
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], weight: Column,
-             bucket: str, out: str) -> DataFrame:
-    """Sum of ``weight`` over all earlier rows of the group, plus the group total.
+                bucket: str, out: str) -> DataFrame:
+    """Sum of ``weight`` (not negative) over all earlier rows of the group, plus the group total.
 
-    ``bucket`` must be monotone in ``order``.
+    ``bucket`` must be monotone in ``order``. The bucket totals are read off the numbered rows,
+    which are already partitioned by bucket.
     """
     before = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1)
     rows = df.withColumn("_in", F.coalesce(F.sum(weight).over(before), F.lit(0)))
     earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    offsets = (df.groupBy(*keys, bucket).agg(F.sum(weight).alias("_w"))
+    offsets = (rows.groupBy(*keys, bucket).agg(F.max(F.col("_in") + weight).alias("_w"))
                .withColumn("_off", F.coalesce(F.sum("_w").over(earlier), F.lit(0)))
                .withColumn(f"{out}_total", F.sum("_w").over(whole)).drop("_w"))
     return (rows.join(offsets, [*keys, bucket])

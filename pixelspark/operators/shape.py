@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pixelspark.operators.blocks import map_blocks
 from pixelspark.schema import IL
@@ -122,6 +123,9 @@ def perimeter(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:
             .agg(F.sum("w").alias("perimeter")))
 
 
+_HULL = T.StructType([T.StructField("area_convex", T.LongType()), T.StructField("feret", T.DoubleType())])
+
+
 def _hull(points: np.ndarray) -> np.ndarray:
     """Convex hull vertices of sorted unique points, counter-clockwise."""
     def chain(seq):
@@ -137,37 +141,47 @@ def _hull(points: np.ndarray) -> np.ndarray:
     return np.array(chain(points) + chain(points[::-1]))
 
 
+def _object_hull(y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> tuple[int, float]:
+    """Convex area and largest Feret diameter from the first and last pixel of each row."""
+    pts = np.concatenate([np.column_stack(p) for p in (
+        (y - .5, x0), (y + .5, x0), (y, x0 - .5), (y - .5, x1), (y + .5, x1), (y, x1 + .5))])
+    v = _hull(np.unique(pts, axis=0))
+    w = np.roll(v, -1, axis=0)
+    line = np.arange(y.min(), y.max() + 1)
+    lo, hi = np.full(line.size, np.inf), np.full(line.size, -np.inf)
+    for (ay, ax), (by, bx) in zip(v, w):
+        on = (line >= min(ay, by)) & (line <= max(ay, by))
+        # No edge is horizontal at a pixel row: hull points lie at half rows or at the row ends.
+        for at in ((ax, bx) if ay == by else (ax + (line[on] - ay) * (bx - ax) / (by - ay),)):
+            lo[on], hi[on] = np.minimum(lo[on], at), np.maximum(hi[on], at)
+    convex = int((np.floor(hi + 1e-9) - np.ceil(lo - 1e-9) + 1).clip(0).sum())
+    d2 = ((v[:, None, :] - v[None, :, :]) ** 2).sum(-1)
+    return convex, float(np.sqrt(d2.max()))
+
+
+def _column_list(*names: str) -> Column:
+    return F.array_sort(F.collect_list(F.struct(*names)))
+
+
 def hull_features(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:
     """Convex area, solidity and largest Feret diameter.
 
     Each object is reduced to the first and last pixel of its rows before any task sees a
-    whole object, so a group holds two numbers per image row. The hull runs through the
+    whole object, so an object holds two numbers per image row. The hull runs through the
     midpoints of the pixel sides; a pixel counts when its centre lies inside or on it.
     """
     rows = labels.where("label > 0").groupBy(*keys, "y").agg(
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.count(F.lit(1)).alias("n"))
-    names = list(keys)
-    schema = rows.select(*keys).schema.add("area_convex", "long").add("solidity", "double") \
-        .add("feret_diameter_max", "double")
-
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        y, x0, x1 = (pdf[c].to_numpy(float) for c in ("y", "x0", "x1"))
-        pts = np.concatenate([np.column_stack(p) for p in (
-            (y - .5, x0), (y + .5, x0), (y, x0 - .5), (y - .5, x1), (y + .5, x1), (y, x1 + .5))])
-        v = _hull(np.unique(pts, axis=0))
-        lo, hi = np.full(int(np.ptp(y)) + 1, np.inf), np.full(int(np.ptp(y)) + 1, -np.inf)
-        line = y.min() + np.arange(lo.size)
-        for (ay, ax), (by, bx) in zip(v, np.roll(v, -1, axis=0)):
-            on = (line >= min(ay, by)) & (line <= max(ay, by))
-            at = ax + (line[on] - ay) * (bx - ax) / (by - ay) if ay != by else np.full(on.sum(), ax)
-            for cut in ((at,) if ay != by else (np.full(on.sum(), ax), np.full(on.sum(), bx))):
-                lo[on], hi[on] = np.minimum(lo[on], cut), np.maximum(hi[on], cut)
-        convex = int((np.floor(hi + 1e-9) - np.ceil(lo - 1e-9) + 1).clip(0).sum())
-        d = v[:, None, :] - v[None, :, :]
-        return pd.DataFrame([[*key, convex, pdf["n"].sum() / convex, float(np.sqrt((d ** 2).sum(-1).max()))]],
-                            columns=schema.names)
-
-    return rows.groupBy(*names).applyInPandas(one, schema)
+    objects = rows.groupBy(*keys).agg(_column_list("y", "x0", "x1").alias("r"), F.sum("n").alias("area"))
+
+    @F.pandas_udf(_HULL)
+    def hull(ys: pd.Series, x0: pd.Series, x1: pd.Series) -> pd.DataFrame:
+        made = [_object_hull(*(np.asarray(v, float) for v in row)) for row in zip(ys, x0, x1)]
+        return pd.DataFrame(made, columns=["area_convex", "feret"])
+
+    out = objects.select(*keys, "area", hull("r.y", "r.x0", "r.x1").alias("h"))
+    return out.select(*keys, "h.area_convex", (F.col("area") / F.col("h.area_convex")).alias("solidity"),
+                      F.col("h.feret").alias("feret_diameter_max"))
 
 
 def gap_runs(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:
@@ -178,52 +192,53 @@ def gap_runs(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:
     return after.select(*keys, "y", (F.col("x") + 1).alias("g0"), (F.col("_next") - 1).alias("g1"))
 
 
+def _closed_pixels(gy, g0, g1, ey, e0, e1) -> int:
+    """Pixels in gaps that no 8-connected path of gaps links to the outside of the object."""
+    outside = len(gy)
+    parent = list(range(outside + 1))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    extents = {y: (a, b) for y, a, b in zip(ey, e0, e1)}
+    first: dict[int, int] = {}
+    for i, y in enumerate(gy):
+        first.setdefault(y, i)
+    for i, y in enumerate(gy):
+        for near in (y - 1, y + 1):
+            e = extents.get(near)
+            if e is None or g0[i] - 1 < e[0] or g1[i] + 1 > e[1]:
+                parent[root(i)] = root(outside)
+        j = first.get(y + 1, outside)
+        while j < outside and gy[j] == y + 1:
+            if g0[i] <= g1[j] + 1 and g0[j] <= g1[i] + 1:
+                parent[root(i)] = root(j)
+            j += 1
+    return sum(int(g1[i] - g0[i] + 1) for i in range(outside) if root(i) != root(outside))
+
+
 def filled_area(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:
     """Area with holes filled; a hole is background not connected (8 ways) to the outside.
 
-    Objects are reduced to their runs: one row per object run and per gap between two runs.
-    Only objects with gaps enter the grouped step that decides which gaps are closed.
+    Objects are reduced to the gaps between their runs and to their row ends. Only objects with
+    gaps reach the step that decides which gaps are closed.
     """
-    gaps = gap_runs(labels, keys)
-    area = labels.where("label > 0").groupBy(*keys).agg(F.count(F.lit(1)).alias("area"))
-    # Row extremes bound the outside: left of the first and right of the last pixel of a row.
-    extent = labels.where("label > 0").groupBy(*keys, "y").agg(F.min("x").alias("g0"), F.max("x").alias("g1"))
-    rows = (gaps.withColumn("gap", F.lit(True))
-            .unionByName(extent.join(gaps.select(*keys).distinct(), list(keys), "left_semi")
-                         .withColumn("gap", F.lit(False))))
-    schema = gaps.select(*keys).schema.add("holes", "long")
-
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        extents = {r.y: (r.g0, r.g1) for r in pdf[~pdf["gap"]].itertuples()}
-        g = pdf[pdf["gap"]].sort_values(["y", "g0"])
-        ys, a, b = (g[c].to_numpy() for c in ("y", "g0", "g1"))
-        parent = list(range(len(ys) + 1))
-        outside = len(ys)
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        first = {y: i for i, y in reversed(list(enumerate(ys)))}
-        for i, y in enumerate(ys):
-            for near in (y - 1, y + 1):
-                e = extents.get(near)
-                if e is None or a[i] - 1 < e[0] or b[i] + 1 > e[1]:
-                    parent[root(i)] = root(outside)
-            j = first.get(y + 1, len(ys))
-            while j < len(ys) and ys[j] == y + 1:
-                if a[i] <= b[j] + 1 and a[j] <= b[i] + 1:
-                    parent[root(i)] = root(j)
-                j += 1
-        closed = sum(int(b[i] - a[i] + 1) for i in range(len(ys)) if root(i) != root(outside))
-        return pd.DataFrame([[*key, closed]], columns=schema.names)
-
-    holes = rows.groupBy(*keys).applyInPandas(one, schema)
-    return (area.join(holes, list(keys), "left")
-            .withColumn("area_filled", F.col("area") + F.coalesce("holes", F.lit(0)))
-            .select(*keys, "area_filled"))
+    px = labels.where("label > 0")
+    gaps = gap_runs(labels, keys).groupBy(*keys).agg(_column_list("y", "g0", "g1").alias("g"))
+    ends = (px.groupBy(*keys, "y").agg(F.min("x").alias("e0"), F.max("x").alias("e1"), F.count(F.lit(1)).alias("n"))
+            .groupBy(*keys).agg(_column_list("y", "e0", "e1").alias("e"), F.sum("n").alias("area")))
+
+    @F.pandas_udf(T.LongType())
+    def closed(gy: pd.Series, g0: pd.Series, g1: pd.Series, ey: pd.Series, e0: pd.Series, e1: pd.Series) -> pd.Series:
+        return pd.Series([_closed_pixels(*row) for row in zip(gy, g0, g1, ey, e0, e1)], dtype="int64")
+
+    holes = (ends.join(gaps, list(keys))
+             .select(*keys, closed("g.y", "g.g0", "g.g1", "e.y", "e.e0", "e.e1").alias("_holes")))
+    return (ends.select(*keys, "area").join(holes, list(keys), "left")
+            .select(*keys, (F.col("area") + F.coalesce("_holes", F.lit(0))).alias("area_filled")))
 
 
 def object_shape(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:

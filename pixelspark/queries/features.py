@@ -57,14 +57,15 @@ _VAR = "sum(p * (i - mi) * (i - mi))"
 
 @query(q.sql(f"""SELECT {_IC}, d, a, {r('sum(p * (i - j) * (i - j))', 6)} AS contrast, {r('sum(p * abs(i - j))', 6)} AS dissimilarity,
  {r('sum(p / (1 + (i - j) * (i - j)))', 6)} AS homogeneity, {r('ln(sum(p * p))', 6)} AS log_asm, {r('sqrt(sum(p * p))', 6)} AS energy,
- {r(f'CASE WHEN {_VAR} < 1e-15 THEN 1 ELSE sum(p * (i - mi) * (j - mj)) / sqrt({_VAR}) / sqrt(sum(p * (j - mj) * (j - mj))) END', 6)} AS correlation,
+ {r(f'CASE WHEN {_VAR} < 1e-15 THEN 1 ELSE sum(p * (i - mi) * (j - mj)) / sqrt({_VAR}) / sqrt(sum(p * (j - mj) * (j - mj))) END', 8)} AS correlation,
  {r('any_value(mi)', 6)} AS mean, {r(f'ln(1 + {_VAR})', 6)} AS log_variance, {r(f'sqrt({_VAR})', 6)} AS std, {r('-sum(p * ln(p))', 6)} AS entropy
  FROM {_PROPS} GROUP BY {_IC}, d, a""", "levels"))
 def glcm_props(s, d):
     """Fractions of small powers of two are compared as logarithms, which never meet a decimal tie."""
     out = tex.glcm_props(tex.glcm(levels(s, d), [1, 2], _ANGLES, normed=False))
-    return q.rounded(out.withColumns({"log_asm": F.log("ASM"), "log_variance": F.log(F.col("variance") + 1)})
-                     .drop("ASM", "variance"), digits=6)
+    out = out.withColumns({"log_asm": F.log("ASM"), "log_variance": F.log(F.col("variance") + 1)}).drop("ASM", "variance")
+    return q.rounded(q.rounded(out, "correlation", digits=8),
+                     "contrast", "dissimilarity", "homogeneity", "energy", "mean", "std", "entropy", "log_asm", "log_variance", digits=6)
 
 
 def _when(expr: str, d: int, a: int) -> str:
