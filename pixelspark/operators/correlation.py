@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pixelspark.operators.ranking import numbered, running_sum, value_ranks
+from pixelspark.operators.ranking import numbered, running_sum, value_bucket, value_ranks
 from pixelspark.schema import IL, IMG
 from pixelspark.session import cut_lineage
 
@@ -60,57 +60,58 @@ def pearson(pairs: DataFrame, keys: Sequence[str] = tuple(G), center: bool = Tru
 
 
 def spearman(pairs: DataFrame, keys: Sequence[str] = tuple(G)) -> DataFrame:
-    """Pearson coefficient of mid-ranks."""
+    """Pearson coefficient of mid-ranks, shifted by their mean."""
+    ranked = pairs
     for side in ("v1", "v2"):
-        mid = value_ranks(pairs, keys, side, weight="n").select(
-            *keys, side, (F.col("below") + (F.col("n") + 1) / 2 - (F.col("below_total") + 1) / 2).alias(f"r{side}"))
-        pairs = pairs.join(mid, [*keys, side])
-    ranked = pairs.select(*keys, F.col("rv1").alias("v1"), F.col("rv2").alias("v2"), "n")
+        mid = F.col("below") + (F.col("n") + 1) / 2 - (F.col("below_total") + 1) / 2
+        ranks = value_ranks(pairs, keys, side, weight="n").select(*keys, side, mid.alias(f"r{side}"))
+        ranked = ranked.join(ranks, [*keys, side])
+    ranked = ranked.select(*keys, F.col("rv1").alias("v1"), F.col("rv2").alias("v2"), "n")
     return pearson(ranked, keys, center=False)
 
 
 def _dense(pairs: DataFrame, keys: Sequence[str], side: str, out: str) -> DataFrame:
-    """Attach the 0-based position of each value among the distinct values of its group."""
+    """Attach the 0-based position of each value among the distinct values of its group.
+
+    ``{out}_total`` is the number of distinct values.
+    """
     distinct = pairs.select(*keys, side).distinct()
-    pos = value_ranks(distinct, keys, side).select(*keys, side, F.col("below").alias(out))
+    pos = value_ranks(distinct, keys, side).select(
+        *keys, side, F.col("below").alias(out), F.col("below_total").alias(f"{out}_total"))
     return pairs.join(pos, [*keys, side])
 
 
-def kendall(pairs: DataFrame, keys: Sequence[str] = tuple(G), span: int = 4096) -> DataFrame:
+def kendall(pairs: DataFrame, keys: Sequence[str] = tuple(G)) -> DataFrame:
     """Kendall tau-b per group, exact, without forming pairs of pixels.
 
-    For two values a < b there is one binary digit where b has 1, a has 0 and all higher digits
+    For two ranks a < b there is one binary digit where b has 1, a has 0 and all higher digits
     agree. So for each digit of the second value's rank, rows are grouped by the higher digits,
     and every row with digit 1 needs the number of rows with digit 0 whose first value is
-    smaller: a running count. Each digit gives one row per distinct pair, and a running count
-    is cut into buckets of ``span`` ranks, so no task sorts a whole group.
+    smaller: a running count. Each digit gives one row per distinct pair, and running counts
+    are cut into value buckets, so no task sorts a whole group.
     """
     keys = list(keys)
-    d = _dense(_dense(pairs, keys, "v1", "_a"), keys, "v2", "_b")
-    top = F.max("_b")
-    depth = d.groupBy(*keys).agg(F.greatest(F.ceil(F.log2(top + 1)), F.lit(0)).cast("int").alias("_depth"))
-    digits = F.explode(F.when(F.col("_depth") > 0, F.sequence(F.lit(0), F.col("_depth") - 1))
-                       .otherwise(F.array().cast("array<int>")))
-    rows = (d.join(depth, keys).select(*keys, "_a", "_b", "n", digits.alias("_digit"))
+    d = _dense(pairs, keys, "v2", "_b").withColumn("_bucket", value_bucket(pairs, "v1"))
+    digits = F.explode(F.sequence(F.lit(0), F.ceil(F.log2("_b_total")).cast("int") - 1)).alias("_digit")
+    rows = (d.where("_b_total > 1").select(*keys, "v1", "_bucket", "_b", "n", digits)
             .withColumns({"_high": F.expr("shiftright(_b, _digit + 1)"),
                           "_one": F.expr("shiftright(_b, _digit) & 1")}))
     cell = [*keys, "_digit", "_high"]
     zero = F.when(F.col("_one") == 0, F.col("n")).otherwise(0)
     one = F.when(F.col("_one") == 1, F.col("n")).otherwise(0)
-    per = rows.groupBy(*cell, "_a").agg(F.sum(zero).alias("_z"), F.sum(one).alias("_o"))
-    per = per.withColumn("_bucket", F.floor(F.col("_a") / span))
-    run = running_sum(per, cell, ["_a"], F.col("_z"), "_bucket", "_less")
-    # Of the zeros of a cell: smaller first value is concordant, larger is discordant.
+    per = rows.groupBy(*cell, "_bucket", "v1").agg(F.sum(zero).alias("_z"), F.sum(one).alias("_o"))
+    run = running_sum(per, cell, ["v1"], F.col("_z"), "_bucket", "_less")
+    # Of the zeros of a cell: a smaller first value is concordant, a larger one discordant.
     more = F.col("_less_total") - F.col("_less") - F.col("_z")
     order = run.groupBy(*keys).agg(F.sum(F.col("_o") * F.col("_less")).alias("_con"),
                                    F.sum(F.col("_o") * more).alias("_dis"))
 
-    def tied(group: Sequence[str], out: str) -> DataFrame:
-        per_value = pairs.groupBy(*keys, *group).agg(F.sum("n").alias("_t"))
-        return per_value.groupBy(*keys).agg(F.sum(F.col("_t") * (F.col("_t") - 1) / 2).alias(out))
+    def tied(side: str, out: str) -> DataFrame:
+        per_value = pairs.groupBy(*keys, side).agg(F.sum("n").alias("_t"))
+        return per_value.groupBy(*keys).agg(F.sum(F.col("_t") * (F.col("_t") - 1) / 2).alias(out),
+                                            F.sum("_t").alias("n"))
 
-    out = (pairs.groupBy(*keys).agg(F.sum("n").alias("n"))
-           .join(tied(["v1"], "_t1"), keys).join(tied(["v2"], "_t2"), keys).join(order, keys, "left"))
+    out = tied("v1", "_t1").join(tied("v2", "_t2").drop("n"), keys).join(order, keys, "left")
     all_pairs = F.col("n") * (F.col("n") - 1) / 2
     s = F.coalesce(F.col("_con") - F.col("_dis"), F.lit(0))
     scale = F.sqrt(all_pairs - F.col("_t1")) * F.sqrt(all_pairs - F.col("_t2"))
@@ -157,9 +158,10 @@ def permute_within_label(pixels: DataFrame, labels: DataFrame, channels: Sequenc
     if not replace:
         px = px.select(rounds, *group, "y", "x", "value").withColumn(
             "_h", F.md5(F.concat_ws("|", "image_id", "y", "x", "channel", "round", F.lit(str(seed)))))
-        ranked = numbered(px, ["round", *group], ["_h", "y", "x"], F.substring("_h", 1, 2), "slot")
+        ranked = numbered(px, ["round", *group], ["_h", "y", "x"],
+                          F.coalesce(F.substring("_h", 1, 2), F.lit("")), "slot")
     else:
-        ordered = numbered(px, group, ["y", "x"], F.col("y"), "slot")
+        ordered = numbered(px, group, ["y", "x"], F.coalesce("y", F.lit(0)), "slot")
         draw = F.conv(F.substring(F.md5(F.concat_ws("|", "image_id", "label", "slot", "channel", "round", F.lit(str(seed)))), 1, 12),
                       16, 10).cast("bigint")
         want = ordered.select(rounds, *group, "slot", "slot_total").withColumn(

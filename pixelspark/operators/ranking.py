@@ -29,7 +29,8 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     """Sum of ``weight`` (not negative) over all earlier rows of the group, plus the group total.
 
     ``bucket`` must be monotone in ``order``. The bucket totals are read off the numbered rows,
-    which are already partitioned by bucket.
+    which are already partitioned by bucket. A bucket that cannot be NULL keeps both reads of
+    the rows identical, so Spark runs their shuffle once.
     """
     before = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1)
@@ -43,6 +44,17 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
             .withColumn(out, F.col("_in") + F.col("_off")).drop("_in", "_off"))
 
 
+def value_bucket(df: DataFrame, value: str, buckets: int = BUCKETS) -> Column:
+    """Number of the bucket a value falls in; edges are quantiles of all values of ``df``.
+
+    The edges come from a fixed-size sketch in a one-row scalar subquery.
+    """
+    shares = [i / buckets for i in range(1, buckets)]
+    edges = df.agg(F.array_distinct(F.percentile_approx(value, shares, 20 * buckets))).scalar()
+    position = F.array_position(F.sort_array(F.array_append(edges, F.col(value))), F.col(value))
+    return F.coalesce(position, F.lit(0).cast("bigint"))
+
+
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str = "value",
                 weight: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """(keys, value, n, below, below_total) per distinct value of each group.
@@ -56,10 +68,7 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str = "value",
     else:
         counts = (df.where(F.col(value).isNotNull()).groupBy(*keys, value)
                   .agg(F.sum(weight).alias("n")))
-    edges = [i / buckets for i in range(1, buckets)]
-    sketch = df.agg(F.array_distinct(F.percentile_approx(value, edges, 20 * buckets))).scalar()
-    position = F.array_position(F.sort_array(F.array_append(sketch, F.col(value))), F.col(value))
-    counts = counts.withColumn("_bucket", position)
+    counts = counts.withColumn("_bucket", value_bucket(df, value, buckets))
     return running_sum(counts, keys, [value], F.col("n"), "_bucket", "below").drop("_bucket")
 
 
@@ -116,5 +125,5 @@ def random_numbered(df: DataFrame, key: Sequence[str], seed: int, out: str = "rn
     """
     df = df.withColumn("_h", random_order(*[F.col(k) for k in key], seed=seed))
     df = df.withColumn("_all", F.lit(0))
-    rows = numbered(df, ["_all"], ["_h", *key], F.substring("_h", 1, 3), out)
+    rows = numbered(df, ["_all"], ["_h", *key], F.coalesce(F.substring("_h", 1, 3), F.lit("")), out)
     return rows.drop("_h", "_all")
