@@ -30,7 +30,9 @@ def background_stack(pixels: DataFrame, method: str = "median", keys: Sequence[s
         return pixels.groupBy(*on).agg(F.avg("value").alias("value"))
     if method != "median":
         raise ValueError("method must be median or mean")
-    return percentiles(pixels, on, "value", {"_m": 0.5}, levels=grey_levels).withColumnRenamed("_m", "value")
+    # One pixel position holds one row per field of view, so no group stands out.
+    middle = percentiles(pixels, on, "value", {"_m": 0.5}, levels=grey_levels, hot_groups=False)
+    return middle.withColumnRenamed("_m", "value")
 
 
 def background_all_strategies(pixels: DataFrame, conditions: Sequence[str], method: str = "median") -> DataFrame:

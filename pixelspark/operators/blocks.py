@@ -22,6 +22,14 @@ BLOCK = 256
 Kernel = Callable[..., "np.ndarray | Sequence[np.ndarray]"]
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition in front of Python work, keeping every shuffle partition.
+
+    Adaptive execution merges partitions by their bytes; few bytes can mean much work here.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def _owners(c: str, block: int, halo: int, limit: str | None) -> Column:
     """Indices of the tiles whose halo holds coordinate ``c``."""
     first = F.greatest(F.floor((F.col(c) - halo) / block), F.lit(0))
@@ -95,10 +103,7 @@ def map_blocks(df: DataFrame, kernel: Kernel, out: Sequence[str], *,
     extra = [f for f in fill if isinstance(f, str)] + list(shape or ())
     cols = list(dict.fromkeys([*keys, "y", "x", *values, *extra]))
     tile = [*keys, "ty", "tx"]
-    # Few bytes can mean much work in the kernel: keep every shuffle partition.
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = (with_halo(df.select(*cols), block, halo, shape)
-             .repartition(parts, *tile).sortWithinPartitions(*tile))
+    tiles = spread(with_halo(df.select(*cols), block, halo, shape), *tile).sortWithinPartitions(*tile)
 
     schema = T.StructType([*tiles.select(*keys).schema.fields,
                            T.StructField("y", T.IntegerType()), T.StructField("x", T.IntegerType()),

@@ -159,7 +159,7 @@ def permute_within_label(pixels: DataFrame, labels: DataFrame, channels: Sequenc
         px = px.select(rounds, *group, "y", "x", "value").withColumn(
             "_h", F.md5(F.concat_ws("|", "image_id", "y", "x", "channel", "round", F.lit(str(seed)))))
         ranked = numbered(px, ["round", *group], ["_h", "y", "x"],
-                          F.coalesce(F.substring("_h", 1, 2), F.lit("")), "slot")
+                          F.coalesce(F.substring("_h", 1, 3), F.lit("")), "slot")
     else:
         ordered = numbered(px, group, ["y", "x"], F.coalesce("y", F.lit(0)), "slot")
         draw = F.conv(F.substring(F.md5(F.concat_ws("|", "image_id", "label", "slot", "channel", "round", F.lit(str(seed)))), 1, 12),

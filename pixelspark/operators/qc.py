@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,32 +99,39 @@ def laplacian_variance(pixels: DataFrame, threshold: float = 100.0, mode: str =
             .withColumn("blurry", F.col("laplacian_var") < threshold))
 
 
-def _equal_lengths(rows: pd.Series, transform) -> pd.Series:
-    """Apply a row-wise array transform to all rows of one length at a time."""
-    out = pd.Series(index=rows.index, dtype=object)
-    for _, part in rows.groupby(rows.map(len), sort=False):
-        made = transform(np.stack(part.to_numpy()).astype(float))
-        for i, r in zip(part.index, made):
-            out[i] = r
-    return out
-
-
-@F.pandas_udf(_ARRAY)
-def _row_spectrum(rows: pd.Series) -> pd.Series:
-    """Real parts then imaginary parts of the non-negative frequencies of each row."""
-    def transform(m):
-        f = np.fft.rfft(m, axis=1)
-        return np.concatenate([f.real, f.imag], axis=1)
-    return _equal_lengths(rows, transform)
-
-
-@F.pandas_udf(_ARRAY)
-def _column_power(pairs: pd.Series) -> pd.Series:
-    """Power per vertical frequency from the real parts then imaginary parts of a column."""
-    def transform(m):
-        n = m.shape[1] // 2
-        return np.abs(np.fft.fft(m[:, :n] + 1j * m[:, n:], axis=1)) ** 2
-    return _equal_lengths(pairs, transform)
+def _by_length(col: pa.Array, transform) -> pa.Array:
+    """Apply a row-wise array transform to all lists of one length at a time."""
+    sizes = col.value_lengths().to_numpy()
+    flat, start = col.flatten().to_numpy(), np.concatenate([[0], sizes.cumsum()[:-1]]).astype(int)
+    made: list[np.ndarray] = [np.empty(0)] * len(sizes)
+    for n in np.unique(sizes):
+        rows = np.flatnonzero(sizes == n)
+        for i, r in zip(rows, transform(flat[start[rows][:, None] + np.arange(n)])):
+            made[i] = r
+    offsets = np.concatenate([[0], np.cumsum([r.size for r in made])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made)))
+
+
+def _spectrum(rows: np.ndarray) -> np.ndarray:
+    """Real parts then imaginary parts of the non-negative frequencies."""
+    f = np.fft.rfft(rows, axis=1)
+    return np.concatenate([f.real, f.imag], axis=1)
+
+
+def _power(rows: np.ndarray) -> np.ndarray:
+    """Power per frequency of rows holding real parts then imaginary parts."""
+    n = rows.shape[1] // 2
+    return np.abs(np.fft.fft(rows[:, :n] + 1j * rows[:, n:], axis=1)) ** 2
+
+
+@F.arrow_udf(_ARRAY)
+def _row_spectrum(rows: pa.Array) -> pa.Array:
+    return _by_length(rows, _spectrum)
+
+
+@F.arrow_udf(_ARRAY)
+def _column_power(pairs: pa.Array) -> pa.Array:
+    return _by_length(pairs, _power)
 
 
 def _ordered(order: str, value: Column) -> Column:

@@ -73,15 +73,20 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str = "value",
 
 
 def percentiles(df: DataFrame, keys: Sequence[str], value: str, qs: Mapping[str, float],
-                weight: str | None = None, levels: int | None = None) -> DataFrame:
+                weight: str | None = None, levels: int | None = None, hot_groups: bool = True) -> DataFrame:
     """Exact linear-interpolated quantiles, one named column per entry of ``qs``.
 
-    ``levels`` is the proven bound on distinct values per group. Without one, or beyond
-    ``MAX_LEVELS``, the order statistics come from :func:`value_ranks`.
+    ``levels`` is the proven bound on distinct values per group. Within ``MAX_LEVELS`` the
+    values are counted first, spread over all tasks by (group, value), and the task of a group
+    only sees its distinct values. ``hot_groups=False`` skips that step where no group can hold
+    a large share of the rows. Without a bound the order statistics come from
+    :func:`value_ranks`, which never puts a group in one task.
     """
     if any(not 0.0 <= q <= 1.0 for q in qs.values()):
         raise ValueError("quantiles lie in [0, 1]")
     if levels is not None and levels <= MAX_LEVELS:
+        if weight is None and hot_groups:
+            df, weight = value_counts(df, keys, value), "n"
         freq = F.col(weight) if weight else F.lit(1)
         return df.groupBy(*keys).agg(*[F.percentile(value, q, freq).alias(name)
                                        for name, q in qs.items()])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pixelspark.operators.blocks import map_blocks
+from pixelspark.operators.blocks import map_blocks, spread
 from pixelspark.schema import IL
 
 # Variance of a unit pixel, added to the second moments of an object.
@@ -126,37 +126,30 @@ def perimeter(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:
 _HULL = T.StructType([T.StructField("area_convex", T.LongType()), T.StructField("feret", T.DoubleType())])
 
 
-def _hull(points: np.ndarray) -> np.ndarray:
-    """Convex hull vertices of sorted unique points, counter-clockwise."""
-    def chain(seq):
-        out: list[np.ndarray] = []
-        for p in seq:
-            while len(out) > 1:
-                (ay, ax), (by, bx) = out[-2], out[-1]
-                if (by - ay) * (p[1] - ax) - (bx - ax) * (p[0] - ay) > 0:
-                    break
-                out.pop()
-            out.append(p)
-        return out[:-1]
-    return np.array(chain(points) + chain(points[::-1]))
+def _chain(points: list[tuple[float, float]], side: int) -> list[tuple[float, float]]:
+    """Convex chain through points sorted by row: ``side`` 1 for the left, -1 for the right border."""
+    out: list[tuple[float, float]] = []
+    for y, x in points:
+        while len(out) > 1:
+            (ay, ax), (by, bx) = out[-2], out[-1]
+            if side * ((by - ay) * (x - ax) - (bx - ax) * (y - ay)) > 0:
+                break
+            out.pop()
+        out.append((y, x))
+    return out
 
 
 def _object_hull(y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> tuple[int, float]:
     """Convex area and largest Feret diameter from the first and last pixel of each row."""
-    pts = np.concatenate([np.column_stack(p) for p in (
-        (y - .5, x0), (y + .5, x0), (y, x0 - .5), (y - .5, x1), (y + .5, x1), (y, x1 + .5))])
-    v = _hull(np.unique(pts, axis=0))
-    w = np.roll(v, -1, axis=0)
+    pts = sorted({p for a, b, c in zip(y.tolist(), x0.tolist(), x1.tolist()) for p in (
+        (a - .5, b), (a + .5, b), (a, b - .5), (a - .5, c), (a + .5, c), (a, c + .5))})
+    left, right = np.array(_chain(pts, 1)), np.array(_chain(pts, -1))
     line = np.arange(y.min(), y.max() + 1)
-    lo, hi = np.full(line.size, np.inf), np.full(line.size, -np.inf)
-    for (ay, ax), (by, bx) in zip(v, w):
-        on = (line >= min(ay, by)) & (line <= max(ay, by))
-        # No edge is horizontal at a pixel row: hull points lie at half rows or at the row ends.
-        for at in ((ax, bx) if ay == by else (ax + (line[on] - ay) * (bx - ax) / (by - ay),)):
-            lo[on], hi[on] = np.minimum(lo[on], at), np.maximum(hi[on], at)
+    lo, hi = (np.interp(line, c[:, 0], c[:, 1]) for c in (left, right))
     convex = int((np.floor(hi + 1e-9) - np.ceil(lo - 1e-9) + 1).clip(0).sum())
-    d2 = ((v[:, None, :] - v[None, :, :]) ** 2).sum(-1)
-    return convex, float(np.sqrt(d2.max()))
+    v = np.concatenate([left, right])
+    far = max(float(((v - p) ** 2).sum(1).max()) for p in v)
+    return convex, math.sqrt(far)
 
 
 def _column_list(*names: str) -> Column:
@@ -172,7 +165,8 @@ def hull_features(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFra
     """
     rows = labels.where("label > 0").groupBy(*keys, "y").agg(
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.count(F.lit(1)).alias("n"))
-    objects = rows.groupBy(*keys).agg(_column_list("y", "x0", "x1").alias("r"), F.sum("n").alias("area"))
+    objects = spread(rows, *keys).groupBy(*keys).agg(
+        _column_list("y", "x0", "x1").alias("r"), F.sum("n").alias("area"))
 
     @F.pandas_udf(_HULL)
     def hull(ys: pd.Series, x0: pd.Series, x1: pd.Series) -> pd.DataFrame:
