@@ -14,6 +14,14 @@ from pixelspark.queries.registry import query
 
 _IC = "image_id, channel"
 
+# Labels eroded by one pixel, positions outside the image ignored.
+ERODED = """kept AS (SELECT image_id, y, x, m AS label FROM (SELECT c.image_id, c.y, c.x, min(coalesce(n.label, 0))::INT AS m
+ FROM (SELECT lab_b.*, dy, dx FROM lab_b, (VALUES (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) AS t(dy, dx)
+ WHERE y + dy BETWEEN 0 AND 7 AND x + dx BETWEEN 0 AND 7) c
+ LEFT JOIN lab_b n ON n.image_id = c.image_id AND n.y = c.y + c.dy AND n.x = c.x + c.dx
+ GROUP BY c.image_id, c.y, c.x) WHERE m > 0)"""
+
+
 # --- co-occurrence ------------------------------------------------------------------------
 
 q._cte("levels", f"""SELECT image_id, channel, y, x,
@@ -57,15 +65,16 @@ _VAR = "sum(p * (i - mi) * (i - mi))"
 
 @query(q.sql(f"""SELECT {_IC}, d, a, {r('sum(p * (i - j) * (i - j))', 6)} AS contrast, {r('sum(p * abs(i - j))', 6)} AS dissimilarity,
  {r('sum(p / (1 + (i - j) * (i - j)))', 6)} AS homogeneity, {r('ln(sum(p * p))', 6)} AS log_asm, {r('sqrt(sum(p * p))', 6)} AS energy,
- {r(f'CASE WHEN {_VAR} < 1e-15 THEN 1 ELSE sum(p * (i - mi) * (j - mj)) / sqrt({_VAR}) / sqrt(sum(p * (j - mj) * (j - mj))) END', 8)} AS correlation,
+ {r(f'atan(CASE WHEN {_VAR} < 1e-15 THEN 1 ELSE sum(p * (i - mi) * (j - mj)) / sqrt({_VAR}) / sqrt(sum(p * (j - mj) * (j - mj))) END)', 6)} AS atan_correlation,
  {r('any_value(mi)', 6)} AS mean, {r(f'ln(1 + {_VAR})', 6)} AS log_variance, {r(f'sqrt({_VAR})', 6)} AS std, {r('-sum(p * ln(p))', 6)} AS entropy
  FROM {_PROPS} GROUP BY {_IC}, d, a""", "levels"))
 def glcm_props(s, d):
-    """Fractions of small powers of two are compared as logarithms, which never meet a decimal tie."""
+    """Fractions of small powers of two are compared through a logarithm or arc tangent, which
+    never meets a decimal tie."""
     out = tex.glcm_props(tex.glcm(levels(s, d), [1, 2], _ANGLES, normed=False))
-    out = out.withColumns({"log_asm": F.log("ASM"), "log_variance": F.log(F.col("variance") + 1)}).drop("ASM", "variance")
-    return q.rounded(q.rounded(out, "correlation", digits=8),
-                     "contrast", "dissimilarity", "homogeneity", "energy", "mean", "std", "entropy", "log_asm", "log_variance", digits=6)
+    return q.rounded(out.withColumns({"log_asm": F.log("ASM"), "log_variance": F.log(F.col("variance") + 1),
+                                      "atan_correlation": F.atan("correlation")})
+                     .drop("ASM", "variance", "correlation"), digits=6)
 
 
 def _when(expr: str, d: int, a: int) -> str:
@@ -118,7 +127,37 @@ def haralick_objects(s, d):
                                           grey_levels=q.MULTI_LEVELS))
 
 
-@query()
+def _mirror(t: str, n: str) -> str:
+    """Coordinate t reflected into [0, n) without repeating the border; 0 for n = 1."""
+    m = f"(2 * ({n} - 1))"
+    u = f"((({t}) % {m}) + {m}) % {m}"
+    return f"CASE WHEN {n} = 1 THEN 0 WHEN {u} < {n} THEN {u} ELSE {m} - {u} END"
+
+
+# Crop to the object box with zeros outside, levels per crop, an 11 x 11 window with mirrored borders.
+_RAGGED = f"""box AS (SELECT image_id, label, min(y) AS y0, min(x) AS x0, max(y) - min(y) + 1 AS h, max(x) - min(x) + 1 AS w
+  FROM lab_b GROUP BY ALL),
+ crop AS (SELECT b.image_id, b.label, c.channel, h, w, u.y, v.x, l.label IS NOT NULL AS inside,
+  CASE WHEN l.label IS NULL THEN 0 ELSE m.value END AS value FROM box b, (SELECT unnest([0, 1, 2])::INT AS channel) c,
+  range(0, 8) u(y), range(0, 8) v(x)
+  LEFT JOIN lab_b l ON l.image_id = b.image_id AND l.label = b.label AND l.y = u.y + y0 AND l.x = v.x + x0
+  LEFT JOIN multi m ON m.image_id = b.image_id AND m.channel = c.channel AND m.y = u.y + y0 AND m.x = v.x + x0
+  WHERE u.y < h AND v.x < w),
+ lev AS (SELECT *, CASE WHEN hi > lo THEN floor((greatest(least(value, hi), lo) - lo) / (hi - lo) * 7) ELSE 0 END AS level FROM
+  (SELECT *, quantile_cont(value, 0.01) OVER k AS lo, quantile_cont(value, 0.99) OVER k AS hi FROM crop
+   WINDOW k AS (PARTITION BY image_id, label, channel))),
+ step AS (SELECT a.image_id, a.label, a.channel, a.y, a.x, pow(n.level - t.level, 2) AS dd FROM
+  (SELECT image_id, label, channel, y, x, {_mirror('y + dy', 'h')} AS ny, {_mirror('x + dx', 'w')} AS nx, {_mirror('x + dx + 1', 'w')} AS tx
+   FROM lev, range(-5, 6) p(dy), range(-5, 5) q(dx) WHERE inside) a
+  JOIN lev n ON n.image_id = a.image_id AND n.label = a.label AND n.channel = a.channel AND n.y = a.ny AND n.x = a.nx
+  JOIN lev t ON t.image_id = a.image_id AND t.label = a.label AND t.channel = a.channel AND t.y = a.ny AND t.x = a.tx),
+ ragged AS (SELECT s.image_id, s.channel, s.y + y0 AS y, s.x + x0 AS x, avg(dd) AS contrast FROM step s JOIN box USING (image_id, label)
+  GROUP BY ALL)"""
+
+
+@query(q.sql_with(f"{ERODED}, {_RAGGED}", " UNION ALL ".join(
+    f"SELECT image_id, label, channel, 'contrast' AS feature, '{n}' AS stat, {r(f'{fn}(contrast)')} AS value "
+    "FROM ragged JOIN kept USING (image_id, y, x) GROUP BY image_id, label, channel" for n, fn in _STATS), "multi", "lab_b"))
 def haralick_objects_ragged(s, d):
     """Ragged objects, default window, eroded by one pixel."""
     labels = q.lab_b(s, d).withColumns({"height": F.lit(8), "width": F.lit(8)})
@@ -153,13 +192,22 @@ def _slope(name: str, src: str, axis: str) -> str:
 
 
 _PX = "image_id, channel, y, x"
-_HESSIAN = ", ".join([
-    "source AS (SELECT image_id, channel, y, x, value AS v FROM multi)",
-    _smooth("s1", "source", 1.0, "y", True), _smooth("s2", "s1", 1.0, "x", True),
-    _slope("gy", "s2", "y"), _slope("gx", "s2", "x"), _slope("hyy", "gy", "y"), _slope("hyx", "gy", "x"), _slope("hxx", "gx", "x"),
-    f"hess AS (SELECT {_PX}, a.v AS a, b.v AS b, c.v AS c FROM hyy a JOIN hyx b USING ({_PX}) JOIN hxx c USING ({_PX}))",
-    f"eig AS (SELECT {_PX}, (a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) AS eigv_1_0, "
-    f"(a + c) / 2 - sqrt(pow((a - c) / 2, 2) + b * b) AS eigv_2_0 FROM hess)"])
+_SOURCE = "source AS (SELECT image_id, channel, y, x, value AS v FROM multi)"
+_EIGENVALUES = ("(a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) AS eigv_1_{k}, "
+                "(a + c) / 2 - sqrt(pow((a - c) / 2, 2) + b * b) AS eigv_2_{k}")
+
+
+def _hessian_parts(sigma: float, k: int = 0) -> str:
+    """Relation ``eig{k}`` with both eigenvalues of the Hessian at one sigma."""
+    return ", ".join([
+        _smooth(f"s{k}", "source", sigma, "y", True), _smooth(f"t{k}", f"s{k}", sigma, "x", True),
+        _slope(f"gy{k}", f"t{k}", "y"), _slope(f"gx{k}", f"t{k}", "x"), _slope(f"hyy{k}", f"gy{k}", "y"),
+        _slope(f"hyx{k}", f"gy{k}", "x"), _slope(f"hxx{k}", f"gx{k}", "x"),
+        f"eig{k} AS (SELECT {_PX}, {_EIGENVALUES.format(k=k)} FROM (SELECT {_PX}, a.v AS a, b.v AS b, c.v AS c "
+        f"FROM hyy{k} a JOIN hyx{k} b USING ({_PX}) JOIN hxx{k} c USING ({_PX})))"])
+
+
+_HESSIAN = f"{_SOURCE}, {_hessian_parts(1.0)}, eig AS (SELECT * FROM eig0)"
 
 
 @query(q.sql("SELECT 1", "multi").replace(
@@ -188,14 +236,14 @@ _SOBEL = """deriv AS (SELECT c.image_id, c.channel, c.y, c.x,
  FROM (SELECT * FROM source, range(-1, 2) t(dy), range(-1, 2) u(dx)) c
  LEFT JOIN source n ON n.image_id = c.image_id AND n.channel = c.channel AND n.y = c.y + dy AND n.x = c.x + dx
  GROUP BY c.image_id, c.channel, c.y, c.x)"""
-_TENSOR = ", ".join([
-    "source AS (SELECT image_id, channel, y, x, value AS v FROM multi)", _SOBEL,
+_TENSOR_PARTS = ", ".join([
+    _SOBEL,
     *[part for n, e in (("a", "gy * gy"), ("b", "gy * gx"), ("c", "gx * gx")) for part in (
         f"p{n} AS (SELECT {_PX}, {e} AS v FROM deriv)", _smooth(f"t{n}", f"p{n}", 1.0, "y", False),
         _smooth(f"m{n}", f"t{n}", 1.0, "x", False))],
-    f"tensor AS (SELECT {_PX}, a.v AS a, b.v AS b, c.v AS c FROM ma a JOIN mb b USING ({_PX}) JOIN mc c USING ({_PX}))",
-    f"eig AS (SELECT *, eigv_1_0 / (eigv_2_0 + 1e-6) AS anisotropy_0 FROM (SELECT {_PX}, "
-    f"(a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) AS eigv_1_0, (a + c) / 2 - sqrt(pow((a - c) / 2, 2) + b * b) AS eigv_2_0 FROM tensor))"])
+    f"eig AS (SELECT *, eigv_1_0 / (eigv_2_0 + 1e-6) AS anisotropy_0 FROM (SELECT {_PX}, {_EIGENVALUES.format(k=0)} FROM "
+    f"(SELECT {_PX}, a.v AS a, b.v AS b, c.v AS c FROM ma a JOIN mb b USING ({_PX}) JOIN mc c USING ({_PX}))))"])
+_TENSOR = f"{_SOURCE}, {_TENSOR_PARTS}"
 
 
 @query(q.sql("SELECT 1", "multi").replace("\nSELECT 1", f",\n{_TENSOR}\nSELECT {_PX}, {r('eigv_1_0', 2)} AS eigv_1_0, "
@@ -219,7 +267,17 @@ def image_mean_anisotropy(s, d):
     return q.rounded(tn.image_mean_anisotropy(q.multi(s, d)))
 
 
-@query()
+def wide_eigen(prefix: str, scales: int, stats: tuple[str, ...]) -> str:
+    """Wide columns of eigenvalue statistics; the sigma index appears only with several scales."""
+    fn = dict(_STATS)
+    return ", ".join(
+        f"{r(f'{fn[n]}(eigv_{e}_{k}) FILTER (channel = {c})')} AS \"{prefix}_eigv_{e}_{n}{f'_{k}' if scales > 1 else ''}-{c}\""
+        for e in (1, 2) for k in range(scales) for c in range(3) for n in stats)
+
+
+@query(q.sql_with(", ".join([ERODED, _SOURCE, *[_hessian_parts(v, k) for k, v in enumerate((0.5, 1.0, 1.5))]]),
+                  f"""SELECT image_id, label, {wide_eigen('hessian', 3, ('intensity_mean', 'intensity_std'))}
+ FROM kept JOIN eig0 USING (image_id, y, x) JOIN eig1 USING ({_PX}) JOIN eig2 USING ({_PX}) GROUP BY image_id, label""", "multi", "lab_b"))
 def hessian_features_scales(s, d):
     """Three sigmas, eroded labels, one row per object."""
     labels = q.lab_b(s, d).withColumns({"height": F.lit(8), "width": F.lit(8)})

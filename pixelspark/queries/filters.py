@@ -47,6 +47,16 @@ def _weights(sigma: float) -> str:
     return f"exp(-0.5 * (dy * dy + dx * dx) / {sigma * sigma}) / {total * total!r}"
 
 
+def weights(sigma: float) -> str:
+    """Gaussian sum of the neighbours."""
+    return f"sum(v * {_weights(sigma)})"
+
+
+def local_sql(agg: str, src: str, radius: int, mode: str) -> str:
+    """The neighbourhood aggregate as column ``v``."""
+    return _local(agg, src, radius, mode).replace(" AS value FROM", " AS v FROM", 1)
+
+
 @query(q.sql(_local(r(f"sum(v * {_weights(0.6)})"), "emb", 2, "nearest"), "emb"))
 def gaussian_filter(s, d):
     return q.rounded(st.gaussian_filter(q.emb(s, d), 0.6))

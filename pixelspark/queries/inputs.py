@@ -35,6 +35,12 @@ def sql(body: str, *names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTE[n][0]})" for n in order) + "\n" + body
 
 
+def sql_with(extra: str, body: str, *names: str, recursive: bool = False) -> str:
+    """Like ``sql`` with further relations, written by the query, between inputs and body."""
+    head, _, _ = sql("@", *names).rpartition("\n@")
+    return (head.replace("WITH ", "WITH RECURSIVE ", 1) if recursive else head) + f",\n{extra}\n{body}"
+
+
 def r(expr: str, digits: int = 4) -> str:
     """SQL rounding without a negative zero."""
     return f"(round({expr}, {digits}) + 0.0::DOUBLE)"

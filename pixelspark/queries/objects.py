@@ -168,11 +168,10 @@ def order_columns(s, d):
 
 
 # --- shape --------------------------------------------------------------------------------
+# Each part: relations to put in front, and the final select, for the label relation ``lab``.
 
 _ROOT = "sqrt(pow((a - c) / 2, 2) + b * b)"
-
-
-@query(q.sql(f"""SELECT image_id, label, area, {r('cy')} AS "centroid-0", {r('cx')} AS "centroid-1",
+_MOMENTS = f"""SELECT image_id, label, area, {r('cy')} AS "centroid-0", {r('cx')} AS "centroid-1",
  y0 AS "bbox-0", x0 AS "bbox-1", y1 AS "bbox-2", x1 AS "bbox-3", ((y1 - y0) * (x1 - x0))::BIGINT AS area_bbox,
  {r('area / ((y1 - y0) * (x1 - x0))')} AS extent, {r('sqrt(area * 4 / pi())')} AS equivalent_diameter_area,
  {r(f'4 * sqrt((a + c) / 2 + {_ROOT})')} AS axis_major_length,
@@ -181,28 +180,14 @@ _ROOT = "sqrt(pow((a - c) / 2, 2) + b * b)"
  {r('CASE WHEN abs(a - c) < 1e-12 THEN CASE WHEN b > 0 THEN pi() / 4 ELSE -pi() / 4 END ELSE atan2(2 * b, a - c) / 2 END')} AS orientation
  FROM (SELECT image_id, label, count(*) AS area, avg(y) AS cy, avg(x) AS cx, min(y) AS y0, min(x) AS x0,
  (max(y) + 1)::INT AS y1, (max(x) + 1)::INT AS x1, {r('var_pop(y)', 9)} + 1.0::DOUBLE / 12 AS a,
- {r('var_pop(x)', 9)} + 1.0::DOUBLE / 12 AS c, {r('covar_pop(y, x)', 9)} AS b FROM lab_b GROUP BY ALL)""", "lab_b"))
-def shape_moments(s, d):
-    return q.rounded(shape.shape_moments(q.lab_b(s, d)))
-
+ {r('var_pop(x)', 9)} + 1.0::DOUBLE / 12 AS c, {r('covar_pop(y, x)', 9)} AS b FROM lab GROUP BY ALL)"""
 
 _QUADS = """(SELECT image_id, label, qy, qx, sum(bit)::INT AS code FROM (SELECT image_id, label, y + dy AS qy, x + dx AS qx, bit
- FROM lab_b, (VALUES (0, 0, 1), (1, 0, 2), (0, 1, 4), (1, 1, 8)) AS t(dy, dx, bit)) GROUP BY ALL)"""
-
-
-@query(q.sql(f"SELECT image_id, label, code, count(*) AS n FROM {_QUADS} GROUP BY ALL", "lab_b"))
-def quad_counts(s, d):
-    return shape.quad_counts(q.lab_b(s, d))
-
-
+ FROM lab, (VALUES (0, 0, 1), (1, 0, 2), (0, 1, 4), (1, 1, 8)) AS t(dy, dx, bit)) GROUP BY ALL)"""
 _CROFTON = f"({list(shape.CROFTON_4)!r})"
-
-
-@query(q.sql(f"""SELECT image_id, label, (sum(CASE WHEN code IN (1, 2, 4, 8) THEN 1 WHEN code IN (7, 11, 13, 14) THEN -1
+_TOPOLOGY = f"""SELECT image_id, label, (sum(CASE WHEN code IN (1, 2, 4, 8) THEN 1 WHEN code IN (7, 11, 13, 14) THEN -1
  WHEN code IN (6, 9) THEN -2 ELSE 0 END) / 4)::INT AS euler_number, {r(f'sum({_CROFTON}[code + 1])')} AS perimeter_crofton
- FROM {_QUADS} GROUP BY image_id, label""", "lab_b"))
-def topology(s, d):
-    return q.rounded(shape.topology(q.lab_b(s, d)))
+ FROM {_QUADS} GROUP BY image_id, label"""
 
 
 def _neighbours(name: str, src: str, offsets: str) -> str:
@@ -214,40 +199,87 @@ def _neighbours(name: str, src: str, offsets: str) -> str:
 
 _FOUR = "(1, 0), (-1, 0), (0, 1), (0, -1)"
 _EIGHT = _FOUR + ", (1, 1), (1, -1), (-1, 1), (-1, -1)"
-
-
-@query(q.sql("SELECT 1", "lab_b").replace("\nSELECT 1", f""",\n{_neighbours('around', 'lab_b', _FOUR)},
+_CODED = f"""{_neighbours('around', 'lab', _FOUR)},
  border AS (SELECT image_id, label, y, x FROM around GROUP BY ALL HAVING NOT bool_and(hit)),
  {_neighbours('line', 'border', _EIGHT)},
  coded AS (SELECT image_id, label, y, x, 1 + sum(CASE WHEN hit THEN CASE WHEN dy = 0 OR dx = 0 THEN 2 ELSE 10 END ELSE 0 END) AS code
-  FROM line GROUP BY ALL)
-SELECT image_id, label, {r(f'''sum(CASE WHEN code IN (5, 7, 15, 17, 25, 27) THEN 1.0::DOUBLE WHEN code IN (21, 33) THEN {math.sqrt(2)}::DOUBLE
- WHEN code IN (13, 23) THEN {(1 + math.sqrt(2)) / 2}::DOUBLE ELSE 0 END)''')} AS perimeter FROM coded GROUP BY ALL"""))
+  FROM line GROUP BY ALL)"""
+_PERIMETER = f"""SELECT image_id, label, {r(f'sum(CASE WHEN code IN (5, 7, 15, 17, 25, 27) THEN 1.0::DOUBLE WHEN code IN (21, 33) THEN {math.sqrt(2)}::DOUBLE WHEN code IN (13, 23) THEN {(1 + math.sqrt(2)) / 2}::DOUBLE ELSE 0 END)')} AS perimeter
+ FROM coded GROUP BY ALL"""
+
+# Hull edges are the point pairs with every other point on one side; a pixel is in the hull when it
+# lies on that side of all edges.
+_SIDE = "(e.by - e.ay) * ({p}.x - e.ax) - (e.bx - e.ax) * ({p}.y - e.ay) >= 0"
+_EDGES = f"""ends AS (SELECT image_id, label, y, min(x) AS x0, max(x) AS x1 FROM lab GROUP BY ALL),
+ pts AS (SELECT DISTINCT image_id, label, unnest([y - 0.5, y + 0.5, y, y - 0.5, y + 0.5, y])::DOUBLE AS y,
+  unnest([x0, x0, x0 - 0.5, x1, x1, x1 + 0.5])::DOUBLE AS x FROM ends),
+ edge AS (SELECT e.* FROM (SELECT a.image_id, a.label, a.y AS ay, a.x AS ax, b.y AS by, b.x AS bx FROM pts a JOIN pts b
+  ON a.image_id = b.image_id AND a.label = b.label AND (a.y <> b.y OR a.x <> b.x)) e
+  JOIN pts p ON p.image_id = e.image_id AND p.label = e.label GROUP BY ALL HAVING bool_and({_SIDE.format(p='p')})),
+ hull_px AS (SELECT g.image_id, g.label, g.y, g.x FROM (SELECT image_id, label, u.y, v.x FROM
+  (SELECT image_id, label, min(y) AS y0, max(y) AS y1, min(x) AS x0, max(x) AS x1 FROM lab GROUP BY ALL), range(0, 8) u(y), range(0, 8) v(x)
+  WHERE u.y BETWEEN y0 AND y1 AND v.x BETWEEN x0 AND x1) g JOIN edge e USING (image_id, label) GROUP BY ALL HAVING bool_and({_SIDE.format(p='g')})),
+ far AS (SELECT a.image_id, a.label, sqrt(max(pow(a.y - b.y, 2) + pow(a.x - b.x, 2))) AS feret FROM pts a JOIN pts b
+  ON a.image_id = b.image_id AND a.label = b.label GROUP BY ALL)"""
+_HULL = f"""SELECT image_id, label, any_value(n)::BIGINT AS area_convex, {r('count(*) / any_value(n)')} AS solidity, {r('any_value(feret)')} AS feret_diameter_max
+ FROM lab JOIN (SELECT image_id, label, count(*) AS n FROM hull_px GROUP BY ALL) USING (image_id, label) JOIN far USING (image_id, label)
+ GROUP BY image_id, label"""
+
+# Background of an object box reaches the outside by 8-connected steps: a fixed point.
+_REACH = """box AS (SELECT image_id, label, min(y) AS y0, max(y) AS y1, min(x) AS x0, max(x) AS x1, count(*) AS area FROM lab GROUP BY ALL),
+ hollow AS (SELECT b.image_id, b.label, u.y, v.x, u.y IN (y0, y1) OR v.x IN (x0, x1) AS edge FROM box b,
+  range(0, 8) u(y), range(0, 8) v(x) WHERE u.y BETWEEN y0 AND y1 AND v.x BETWEEN x0 AND x1
+  AND NOT EXISTS (SELECT 1 FROM lab p WHERE p.image_id = b.image_id AND p.label = b.label AND p.y = u.y AND p.x = v.x)),
+ reach AS (SELECT image_id, label, y, x FROM hollow WHERE edge
+  UNION SELECT h.image_id, h.label, h.y, h.x FROM reach r JOIN hollow h ON h.image_id = r.image_id AND h.label = r.label
+  AND abs(h.y - r.y) <= 1 AND abs(h.x - r.x) <= 1)"""
+_FILLED = """SELECT b.image_id, b.label, (any_value(area) + count(h.y) - count(q.y))::BIGINT AS area_filled FROM box b
+ LEFT JOIN hollow h USING (image_id, label) LEFT JOIN reach q ON q.image_id = h.image_id AND q.label = h.label AND q.y = h.y AND q.x = h.x
+ GROUP BY b.image_id, b.label"""
+
+
+def shape_sql(lab: str, body: str, *parts: str, needs: tuple[str, ...] = ("lab_b",)) -> str:
+    return q.sql_with(", ".join([f"lab AS ({lab})", *parts]), body, *needs, recursive=True)
+
+
+_B = "SELECT * FROM lab_b"
+
+
+@query(shape_sql(_B, _MOMENTS))
+def shape_moments(s, d):
+    return q.rounded(shape.shape_moments(q.lab_b(s, d)))
+
+
+@query(shape_sql(_B, f"SELECT image_id, label, code, count(*) AS n FROM {_QUADS} GROUP BY ALL"))
+def quad_counts(s, d):
+    return shape.quad_counts(q.lab_b(s, d))
+
+
+@query(shape_sql(_B, _TOPOLOGY))
+def topology(s, d):
+    return q.rounded(shape.topology(q.lab_b(s, d)))
+
+
+@query(shape_sql(_B, _PERIMETER, _CODED))
 def perimeter(s, d):
     return q.rounded(shape.perimeter(q.lab_b(s, d)))
 
 
-@query()
+@query(shape_sql(_B, _HULL, _EDGES))
 def hull_features(s, d):
     return q.rounded(shape.hull_features(q.lab_b(s, d)))
 
 
-# Background of an object box reaches the outside by 8-connected steps: a fixed point.
-@query(q.sql("SELECT 1", "lab_b").replace("WITH ", "WITH RECURSIVE ").replace("\nSELECT 1", """,
- box AS (SELECT image_id, label, min(y) AS y0, max(y) AS y1, min(x) AS x0, max(x) AS x1, count(*) AS area FROM lab_b GROUP BY ALL),
- hollow AS (SELECT b.image_id, b.label, u.y, v.x, u.y IN (y0, y1) OR v.x IN (x0, x1) AS edge FROM box b,
-  range(0, 8) u(y), range(0, 8) v(x) WHERE u.y BETWEEN y0 AND y1 AND v.x BETWEEN x0 AND x1
-  AND NOT EXISTS (SELECT 1 FROM lab_b p WHERE p.image_id = b.image_id AND p.label = b.label AND p.y = u.y AND p.x = v.x)),
- reach AS (SELECT image_id, label, y, x FROM hollow WHERE edge
-  UNION SELECT h.image_id, h.label, h.y, h.x FROM reach r JOIN hollow h ON h.image_id = r.image_id AND h.label = r.label
-  AND abs(h.y - r.y) <= 1 AND abs(h.x - r.x) <= 1)
-SELECT b.image_id, b.label, (any_value(area) + count(h.y) - count(q.y))::BIGINT AS area_filled FROM box b
- LEFT JOIN hollow h USING (image_id, label) LEFT JOIN reach q ON q.image_id = h.image_id AND q.label = h.label AND q.y = h.y AND q.x = h.x
- GROUP BY b.image_id, b.label"""))
+@query(shape_sql(_B, _FILLED, _REACH))
 def filled_area(s, d):
     return shape.filled_area(q.lab_b(s, d))
 
 
-@query()
+SHAPE_PARTS = (_CODED, _EDGES, _REACH)
+SHAPE_TABLE = " JOIN ".join(f"({t})" + (" USING (image_id, label)" if i else "")
+                            for i, t in enumerate((_MOMENTS, _TOPOLOGY, _PERIMETER, _HULL, _FILLED)))
+
+
+@query(shape_sql("SELECT * FROM lab_c", f"SELECT * FROM {SHAPE_TABLE}", *SHAPE_PARTS, needs=("lab_c",)))
 def object_shape(s, d):
     return q.rounded(shape.object_shape(q.lab_c(s, d)))

@@ -2,9 +2,11 @@
 
 from pixelspark.plans import screening as plan
 from pixelspark.queries import inputs as q
-from pixelspark.queries.features import _STATS
+from pixelspark.queries.features import _STATS, _TENSOR_PARTS, _hessian_parts, wide_eigen
+from pixelspark.queries.filters import local_sql, weights
 from pixelspark.queries.illumination import LEVELS, _CYX, bright
 from pixelspark.queries.inputs import r
+from pixelspark.queries.objects import SHAPE_PARTS, SHAPE_TABLE, shape_sql
 from pixelspark.queries.registry import query
 
 _MOS = "CASE WHEN stddev_pop(value) > 0 THEN avg(value) / stddev_pop(value) END"
@@ -70,7 +72,21 @@ def object_table(s, d):
     return q.rounded(out.select(*[f"`{c}`" for c in keep]))
 
 
-@query()
+_SMOOTHED = "source AS (" + local_sql(weights(0.6), "multi", 2, "nearest") + ")"
+_INNER = "kept AS (SELECT * FROM lab_i WHERE label <> 6 AND y BETWEEN 3 AND 4 AND x BETWEEN 3 AND 4)"
+_PX = "image_id, channel, y, x"
+_FULL = f"""SELECT * FROM {SHAPE_TABLE}
+ JOIN (SELECT image_id, label, {', '.join(f'{r(f"{fn}(v) FILTER (channel = {c})")} AS "{n}-{c}"' for n, fn in _STATS for c in range(3))}
+  FROM lab JOIN source USING (image_id, y, x) GROUP BY image_id, label) USING (image_id, label)
+ JOIN (SELECT image_id, label, {wide_eigen('hessian', 1, tuple(n for n, _ in _STATS))}
+  FROM kept JOIN eig0 USING (image_id, y, x) GROUP BY image_id, label) USING (image_id, label)
+ JOIN (SELECT image_id, label, {wide_eigen('str_tens', 1, tuple(n for n, _ in _STATS))},
+  {', '.join(f'{r(f"{fn}(anisotropy_0) FILTER (channel = {c})")} AS "anisotropy_{n}_1_2-{c}"' for n, fn in _STATS for c in range(3))}
+  FROM kept JOIN eig USING (image_id, y, x) GROUP BY image_id, label) USING (image_id, label)"""
+
+
+@query(shape_sql("SELECT * FROM lab_i WHERE label <> 6", _FULL, *SHAPE_PARTS, _INNER, _SMOOTHED, _hessian_parts(1.0), _TENSOR_PARTS,
+                 needs=("multi", "lab_i")))
 def object_table_full(s, d):
     """All features of the workflow's last step, one row per object."""
     return q.rounded(plan.object_table(q.multi(s, d), q.lab_i(s, d), [0, 1, 2], sigma=0.6, erosion=1))

@@ -28,11 +28,13 @@ def local_session(cpus: int = 8, app: str = "pixelspark") -> SparkSession:
 def cut_lineage(df):
     """Reliable checkpoint in the folder of ``spark.checkpoint.dir``.
 
-    The folder comes from the session. Only where none is set (tests on one machine)
-    a temporary one is used.
+    The folder comes from the session. Only on one machine (tests) a temporary one is used where
+    none is set.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="pixelspark-"))
     return df.checkpoint(eager=True)
