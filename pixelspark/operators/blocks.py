@@ -82,6 +82,64 @@ def whole_tiles(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Itera
         yield pa.Table.from_batches(held), np.zeros(1, int)
 
 
+class _Tile:
+    """Geometry of one tile: the stored region and the core inside it."""
+
+    def __init__(self, ty: int, tx: int, region: tuple[int, int, int, int], block: int):
+        self.y0, self.x0, y1, x1 = (int(v) for v in region)
+        self.shape = (y1 - self.y0, x1 - self.x0)
+        self.core = (slice(max(ty * block - self.y0, 0), max(min((ty + 1) * block, y1) - self.y0, 0)),
+                     slice(max(tx * block - self.x0, 0), max(min((tx + 1) * block, x1) - self.x0, 0)))
+        self.empty = any(c.start >= c.stop for c in self.core)
+
+
+def _rows(core: tuple[slice, slice], y0: int, x0: int, result, inside: np.ndarray | None = None):
+    """Coordinates and values of the core pixels, only those ``inside`` where it is given."""
+    if inside is None:
+        gy, gx = (g.ravel() for g in np.mgrid[core])
+    else:
+        gy, gx = np.nonzero(inside[core] > 0)
+        gy, gx = gy + core[0].start, gx + core[1].start
+    result = [result] if isinstance(result, np.ndarray) else result
+    return gy + y0, gx + x0, [np.asarray(a, np.float64)[gy, gx] for a in result]
+
+
+def _long_schema(df: DataFrame, keys: Sequence[str], out: Sequence[str]) -> T.StructType:
+    return T.StructType([*df.select(*keys).schema.fields, T.StructField("y", T.IntegerType()),
+                         T.StructField("x", T.IntegerType()), *[T.StructField(o, T.DoubleType()) for o in out]])
+
+
+def _long_batch(table: pa.Table | pa.RecordBatch, keys: Sequence[str], made: list, schema: pa.Schema) -> pa.RecordBatch:
+    """One batch from (row of the keys, (ys, xs, values)) pairs."""
+    rows = pa.array(np.concatenate([np.full(m[0].size, row) for row, m in made]))
+    data = []
+    for k, f in zip(keys, schema):
+        c = table.column(k).take(rows)
+        data.append((c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c).cast(f.type))
+    data += [pa.array(np.concatenate([m[i] for _, m in made]).astype(np.int32)) for i in (0, 1)]
+    for parts in zip(*[m[2] for _, m in made]):
+        v = np.concatenate(parts)
+        data.append(pa.array(v, mask=np.isnan(v)))
+    return pa.RecordBatch.from_arrays(data, schema=schema)
+
+
+def _region(col: dict[str, np.ndarray], s: slice, block: int, halo: int,
+            shape: tuple[str, str] | None) -> tuple[int, int, int, int]:
+    """Rows and columns a tile covers, halo included, cut at the image border."""
+    if shape is None:
+        ys, xs = col["y"][s], col["x"][s]
+        return ys.min(), xs.min(), ys.max() + 1, xs.max() + 1
+    ty, tx = col["ty"][s.start], col["tx"][s.start]
+    h, w = (col[c][s.start] for c in shape)
+    return (max(0, ty * block - halo), max(0, tx * block - halo),
+            min(h, (ty + 1) * block + halo), min(w, (tx + 1) * block + halo))
+
+
+def _spans(starts: np.ndarray, end: int) -> Iterator[slice]:
+    for a, b in zip(starts, [*starts[1:], end]):
+        yield slice(int(a), int(b))
+
+
 def map_blocks(df: DataFrame, kernel: Kernel, out: Sequence[str], *,
                values: Sequence[str] = ("value",), keys: Sequence[str] = tuple(IC),
                halo: int = 0, block: int = BLOCK, fill: Sequence[float | str] | None = None,
@@ -104,61 +162,86 @@ def map_blocks(df: DataFrame, kernel: Kernel, out: Sequence[str], *,
     cols = list(dict.fromkeys([*keys, "y", "x", *values, *extra]))
     tile = [*keys, "ty", "tx"]
     tiles = spread(with_halo(df.select(*cols), block, halo, shape), *tile).sortWithinPartitions(*tile)
-
-    schema = T.StructType([*tiles.select(*keys).schema.fields,
-                           T.StructField("y", T.IntegerType()), T.StructField("x", T.IntegerType()),
-                           *[T.StructField(o, T.DoubleType()) for o in out]])
+    schema = _long_schema(tiles, keys, out)
     arrow = to_arrow_schema(schema)
 
     def one_tile(col: dict[str, np.ndarray], s: slice):
-        """Output coordinates and values of the tile in rows ``s``."""
-        ty, tx, ys, xs = col["ty"][s.start], col["tx"][s.start], col["y"][s], col["x"][s]
-        if shape:
-            h, w = (int(col[c][s.start]) for c in shape)
-            y0, x0 = max(0, ty * block - halo), max(0, tx * block - halo)
-            y1, x1 = min(h, (ty + 1) * block + halo), min(w, (tx + 1) * block + halo)
-        else:
-            y0, x0, y1, x1 = ys.min(), xs.min(), ys.max() + 1, xs.max() + 1
-        cy = slice(max(ty * block - y0, 0), max(min((ty + 1) * block, y1) - y0, 0))
-        cx = slice(max(tx * block - x0, 0), max(min((tx + 1) * block, x1) - x0, 0))
-        if cy.start >= cy.stop or cx.start >= cx.stop:
+        t = _Tile(col["ty"][s.start], col["tx"][s.start], _region(col, s, block, halo, shape), block)
+        if t.empty:
             return None
         arrays = {}
         for name, f in zip(values, fill):
-            a = np.full((y1 - y0, x1 - x0), col[f][s.start] if isinstance(f, str) else f, np.float64)
-            a[ys - y0, xs - x0] = col[name][s]
+            a = np.full(t.shape, col[f][s.start] if isinstance(f, str) else f, np.float64)
+            a[col["y"][s] - t.y0, col["x"][s] - t.x0] = col[name][s]
             arrays[name] = a
         result = kernel(*arrays.values())
-        result = [result] if isinstance(result, np.ndarray) else list(result)
-        if keep is None:
-            gy, gx = np.mgrid[cy, cx]
-        else:
-            gy, gx = np.nonzero(arrays[keep][cy, cx] > 0)
-            gy, gx = gy + cy.start, gx + cx.start
-        gy, gx = gy.ravel(), gx.ravel()
-        return gy + y0, gx + x0, [np.asarray(a, np.float64)[gy, gx] for a in result]
+        return _rows(t.core, t.y0, t.x0, result, arrays[keep] if keep else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_tiles(batches, tile):
             col = {c: table.column(c).to_numpy() for c in ["ty", "tx", *cols] if c not in keys}
-            first, ys, xs, res = [], [], [], []
-            for a, b in zip(starts, [*starts[1:], table.num_rows]):
-                made = one_tile(col, slice(int(a), int(b)))
-                if made is None:
+            made = [(s.start, one_tile(col, s)) for s in _spans(starts, table.num_rows)]
+            made = [m for m in made if m[1] is not None]
+            if made:
+                yield _long_batch(table, keys, made, arrow)
+
+    return tiles.mapInArrow(run, schema)
+
+
+_GEOMETRY = ("y0", "x0", "h", "w", "top", "left", "bottom", "right")
+
+
+def pack_tiles(pixels: DataFrame, halo: int, block: int = BLOCK, value: str = "value",
+               keys: Sequence[str] = tuple(IC)) -> DataFrame:
+    """One row per tile with its halo: (keys, ty, tx, geometry, vals).
+
+    Written once, the tiles serve any kernel that reaches no further than ``halo`` without
+    another shuffle; see :func:`map_tiles`. ``top`` to ``right`` bound the core.
+    """
+    tile = [*keys, "ty", "tx"]
+    px = pixels.select(*keys, "y", "x", F.col(value).cast("double").alias("value"))
+    tiles = spread(with_halo(px, block, halo), *tile).sortWithinPartitions(*tile)
+    schema = T.StructType([*tiles.select(*tile).schema.fields, *[T.StructField(g, T.IntegerType()) for g in _GEOMETRY],
+                           T.StructField("vals", T.ArrayType(T.DoubleType()))])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_tiles(batches, tile):
+            col = {c: table.column(c).to_numpy() for c in ("ty", "tx", "y", "x", "value")}
+            first, geometry, vals = [], [], []
+            for s in _spans(starts, table.num_rows):
+                t = _Tile(col["ty"][s.start], col["tx"][s.start], _region(col, s, block, halo, None), block)
+                if t.empty:
                     continue
-                first.append(np.full(made[0].size, a))
-                ys.append(made[0])
-                xs.append(made[1])
-                res.append(made[2])
+                a = np.full(t.shape, np.nan)
+                a[col["y"][s] - t.y0, col["x"][s] - t.x0] = col["value"][s]
+                first.append(s.start)
+                geometry.append((t.y0, t.x0, *t.shape, t.core[0].start, t.core[1].start, t.core[0].stop, t.core[1].stop))
+                vals.append(a.ravel())
             if not first:
                 continue
-            rows = pa.array(np.concatenate(first))
-            data = [table.column(k).take(rows).combine_chunks().cast(f.type)
-                    for k, f in zip(keys, arrow)]
-            data += [pa.array(np.concatenate(v).astype(np.int32)) for v in (ys, xs)]
-            for parts in zip(*res):
-                v = np.concatenate(parts)
-                data.append(pa.array(v, mask=np.isnan(v)))
+            data = [table.column(k).take(pa.array(first)).combine_chunks().cast(f.type) for k, f in zip(tile, arrow)]
+            data += [pa.array(np.array(g, np.int32)) for g in zip(*geometry)]
+            ends = np.concatenate([[0], np.cumsum([v.size for v in vals])]).astype(np.int32)
+            flat = np.concatenate(vals)
+            data.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, mask=np.isnan(flat))))
             yield pa.RecordBatch.from_arrays(data, schema=arrow)
 
     return tiles.mapInArrow(run, schema)
+
+
+def map_tiles(tiles: DataFrame, kernel: Kernel, out: Sequence[str], keys: Sequence[str] = tuple(IC)) -> DataFrame:
+    """Run a kernel on packed tiles; rows stay where they are."""
+    schema = _long_schema(tiles, keys, out)
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            geo = [batch.column(g).to_numpy() for g in _GEOMETRY]
+            for i in range(batch.num_rows):
+                y0, x0, h, w, top, left, bottom, right = (int(g[i]) for g in geo)
+                a = batch.column("vals")[i].values.to_numpy(zero_copy_only=False).reshape(h, w)
+                made = _rows((slice(top, bottom), slice(left, right)), y0, x0, kernel(a))
+                yield _long_batch(batch, keys, [(i, made)], arrow)
+
+    return tiles.select(*keys, *_GEOMETRY, "vals").mapInArrow(run, schema)

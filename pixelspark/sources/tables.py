@@ -64,6 +64,16 @@ def write_image_table(df: DataFrame, path: str, metadata: Mapping[str, str] | No
     df.write.mode(mode).parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, buckets: int, path: str | None = None,
+                   keys: Sequence[str] = ("image_id", "y", "x"), mode: str = "overwrite") -> None:
+    """Table bucketed by pixel, so that joins of labels and pixels on ``keys`` need no shuffle.
+
+    The key is the pixel, not the image: an image holding much of the data spreads evenly.
+    """
+    writer = df.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def run_params(spark: SparkSession, run_id: str, step: str, params: Mapping[str, object]) -> DataFrame:
     """Name/value rows of one processing step."""
     rows = [(run_id, step, k, None if v is None else str(v)) for k, v in params.items()]

@@ -9,7 +9,7 @@ from pixelspark.operators import background as bg
 from pixelspark.operators import stencil as st
 from pixelspark.operators import tensors as tn
 from pixelspark.operators import texture as tex
-from pixelspark.operators.blocks import map_blocks
+from pixelspark.operators.blocks import map_blocks, map_tiles, pack_tiles
 from pixelspark.sources.tables import fov_shape
 
 RNG = np.random.default_rng(11)
@@ -38,6 +38,19 @@ def test_tiles_equal_whole_image(grid, picture, block, mode):
     np.testing.assert_allclose(array(got), K.correlate(picture, k[::-1, ::-1], mode), atol=1e-9)
 
 
+@pytest.mark.parametrize("block", [6, 64])
+def test_packed_tiles_serve_many_kernels(spark, grid, picture, tmp_path, block):
+    pack_tiles(grid({1: picture, 2: picture[:9, :4]}), 2, block).write.parquet(f"{tmp_path}/tiles")
+    tiles = spark.read.parquet(f"{tmp_path}/tiles")
+    fp = np.ones((3, 3), bool)
+    median = map_tiles(tiles, lambda a: K.LOCAL["median"](K.windows(a, fp, "symmetric")), ["value"])
+    np.testing.assert_array_equal(array(median, image=1), array(st.median_filter(grid({1: picture}))))
+    np.testing.assert_array_equal(array(median, image=2), array(st.median_filter(grid({2: picture[:9, :4]}))))
+    smooth = map_tiles(tiles, lambda a: K.gaussian(a, 0.5, "nearest"), ["value"])
+    np.testing.assert_allclose(array(smooth, image=1), K.gaussian(picture, 0.5, "nearest"), atol=1e-9)
+    assert "Exchange" not in smooth._jdf.queryExecution().executedPlan().toString()
+
+
 def test_many_images_in_one_task(grid):
     images = {i: RNG.integers(0, 50, size=(3 + i % 4, 2 + i % 5)) for i in range(40)}
     got = st.median_filter(grid(images), 3, block=4)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pixelspark.functions import text as tx
 from pixelspark.operators import correlation as co
 from pixelspark.operators import labels as lb
-from pixelspark.operators import prep, shape
+from pixelspark.operators import measure, prep, shape
 from pixelspark.plans import screening as plan
 from pixelspark.sources import files as fs
 from pixelspark.sources import tables as src
@@ -243,6 +243,22 @@ def test_writers(spark, tmp_path, grid):
     assert spark.read.parquet(f"{tmp_path}/run").count() == 4
 
 
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path, grid, lab):
+    labels = np.ones((6, 6), int)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        src.write_bucketed(grid({1: RNG.normal(size=(6, 6))}), "t_px", 4, f"{tmp_path}/px")
+        src.write_bucketed(lab(labels), "t_lab", 4, f"{tmp_path}/lab")
+        out = measure.label_pixels(spark.table("t_px"), spark.table("t_lab"))
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 36
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("DROP TABLE IF EXISTS t_px")
+        spark.sql("DROP TABLE IF EXISTS t_lab")
+
+
 def test_workflow_with_stored_background(spark, tmp_path, grid):
     """Background written, read back and joined without shuffling the pixels."""
     images = {i: RNG.integers(1000, 2000, size=(6, 6)) for i in range(8)}
