@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from pixelspark.operators.blocks import map_blocks, spread
 from pixelspark.schema import IL
+from pixelspark.session import cut_lineage
 
 # Variance of a unit pixel, added to the second moments of an object.
 PIXEL_VARIANCE = 1.0 / 12.0
@@ -214,24 +215,86 @@ def _closed_pixels(gy, g0, g1, ey, e0, e1) -> int:
     return sum(int(g1[i] - g0[i] + 1) for i in range(outside) if root(i) != root(outside))
 
 
-def filled_area(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:
+# Objects with more gaps than this are solved by joins instead of in one call.
+MAX_GAPS = 20_000
+_CELL = 64
+
+
+def _linked_gaps(gaps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Pairs (u, v) of gaps that touch, 8 ways, in neighbouring rows.
+
+    Gaps meet through cells of 64 columns, so a row with many gaps is matched cell by cell.
+    """
+    cells = F.explode(F.sequence(F.floor((F.col("g0") - 1) / _CELL), F.floor((F.col("g1") + 1) / _CELL)))
+    a = gaps.select(*keys, "y", F.col("id").alias("u"), F.col("g0").alias("a0"), F.col("g1").alias("a1"), cells.alias("_c"))
+    b = gaps.select(*keys, (F.col("y") - 1).alias("y"), F.col("id").alias("v"), F.col("g0").alias("b0"),
+                    F.col("g1").alias("b1"), cells.alias("_c"))
+    return (a.join(b, [*keys, "y", "_c"]).where("a0 <= b1 + 1 and b0 <= a1 + 1")
+            .select(*keys, "u", "v").distinct())
+
+
+def _closed_by_joins(gaps: DataFrame, ends: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Pixels in closed gaps per object, by min-label hooking with shortcuts.
+
+    The outside is node -1 and a gap that touches it starts with that label. Each round every
+    gap takes the smallest grandparent label of its neighbours, its parent learns it too, and
+    paths are halved; the number of rounds grows with the logarithm of the longest path.
+    """
+    gaps = gaps.withColumn("id", F.col("y").cast("bigint") * (1 << 32) + F.col("g0"))
+    near = F.explode(F.array(F.col("y") - 1, F.col("y") + 1)).alias("_ny")
+    side = ends.select(*keys, F.col("y").alias("_ny"), "e0", "e1")
+    reach = gaps.select(*keys, "id", "g0", "g1", near).join(side, [*keys, "_ny"], "left")
+    at_edge = F.col("e0").isNull() | (F.col("g0") - 1 < F.col("e0")) | (F.col("g1") + 1 > F.col("e1"))
+    start = reach.groupBy(*keys, "id").agg(F.bool_or(at_edge).alias("_open")).select(
+        *keys, "id", F.when(F.col("_open"), F.lit(-1).cast("bigint")).otherwise(F.col("id")).alias("f"))
+    links = _linked_gaps(gaps, keys)
+    links = cut_lineage(links.unionByName(links.select(*keys, F.col("v").alias("u"), F.col("u").alias("v"))))
+    nodes = cut_lineage(start)
+    while True:
+        parent = nodes.select(*keys, F.col("id").alias("f"), F.col("f").alias("_up"))
+        grand = (nodes.join(parent, [*keys, "f"], "left")
+                 .select(*keys, "id", "f", F.coalesce("_up", "f").alias("g")))
+        heard = (links.join(grand.select(*keys, F.col("id").alias("v"), "g"), [*keys, "v"])
+                 .groupBy(*keys, F.col("u").alias("id")).agg(F.min("g").alias("m")))
+        best = grand.join(heard, [*keys, "id"], "left").select(
+            *keys, "id", "f", F.least("f", "g", F.coalesce("m", "g")).alias("m"))
+        told = best.where("m < f and f >= 0").groupBy(*keys, F.col("f").alias("id")).agg(F.min("m").alias("t"))
+        step = cut_lineage(best.join(told, [*keys, "id"], "left").select(
+            *keys, "id", F.least("m", F.coalesce("t", "m")).alias("f"), F.col("f").alias("_old")))
+        nodes = step.drop("_old")
+        if step.where("f <> _old").isEmpty():
+            break
+    closed = gaps.join(nodes.where("f >= 0").select(*keys, "id"), [*keys, "id"], "left_semi")
+    return closed.groupBy(*keys).agg(F.sum(F.col("g1") - F.col("g0") + 1).alias("_holes"))
+
+
+def filled_area(labels: DataFrame, keys: Sequence[str] = tuple(IL), max_gaps: int = MAX_GAPS) -> DataFrame:
     """Area with holes filled; a hole is background not connected (8 ways) to the outside.
 
-    Objects are reduced to the gaps between their runs and to their row ends. Only objects with
-    gaps reach the step that decides which gaps are closed.
+    Objects are reduced to the gaps between their runs and to their row ends. An object with up
+    to ``max_gaps`` gaps is solved in one call, a more porous one by joins over all tasks.
     """
     px = labels.where("label > 0")
-    gaps = gap_runs(labels, keys).groupBy(*keys).agg(_column_list("y", "g0", "g1").alias("g"))
-    ends = (px.groupBy(*keys, "y").agg(F.min("x").alias("e0"), F.max("x").alias("e1"), F.count(F.lit(1)).alias("n"))
-            .groupBy(*keys).agg(_column_list("y", "e0", "e1").alias("e"), F.sum("n").alias("area")))
+    gaps = gap_runs(labels, keys)
+    ends = px.groupBy(*keys, "y").agg(F.min("x").alias("e0"), F.max("x").alias("e1"), F.count(F.lit(1)).alias("n"))
+    area = ends.groupBy(*keys).agg(F.sum("n").alias("area"))
+    porous = cut_lineage(gaps.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_gaps).select(*keys))
+    parts = None
+    if not porous.isEmpty():
+        parts = _closed_by_joins(gaps.join(porous, list(keys), "left_semi"), ends.join(porous, list(keys), "left_semi"), keys)
+        gaps = gaps.join(porous, list(keys), "left_anti")
+    packed = gaps.groupBy(*keys).agg(_column_list("y", "g0", "g1").alias("g"))
+    rows = ends.join(packed.select(*keys), list(keys), "left_semi").groupBy(*keys).agg(
+        _column_list("y", "e0", "e1").alias("e"))
 
     @F.pandas_udf(T.LongType())
     def closed(gy: pd.Series, g0: pd.Series, g1: pd.Series, ey: pd.Series, e0: pd.Series, e1: pd.Series) -> pd.Series:
         return pd.Series([_closed_pixels(*row) for row in zip(gy, g0, g1, ey, e0, e1)], dtype="int64")
 
-    holes = (ends.join(gaps, list(keys))
-             .select(*keys, closed("g.y", "g.g0", "g.g1", "e.y", "e.e0", "e.e1").alias("_holes")))
-    return (ends.select(*keys, "area").join(holes, list(keys), "left")
+    holes = spread(packed.join(rows, list(keys)), *keys).select(
+        *keys, closed("g.y", "g.g0", "g.g1", "e.y", "e.e0", "e.e1").alias("_holes"))
+    holes = holes if parts is None else holes.unionByName(parts)
+    return (area.join(holes, list(keys), "left")
             .select(*keys, (F.col("area") + F.coalesce("_holes", F.lit(0))).alias("area_filled")))
 
 

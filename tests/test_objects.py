@@ -99,6 +99,25 @@ def test_random_objects_against_brute_force(grid):
         assert got[i].euler_number == ((quad == 1).sum() - (quad == 3).sum() - 2 * diag) // 4
 
 
+def test_porous_objects_by_joins(grid):
+    images = {i: (RNG.random((14, 17)) > 0.45).astype(int) for i in range(12)}
+    spiral = np.ones((13, 13), int)
+    y, x, dy, dx = 1, 1, 0, 1
+    while True:
+        spiral[y, x] = 0
+        ahead = spiral[y + 2 * dy, x + 2 * dx] if 0 <= y + 2 * dy < 13 and 0 <= x + 2 * dx < 13 else 0
+        if not ahead or not spiral[y + dy, x + dx] or not (0 < y + dy < 12 and 0 < x + dx < 12):
+            dy, dx = dx, -dy
+            if not spiral[y + dy, x + dx] or not spiral[y + 2 * dy, x + 2 * dx]:
+                break
+        y, x = y + dy, x + dx
+    images[90], images[91] = spiral, spiral.copy()
+    images[91][1, 0] = 0
+    px = grid(images, "label", "int").where("label > 0")
+    got = {r.image_id: r.area_filled for r in shape.filled_area(px, max_gaps=3).collect()}
+    assert got == {i: _fill(a) for i, a in images.items()}
+
+
 def test_two_labels_side_by_side_do_not_mix(lab):
     a = np.zeros((4, 8), int)
     a[:, :4], a[:, 4:] = 1, 2
