@@ -158,11 +158,15 @@ def match_labels(container: DataFrame, contained: DataFrame, strict: bool = Fals
 
 
 def edge_labels(labels: DataFrame, shape: DataFrame) -> DataFrame:
-    """Labels that touch the first or last row or column."""
-    px = _present(labels).join(shape.select(*IMG, "height", "width"), IMG)
-    at_edge = (F.col("y") == 0) | (F.col("x") == 0) | (F.col("y") == F.col("height") - 1) \
-        | (F.col("x") == F.col("width") - 1)
-    return px.where(at_edge).select(*IL).distinct()
+    """Labels that touch the first or last row or column.
+
+    Objects are reduced to their extremes first; the image shape is joined to objects, not pixels.
+    """
+    box = _present(labels).groupBy(*IL).agg(*[f(c).alias(f"_{c}{n}") for c in ("y", "x")
+                                              for n, f in (("0", F.min), ("1", F.max))])
+    at_edge = (F.col("_y0") == 0) | (F.col("_x0") == 0) | (F.col("_y1") == F.col("height") - 1) \
+        | (F.col("_x1") == F.col("width") - 1)
+    return box.join(shape.select(*IMG, "height", "width"), IMG).where(at_edge).select(*IL)
 
 
 def exclude_edge_labels(labels: DataFrame, shape: DataFrame) -> DataFrame:

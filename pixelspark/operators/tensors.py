@@ -121,6 +121,22 @@ def feature_name(feature: str, stat: str, sigma: int | None, channel: int | None
     return name if channel is None else f"{name}{channel_sep}{channel}"
 
 
+def rename_features(df: DataFrame, keep: Sequence[str] = ("label",), prefix: str | None = None,
+                    suffix: str | None = None, sep: str = "_", suffix_sep: str | None = None) -> DataFrame:
+    """Prefix and suffix on every column but those to keep."""
+    def name(c: str) -> str:
+        c = c if prefix is None else f"{prefix}{sep}{c}"
+        return c if suffix is None else f"{c}{sep if suffix_sep is None else suffix_sep}{suffix}"
+    return df.withColumnsRenamed({c: name(c) for c in df.columns if c not in keep})
+
+
+def merge_features(first: DataFrame, *rest: DataFrame, how: str = "left", on: Sequence[str] = (*IMG, "label")) -> DataFrame:
+    """Object tables side by side; ``full_outer`` keeps the objects of any of them."""
+    for other in rest:
+        first = first.join(other, list(on), how)
+    return first
+
+
 def wide_features(long: DataFrame, features: Sequence[tuple[str, str]], stats: Sequence[str],
                   n_sigma: int, channels: Sequence[int], sep: str = "_", channel_sep: str = "-") -> DataFrame:
     """One row per object; sigma and channel enter a name only where there are several."""

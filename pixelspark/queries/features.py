@@ -287,6 +287,38 @@ def hessian_features_scales(s, d):
                                       3, [0, 1, 2]))
 
 
+_GEO = "SELECT image_id, label, count(*) AS {a}, " + r("avg(y)") + " AS {b} FROM {t} GROUP BY image_id, label"
+
+
+def _geometry(labels):
+    return labels.groupBy("image_id", "label").agg(F.count(F.lit(1)).alias("area"), F.avg("y").alias("row"))
+
+
+@query(q.sql(_GEO.format(a='"mask_area-1"', b='"mask_row-1"', t="lab_b"), "lab_b"))
+def rename_features(s, d):
+    return q.rounded(tn.rename_features(_geometry(q.lab_b(s, d)), ("image_id", "label"), "mask", "1", suffix_sep="-"))
+
+
+def _merged(kind: str) -> str:
+    return (f"SELECT * FROM ({_GEO.format(a='a_area', b='a_row', t='lab_b')}) {kind} JOIN "
+            f"({_GEO.format(a='b_area', b='b_row', t='lab_i')}) USING (image_id, label)")
+
+
+def _two_tables(s, d):
+    return [tn.rename_features(_geometry(t), ("image_id", "label"), n)
+            for n, t in (("a", q.lab_b(s, d)), ("b", q.lab_i(s, d)))]
+
+
+@query(q.sql(_merged("FULL"), "lab_b", "lab_i"))
+def align_by_label(s, d):
+    return q.rounded(tn.merge_features(*_two_tables(s, d), how="full_outer"))
+
+
+@query(q.sql(_merged("RIGHT"), "lab_b", "lab_i"))
+def merge_features(s, d):
+    return q.rounded(tn.merge_features(*_two_tables(s, d), how="right"))
+
+
 # --- correlation --------------------------------------------------------------------------
 
 _G = "image_id, label, channel_1, channel_2"
