@@ -24,10 +24,14 @@ def clip_cast(value: Column, low: float | None = 0.0, high: float | None = None,
 
 def rescale_levels(value: Column, low: Column, high: Column, levels: int = 8,
                    bottom: int = 0) -> Column:
-    """Clip to [low, high], stretch to [bottom, levels-1], floor. A flat range gives ``bottom``."""
+    """Clip to [low, high], stretch to [bottom, levels-1], floor. A flat range gives ``bottom``.
+
+    Nine digits are kept before the floor, so that a value on a level border does not depend on
+    the last bit of an interpolated percentile.
+    """
     clipped = F.greatest(F.least(value, high), low)
     share = F.try_divide(clipped - low, high - low)
-    level = F.floor(share * F.lit(float(levels - 1 - bottom)) + F.lit(float(bottom)))
+    level = F.floor(F.round(share * F.lit(float(levels - 1 - bottom)) + F.lit(float(bottom)), 9))
     return F.when(value.isNotNull(), F.coalesce(level.cast("int"), F.lit(bottom)))
 
 

@@ -64,8 +64,9 @@ def whole_tiles(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Itera
         change = np.zeros(n, bool)
         for k in keys:
             c = batch.column(k)
-            if n > 1:
-                change[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(False)
+            here, before = c.slice(1), c.slice(0, n - 1)
+            change[1:] |= pc.fill_null(pc.not_equal(here, before), False).to_numpy(False)
+            change[1:] |= here.is_null().to_numpy(False) != before.is_null().to_numpy(False)
         first_key = tuple(batch.column(k)[0].as_py() for k in keys)
         change[0] = last_key is not None and first_key != last_key
         last_key = tuple(batch.column(k)[n - 1].as_py() for k in keys)

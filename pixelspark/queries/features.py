@@ -25,7 +25,7 @@ ERODED = """kept AS (SELECT image_id, y, x, m AS label FROM (SELECT c.image_id,
 # --- co-occurrence ------------------------------------------------------------------------
 
 q._cte("levels", f"""SELECT image_id, channel, y, x,
- CASE WHEN hi > lo THEN floor((greatest(least(value, hi), lo) - lo) / (hi - lo) * 7)::INT ELSE 0 END AS level
+ CASE WHEN hi > lo THEN floor(round((greatest(least(value, hi), lo) - lo) / (hi - lo) * 7, 9))::INT ELSE 0 END AS level
  FROM multi JOIN (SELECT {_IC}, quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.99) AS hi FROM multi GROUP BY {_IC})
  USING ({_IC})""", "multi")
 
@@ -90,7 +90,7 @@ def haralick_image(s, d):
 
 
 # Objects of the quadrant mask fill their box, so the crop has no outside pixels; window 3.
-_CROP = """crop AS (SELECT image_id, label, channel, y, x, floor((greatest(least(value, hi), lo) - lo) / (hi - lo) * 7)::INT AS level
+_CROP = """crop AS (SELECT image_id, label, channel, y, x, floor(round((greatest(least(value, hi), lo) - lo) / (hi - lo) * 7, 9))::INT AS level
  FROM (SELECT *, quantile_cont(value, 0.01) OVER w AS lo, quantile_cont(value, 0.99) OVER w AS hi FROM multi
  JOIN lab_a USING (image_id, y, x) WINDOW w AS (PARTITION BY image_id, label, channel))),
  win AS (SELECT c.image_id, c.label, c.channel, c.y, c.x, c.dy, c.dx, n.level FROM
@@ -143,7 +143,7 @@ _RAGGED = f"""box AS (SELECT image_id, label, min(y) AS y0, min(x) AS x0, max(y)
   LEFT JOIN lab_b l ON l.image_id = b.image_id AND l.label = b.label AND l.y = u.y + y0 AND l.x = v.x + x0
   LEFT JOIN multi m ON m.image_id = b.image_id AND m.channel = c.channel AND m.y = u.y + y0 AND m.x = v.x + x0
   WHERE u.y < h AND v.x < w),
- lev AS (SELECT *, CASE WHEN hi > lo THEN floor((greatest(least(value, hi), lo) - lo) / (hi - lo) * 7) ELSE 0 END AS level FROM
+ lev AS (SELECT *, CASE WHEN hi > lo THEN floor(round((greatest(least(value, hi), lo) - lo) / (hi - lo) * 7, 9)) ELSE 0 END AS level FROM
   (SELECT *, quantile_cont(value, 0.01) OVER k AS lo, quantile_cont(value, 0.99) OVER k AS hi FROM crop
    WINDOW k AS (PARTITION BY image_id, label, channel))),
  step AS (SELECT a.image_id, a.label, a.channel, a.y, a.x, pow(n.level - t.level, 2) AS dd FROM

@@ -86,7 +86,7 @@ _BOUNDS = ("(SELECT image_id, channel, quantile_cont(value, {a}) AS lo, quantile
 
 
 @query(q.sql(f"""SELECT image_id, channel, y, x,
- CASE WHEN hi > lo THEN floor((greatest(least(value, hi), lo) - lo) / (hi - lo) * 7)::INT ELSE 0 END AS level
+ CASE WHEN hi > lo THEN floor(round((greatest(least(value, hi), lo) - lo) / (hi - lo) * 7, 9))::INT ELSE 0 END AS level
  FROM multi JOIN {_BOUNDS.format(a=0.01, b=0.99, src='multi')} USING (image_id, channel)""", "multi"))
 def quantize(s, d):
     return m.quantize(q.multi(s, d), grey_levels=q.MULTI_LEVELS).drop("value")
