@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pixelspark.functions.pixel import minmax, rescale_levels, threshold_mask
 from pixelspark.functions.stats import Stat, resolve
-from pixelspark.operators.ranking import percentiles, value_counts
+from pixelspark.operators.ranking import MAX_LEVELS, percentiles, value_counts
 from pixelspark.schema import IC, ILC, IMG
 
 Stats = Mapping[str, "str | Stat"]
@@ -177,24 +177,37 @@ OBJECT_STATS: Mapping[str, str] = {"intensity_mean": "mean", "intensity_min": "m
                                    "intensity_sum": "sum", "intensity_skew": "skew"}
 
 
-def object_intensity(objects: DataFrame, stats: Stats = OBJECT_STATS, keys: Sequence[str] = tuple(ILC),
-                     value: str = "value", order_stats: bool = True,
+_ORDER_STATS: Mapping[str, float] = {"intensity_median": 0.5, "intensity_q25": 0.25, "intensity_q75": 0.75}
+
+
+def object_intensity(objects: DataFrame, keys: Sequence[str] = tuple(ILC), value: str = "value",
                      grey_levels: int | None = None) -> DataFrame:
-    """Per-object intensity statistics of labelled pixels, with median, quartiles and MAD.
+    """Per-object mean, extremes, deviation, sum, skewness, median, quartiles and MAD.
 
-    The order statistics work on distinct values and counts, so the second pass for the
-    median absolute deviation reads the counts, not the pixels.
+    Everything is read from the distinct values of an object and their counts, so the pixels are
+    joined and shuffled once; the second pass, for the central moments and the deviation from the
+    median, reads the counts again.
     """
-    plain = image_stat(objects, stats, keys, value)
-    if not order_stats:
-        return plain
-    counts = value_counts(objects.withColumnRenamed(value, "value") if value != "value" else objects, keys)
-    qs = percentiles(counts, keys, "value", {"intensity_median": 0.5, "intensity_q25": 0.25,
-                                             "intensity_q75": 0.75}, weight="n", levels=grey_levels)
-    dev = counts.join(qs.select(*keys, "intensity_median"), list(keys)).withColumn(
-        "value", F.abs(F.col("value") - F.col("intensity_median")))
-    mad = percentiles(dev, keys, "value", {"intensity_mad": 0.5}, weight="n", levels=grey_levels)
-    return plain.join(qs, list(keys), "left").join(mad, list(keys), "left")
+    counts = value_counts(objects.select(*keys, F.col(value).alias("value")), keys)
+    v, n = F.col("value"), F.col("n")
+    bounded = grey_levels is not None and grey_levels <= MAX_LEVELS
+    order = [F.percentile(v, q, n).alias(name) for name, q in _ORDER_STATS.items()] if bounded else []
+    first = counts.groupBy(*keys).agg(F.sum(n).alias("_n"), F.sum(v * n).alias("intensity_sum"),
+                                      F.min(v).alias("intensity_min"), F.max(v).alias("intensity_max"), *order)
+    if not bounded:
+        first = first.join(percentiles(counts, keys, "value", _ORDER_STATS, weight="n"), list(keys))
+    first = first.withColumn("intensity_mean", F.col("intensity_sum") / F.col("_n")).drop("_n")
+    away = v - F.col("intensity_mean")
+    dev = counts.join(first.select(*keys, "intensity_mean", "intensity_median"), list(keys)).withColumns(
+        {"_2": away * away * n, "_3": away * away * away * n, "value": F.abs(v - F.col("intensity_median"))})
+    mad = [F.percentile(v, 0.5, n).alias("intensity_mad")] if bounded else []
+    second = dev.groupBy(*keys).agg((F.sum("_2") / F.sum(n)).alias("_m2"), (F.sum("_3") / F.sum(n)).alias("_m3"), *mad)
+    if not bounded:
+        second = second.join(percentiles(dev, keys, "value", {"intensity_mad": 0.5}, weight="n"), list(keys))
+    varies = F.col("intensity_max") > F.col("intensity_min")
+    return first.join(second, list(keys)).withColumns({
+        "intensity_std": F.when(varies, F.sqrt("_m2")).otherwise(0.0),
+        "intensity_skew": F.when(varies, F.try_divide(F.col("_m3"), F.pow("_m2", F.lit(1.5))))}).drop("_m2", "_m3")
 
 
 def quantile_intensity(objects: DataFrame, q: float, out: str, keys: Sequence[str] = tuple(ILC),

@@ -32,6 +32,16 @@ def test_constant_image(grid):
     assert {r.value for r in measure.minmax_normalize(px).collect()} == {7.0}
 
 
+@pytest.mark.parametrize("levels", [None, 100])
+def test_object_intensity(grid, levels):
+    a = np.array([[1, 2, 2, 10, 0.1, 0.1, 0.1]])
+    px = grid({1: a}).withColumn("label", F.when(F.col("x") < 4, 1).otherwise(2))
+    got = {r.label: r for r in measure.object_intensity(px, grey_levels=levels).collect()}
+    assert (got[1].intensity_median, got[1].intensity_mad, got[1].intensity_q25, got[1].intensity_sum) == (2, 0.5, 1.75, 15)
+    assert got[1].intensity_skew == pytest.approx(1.10997, abs=1e-5) and got[1].intensity_std == pytest.approx(3.63146, abs=1e-5)
+    assert (got[2].intensity_std, got[2].intensity_skew, got[2].intensity_mad) == (0.0, None, 0.0)
+
+
 def test_mode_tie_takes_smallest(grid):
     px, mask = grid({1: [[5, 3, 3, 5, 9]]}), grid({1: [[0, 0, 0, 0, -1]]}, "label", "int")
     assert one(measure.pixel_stat(px, mask, "mode")).stat == 3.0
