@@ -15,6 +15,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     session = local_session()
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
 
