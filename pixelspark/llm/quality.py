@@ -36,7 +36,7 @@ _N = "size(words)"
 REPEATS = {
     "word_hash": "transform(words, w -> xxhash64(w))",
     "windows": f"if({_N} < 5, cast(array() as array<bigint>), transform(sequence(0, {_N} - 5), i -> xxhash64(word_hash[i], word_hash[i + 1], word_hash[i + 2], word_hash[i + 3], word_hash[i + 4])))",
-    "sorted_windows": "if(size(array_distinct(windows)) = size(windows), null, sort_array(transform(windows, (h, i) -> named_struct('h', h, 's', slice(words, i + 1, 5), 'i', i))))",
+    "sorted_windows": "if(size(array_distinct(windows)) = size(windows), null, sort_array(transform(windows, (h, i) -> named_struct('h', h, 's', array(words[i], words[i + 1], words[i + 2], words[i + 3], words[i + 4]), 'i', i))))",
     "places": "if(sorted_windows is null, cast(array() as array<int>), sort_array(transform(filter(transform(sorted_windows, (x, k) -> named_struct('i', x.i, 'hit', coalesce(x.h = get(sorted_windows, k - 1).h and x.s = get(sorted_windows, k - 1).s, false) or coalesce(x.h = get(sorted_windows, k + 1).h and x.s = get(sorted_windows, k + 1).s, false))), x -> x.hit), x -> x.i)))",
     "n_repeat_words": "aggregate(transform(places, (p, k) -> least(5, coalesce(get(places, k + 1) - p, 5))), 0L, (a, x) -> a + x)",
 }
@@ -119,4 +119,6 @@ def kept(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     rules = ordered_rules(docs) if rules is None else rules
     own = F.struct(*docs.columns).alias("row")
     df = with_words(docs.select(own, F.col("text")))
-    return cascade(df, rules).where(F.col("rejected_by").isNull()).select("row.*")
+    # a filter is pushed through columns by writing them out, which would repeat the rules; not through a row number
+    done = cascade(df, rules).select("row", "rejected_by", F.monotonically_increasing_id().alias("at"))
+    return done.where(F.col("rejected_by").isNull() & (F.col("at") >= 0)).select("row.*")
