@@ -334,7 +334,9 @@ def test_null_ids_in_the_join(spark):
     assert sorted(((x["doc_id"], x["component_id"]) for x in got), key=str) == [(4, 4), (None, 4), (None, None)]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("most", [40, 1_000_000])
+def test_components(spark, monkeypatch, most):
+    monkeypatch.setattr("pixelspark.llm.components.TASK_LINKS", most)
     r = random.Random(1)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 480)] + [(900, i) for i in range(901, 960)]
     got = {x["id"]: x["component_id"] for x in components(spark.createDataFrame(links, "u long, v long")).collect()}
