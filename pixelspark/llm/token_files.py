@@ -46,10 +46,10 @@ def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> tuple[bytes, b
     size = BLOCK // 8 * width + 5 * extra
     start = np.cumsum(size) - size
     out = np.zeros(int(size.sum()), np.uint8)
-    low_bits = np.where(over, 0, rest)
+    low_bits = np.where(over, 0, rest).astype("<u4").view(np.uint8).reshape(-1, BLOCK, 4)
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
-        bits = (low_bits[rows][:, :, None] >> np.arange(w) & 1).astype(np.uint8).reshape(len(rows), -1)
+        bits = np.unpackbits(low_bits[rows], axis=2, count=int(w), bitorder="little").reshape(len(rows), -1)
         out[_places(start[rows], BLOCK // 8 * w)] = np.packbits(bits, axis=1, bitorder="little")
     at, place = np.nonzero(over)
     nth = np.arange(len(at)) - np.repeat(np.cumsum(extra) - extra, extra)
@@ -68,8 +68,9 @@ def unpack_blocks(index: bytes, payload: bytes, n: int) -> np.ndarray:
     out = np.zeros((len(idx), BLOCK), np.int64)
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
-        bits = np.unpackbits(raw[_places(start[rows], BLOCK // 8 * w)], axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        out[rows] = bits @ (1 << np.arange(w)).astype(np.int32)
+        bits = np.zeros((len(rows), BLOCK, 32), np.uint8)
+        bits[:, :, :w] = np.unpackbits(raw[_places(start[rows], BLOCK // 8 * w)], axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
+        out[rows] = np.packbits(bits, axis=2, bitorder="little").view("<u4")[:, :, 0]
     at = np.repeat(np.arange(len(idx)), extra)
     nth = np.arange(len(at)) - np.repeat(np.cumsum(extra) - extra, extra)
     first = start[at] + BLOCK // 8 * width[at]
