@@ -8,7 +8,7 @@ every column block is discarded before any product: what is left agrees in a who
 agreements are multiplied for good, in tiles of bounded size: the overlap counts add up column block by column block,
 and a pair is discarded as soon as its count and what is still to come stay below its bound.
 
-Exact copies of a set are multiplied once. Tiles give links as spanning forests, so no group is written out as pairs.
+Exact copies of a set are multiplied once; similarities below 0.8 are not taken. Tiles give links as spanning forests, so no group is written out as pairs.
 """
 
 from __future__ import annotations
@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pixelspark.llm.common import list_array, slices, stored, strings
+from pixelspark.llm.common import slices, stored, strings
 from pixelspark.llm.components import components, forest
 from pixelspark.llm.words import split_words
 
 #: Column blocks that may be empty in both documents and then say nothing.
 EMPTY_BLOCKS = 1
 TILE_DOCS, TILE_GRAMS, TILE_COLUMNS = 256, 150_000, 4096
+#: Classes of ratio 9 : 10 that linked sizes can lie apart, for similarities of 0.8 and more.
+CLASSES_APART = 3
 _U = np.uint64
 
 
@@ -113,46 +115,38 @@ def block_signatures(gram: np.ndarray, n: np.ndarray, num: int, den: int) -> tup
     return sig[order].view(np.int64), np.bincount(of, minlength=len(n))
 
 
-def hashed(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """doc_id, n (set size), k1, k2 (128 bits that name the set) and sigs of every row."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def id_and_text(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def hashed(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, n (set size), k1 and k2 (128 bits that name the set) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             gram, n = gram_sets(strings(batch), words)
             k1, k2 = set_keys(gram, n)
-            sigs, per = block_signatures(gram, n, num, den)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(k1), pa.array(k2), list_array(sigs, per)],
-                                             names=["doc_id", "n", "k1", "k2", "sigs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(k1), pa.array(k2)], names=["doc_id", "n", "k1", "k2"])
 
-    return d.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, sigs array<long>")
+    return id_and_text(docs).mapInArrow(run, "doc_id long, n long, k1 long, k2 long")
 
 
-def set_keys(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit sums over the n-grams of each set."""
-    ends = np.concatenate([[0], np.cumsum(n)])
-    return tuple(np.diff(np.concatenate([np.zeros(1, _U), np.cumsum(mix(gram ^ _U(s)), dtype=_U)])[ends]).view(np.int64) for s in (0x1234567, 0x89ABCDEF01))
+def signatures(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(sig, doc_id): the block signatures of every row with an id."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            sigs, per = block_signatures(*gram_sets(strings(batch), words), num, den)
+            ids = np.repeat(batch.column(0).to_numpy(), per)
+            yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(ids)], names=["sig", "doc_id"])
 
-def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """rep, comp, n and the n-grams of the wanted sets, made again from the texts of ``wanted`` (rep, comp, k1, k2)."""
-    joined = (docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-              .join(wanted.select("rep", "comp", "k1", "k2"), "rep"))
+    return id_and_text(docs).where("doc_id is not null").mapInArrow(run, "sig long, doc_id long")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            gram, n = gram_sets(strings(batch), words)
-            k1, k2 = set_keys(gram, n)
-            same = np.flatnonzero((k1 == batch.column(3).to_numpy()) & (k2 == batch.column(4).to_numpy()))
-            ends = np.concatenate([[0], np.cumsum(n)])
-            if len(same):
-                rows = pa.array(same)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(2).take(rows), batch.column(3).take(rows), batch.column(4).take(rows), pa.array(n[same]),
-                     pa.array([gram[ends[i]:ends[i + 1]].tobytes() for i in same], pa.binary())], names=["rep", "comp", "k1", "k2", "n", "grams"])
 
-    return (joined.mapInArrow(run, "rep long, comp long, k1 long, k2 long, n long, grams binary")
-            .dropDuplicates(["rep", "k1", "k2"]).drop("k1", "k2"))
+def set_keys(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit sums over the n-grams of each set."""
+    ends = np.concatenate([[0], np.cumsum(n)])
+    return tuple(np.diff(np.concatenate([np.zeros(1, _U), np.cumsum(mix(gram ^ _U(s)), dtype=_U)])[ends]).view(np.int64) for s in (0x1234567, 0x89ABCDEF01))
 
 
 def multiply(a: list[np.ndarray], b: list[np.ndarray] | None, num: int, den: int) -> np.ndarray:
@@ -187,12 +181,15 @@ def multiply(a: list[np.ndarray], b: list[np.ndarray] | None, num: int, den: int
     return open_ & (overlap >= need)
 
 
-def tiles(sets: DataFrame) -> DataFrame:
-    """The sets of each tile: comp, ca, ba, cb, bb (two blocks of a group), and c, b, rep, grams.
+TILE = ("comp", "ca", "ba", "cb", "bb")
 
-    A group that fits in one tile is one block; others are cut by size class and, within it, by hash.
+
+def tiles(wanted: DataFrame) -> DataFrame:
+    """The tiles (comp, ca, ba, cb, bb: two blocks of a group) of each wanted set, and its own block c, b.
+
+    From sizes alone. A group that fits in one tile is one block; others are cut by size class and, within it, by hash.
     """
-    sized = sets.withColumn("c", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(10 / 9))).cast("int"))
+    sized = wanted.withColumn("c", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(10 / 9))).cast("int"))
     by_class = sized.groupBy("comp", "c").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("grams"))
     parts = lambda d, g: F.ceil(F.greatest(F.col(d) / TILE_DOCS, F.col(g) / TILE_GRAMS)).cast("int")
     total = by_class.groupBy("comp").agg(F.sum("docs").alias("all_docs"), F.sum("grams").alias("all_grams"))
@@ -200,23 +197,45 @@ def tiles(sets: DataFrame) -> DataFrame:
             .select("comp", "c", F.when(F.col("one"), F.lit(0)).otherwise(F.col("c")).alias("cc"),
                     F.when(F.col("one"), F.lit(1)).otherwise(parts("docs", "grams")).alias("parts")))
     placed = (sized.join(plan, ["comp", "c"]).withColumn("b", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-              .select("comp", F.col("cc").alias("c"), "b", "rep", "grams"))
+              .select("comp", F.col("cc").alias("c"), "b", "rep", "k1", "k2"))
     blocks = plan.select("comp", F.col("cc").alias("c"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("b")).distinct()
     left, right = (blocks.select("comp", F.col("c").alias(f"c{s}"), F.col("b").alias(f"b{s}")) for s in "ab")
-    pairs = left.join(right, "comp").where((F.col("cb") - F.col("ca")).isin(1, 2) | ((F.col("ca") == F.col("cb")) & (F.col("ba") <= F.col("bb"))))
+    near = F.col("cb") - F.col("ca")
+    pairs = left.join(right, "comp").where(((near > 0) & (near <= F.lit(CLASSES_APART))) | ((F.col("ca") == F.col("cb")) & (F.col("ba") <= F.col("bb"))))
     sides = pairs.withColumn("side", F.explode(F.array_distinct(F.array(F.struct(F.col("ca").alias("c"), F.col("ba").alias("b")),
                                                                        F.struct(F.col("cb").alias("c"), F.col("bb").alias("b"))))))
-    return sides.select("comp", "ca", "ba", "cb", "bb", "side.c", "side.b").join(placed, ["comp", "c", "b"])
+    return sides.select(*TILE, "side.c", "side.b").join(placed, ["comp", "c", "b"])
 
 
-TILE = ("comp", "ca", "ba", "cb", "bb")
+def tile_sets(docs: DataFrame, tiled: DataFrame, words: int) -> DataFrame:
+    """The wanted sets in each of their tiles, with their n-grams made again from the texts."""
+    own = F.struct(*TILE, "c", "b")
+    each = tiled.groupBy("rep", "k1", "k2").agg(F.collect_list(own).alias("tiles"))
+    joined = id_and_text(docs).withColumnRenamed("doc_id", "rep").join(each, "rep")
+    names = [*TILE, "c", "b"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            gram, n = gram_sets(strings(batch), words)
+            k1, k2 = set_keys(gram, n)
+            same = np.flatnonzero((k1 == batch.column(2).to_numpy()) & (k2 == batch.column(3).to_numpy()))
+            ends = np.concatenate([[0], np.cumsum(n)])
+            per = batch.column(4).take(pa.array(same))
+            flat, count = per.flatten(), np.diff(per.offsets.to_numpy())
+            ids = batch.column(0).take(pa.array(np.repeat(same, count)))
+            for a in range(0, len(ids), 64):  # a set may be in many tiles: few of its copies at a time
+                rows = np.repeat(same, count)[a:a + 64]
+                some = flat.slice(a, 64)
+                yield pa.RecordBatch.from_arrays([*(some.field(c) for c in names), ids.slice(a, 64),
+                                                  pa.array([gram[ends[i]:ends[i + 1]].tobytes() for i in rows], pa.binary())], names=[*names, "rep", "grams"])
+
+    return joined.select("rep", "text", "k1", "k2", "tiles").mapInArrow(run, "comp long, ca int, ba int, cb int, bb int, c int, b int, rep long, grams binary")
 
 
-def tile_links(sets: DataFrame, num: int, den: int) -> DataFrame:
+def tile_links(rows: DataFrame, num: int, den: int) -> DataFrame:
     """(u, v): spanning forests of the links in each tile."""
-    rows = tiles(sets)
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.select(*TILE, "c", "b", "rep", "grams").repartition(n, *TILE).sortWithinPartitions(*TILE, "c", "b")
+    rows = rows.repartition(n, *TILE).sortWithinPartitions(*TILE, "c", "b")
 
     def one(held: list[dict]) -> list[tuple[int, int]]:
         t = held[0]
@@ -263,18 +282,19 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int =
     their copies only and never stand for them. Rows that share a doc_id count as one document in the graph. An empty
     table gives an empty result; other columns are not read.
     """
-    rows = stored(hashed(docs, words, num, den), "grams")
+    if 10 * num < 8 * den:
+        raise ValueError("a similarity of 0.8 or more is needed")
+    rows = stored(hashed(docs, words), "sets")
     real = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    reps = real.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sigs").alias("sigs"))
-    agree = reps.select("rep", F.explode("sigs").alias("sig"))
-    before = F.lag("rep").over(Window.partitionBy("sig").orderBy("rep"))
-    chained = stored(agree.select("rep", before.alias("other")).where("other is not null and other != rep")
-                     .select(F.col("rep").alias("u"), F.col("other").alias("v")).distinct(), "agree")
-    groups = components(chained).select(F.col("id").alias("rep"), F.col("component_id").alias("comp"))
-    keys = real.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    wanted = keys.join(groups, "rep")
-    sets = stored(sets_of(docs, wanted, words), "sets")
-    member = components(stored(tile_links(sets, num, den), "pairs"))
+    before = F.lag("doc_id").over(Window.partitionBy("sig").orderBy("doc_id"))
+    agree = stored(signatures(docs, words, num, den).select("doc_id", before.alias("other")).where("other is not null and other != doc_id")
+                   .select(F.col("doc_id").alias("u"), F.col("other").alias("v")).distinct(), "agree")
+    groups = components(agree).select(F.col("id").alias("rep"), F.col("component_id").alias("comp"))
+    keys = real.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
+    members = keys.join(groups, "rep")
+    several = members.groupBy("comp").count().where("count > 1").select("comp")
+    wanted = stored(members.join(several, "comp"), "wanted")
+    member = components(tile_links(tile_sets(docs, tiles(wanted), words), num, den))
     of = (keys.join(member.withColumnRenamed("id", "rep"), "rep", "left")
           .select("k1", "k2", F.lit(True).alias("some"), F.coalesce("component_id", "rep").alias("component_id")))
     # rows that share an id but not a text stand at one place
@@ -285,9 +305,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int =
 def representatives(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """The documents that stay: of each component the one with the smallest id; of repeated rows of it, one.
 
-    Rows without an id stay unless they are copies of a row that has one. Columns stay as they are.
+    Rows without an id go. Columns stay as they are.
     """
     found = jaccard_components(docs, words, num, den)
-    stays = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    with_id = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return with_id.join(stays, with_id["doc_id"] == stays["_id"], "left_semi")
+    stays = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    return docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
