@@ -27,7 +27,7 @@ from pixelspark.llm.words import split_words
 
 #: Column blocks that may be empty in both documents and then say nothing.
 EMPTY_BLOCKS = 1
-TILE_DOCS, TILE_GRAMS, TILE_COLUMNS = 256, 150_000, 4096
+TILE_DOCS, TILE_GRAMS, TILE_COLUMNS = 768, 450_000, 4096
 #: Classes of ratio 9 : 10 that linked sizes can lie apart, for similarities of 0.8 and more.
 CLASSES_APART = 3
 _U = np.uint64
