@@ -187,8 +187,8 @@ def correct_pixels(pixels: DataFrame, background: DataFrame, method: str = "subt
 
     Background rows are prepared per (condition, channel) and joined on (condition, channel,
     y, x). With a background below the broadcast threshold of the session the pixels are not
-    shuffled. ``strict`` raises on the offending row; without it such rows are computed and
-    ``correction_violations`` reports them.
+    shuffled. ``strict`` raises on the offending row; without it every pixel is kept, with a
+    NULL value where it has no background, and ``correction_violations`` reports it.
     """
     if epsilon <= 0:
         raise ValueError("epsilon must be positive")
@@ -197,7 +197,7 @@ def correct_pixels(pixels: DataFrame, background: DataFrame, method: str = "subt
     group = [*condition, "channel"] if per_channel else list(condition)
     bg = scale_background(background, rescale, offset, offset_background, epsilon, group, strict)
     bg = bg.select(*condition, *CYX, F.col("value").alias("_bg"))
-    px = pixels.join(bg, [*condition, *CYX], "left" if strict else "inner")
+    px = pixels.join(bg, [*condition, *CYX], "left")
     v, b = F.col("value"), F.col("_bg")
     if strict:
         bad = F.raise_error(F.lit("pixel without a finite value or background")).cast("double")

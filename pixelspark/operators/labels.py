@@ -197,8 +197,8 @@ def confine_contained(cells: DataFrame, nuclei: DataFrame) -> DataFrame:
 
 
 def drop_saturated(pixels: DataFrame, low: float, high: float) -> DataFrame:
-    """Pixels that are neither the lowest nor the highest value of the data type."""
-    return pixels.where(~F.col("value").isin(float(low), float(high)))
+    """Pixels that are neither the lowest nor the highest value of the data type; NULL values are kept."""
+    return pixels.where(~F.coalesce(F.col("value").isin(float(low), float(high)), F.lit(False)))
 
 
 def subtract_mask(labels: DataFrame, remove: DataFrame) -> DataFrame:

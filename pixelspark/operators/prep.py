@@ -54,7 +54,7 @@ def group_lists(layout: DataFrame, keys: Sequence[str], column: str, out: str,
 
 def match_names(files: DataFrame, conditions: DataFrame, name: str = "name",
                 condition: str = "condition") -> DataFrame:
-    """(condition, name) wherever the condition is part of the file name.
+    """(condition, name) wherever the condition is part of the file name; an empty one is part of every name.
 
     A name is cut into its substrings of the lengths that conditions have, so the match is an
     equality join and no name meets every condition. A file name holds at most 255 characters,
@@ -62,7 +62,7 @@ def match_names(files: DataFrame, conditions: DataFrame, name: str = "name",
     """
     lengths = conditions.agg(F.sort_array(F.collect_set(F.length(condition)))).scalar()
     per_length = F.explode(lengths)
-    cut = (files.select(name, per_length.alias("_len")).where("_len between 1 and length(%s)" % name)
+    cut = (files.select(name, per_length.alias("_len")).where("_len between 0 and length(%s)" % name)
            .select(name, F.explode(F.sequence(F.lit(1), F.length(name) - F.col("_len") + 1)).alias("_at"), "_len")
            .select(name, F.col(name).substr(F.col("_at"), F.col("_len")).alias(condition)).distinct())
     return conditions.select(condition).join(cut, condition)

@@ -58,7 +58,8 @@ def qc_wide(fov: DataFrame, metrics: DataFrame, names: Sequence[str], channels:
 
 
 def unflagged(df: DataFrame, column: str = "flag", flag_value: int = 1) -> DataFrame:
-    return df.where(F.col(column) != flag_value)
+    """Rows whose flag is not ``flag_value``; a NULL flag is kept."""
+    return df.where(~F.col(column).eqNullSafe(flag_value))
 
 
 def qc_band(df: DataFrame, column: str, center: float, radius: float) -> DataFrame:

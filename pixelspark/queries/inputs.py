@@ -164,16 +164,25 @@ def fov(spark: SparkSession, d: str) -> DataFrame:
                     F.col("s_acctbal").alias("balance")))
 
 
+_cte("plate", "SELECT r_name AS experiment, n_nationkey AS well, 'Drug-' || n_name || ' + (v' || n_regionkey || ')' "
+              "AS treatment FROM nation JOIN region ON n_regionkey = r_regionkey")
+
+
+def plate(spark: SparkSession, d: str) -> DataFrame:
+    """The whole plate layout."""
+    n, reg = table(spark, d, "nation"), table(spark, d, "region")
+    return (n.join(reg, n.n_regionkey == reg.r_regionkey)
+            .select(F.col("r_name").alias("experiment"), F.col("n_nationkey").alias("well"),
+                    F.concat(F.lit("Drug-"), "n_name", F.lit(" + (v"), "n_regionkey", F.lit(")")).alias("treatment")))
+
+
 _cte("layout", "SELECT r_name AS experiment, n_nationkey AS well, 'Drug-' || n_name || ' + (v' || n_regionkey || ')' "
                "AS treatment FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 24")
 
 
 def layout(spark: SparkSession, d: str) -> DataFrame:
     """Plate layout without well 24, so that the report of missing rows has something to say."""
-    n, reg = table(spark, d, "nation"), table(spark, d, "region")
-    return (n.join(reg, n.n_regionkey == reg.r_regionkey).where("n_nationkey <> 24")
-            .select(F.col("r_name").alias("experiment"), F.col("n_nationkey").alias("well"),
-                    F.concat(F.lit("Drug-"), "n_name", F.lit(" + (v"), "n_regionkey", F.lit(")")).alias("treatment")))
+    return plate(spark, d).where("well <> 24")
 
 
 _cte("files", "SELECT CASE WHEN o_orderkey % 97 = 0 THEN '.' ELSE '' END || strftime(o_orderdate, '%Y%m%d') || '_run_' "

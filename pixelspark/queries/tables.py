@@ -88,10 +88,10 @@ _SYMBOLS = "".join(tx.SYMBOLS).replace("'", "''")
 _FORMATTED = f"replace(translate(treatment, '{_SYMBOLS}', '{'_' * len(tx.SYMBOLS)}'), ' ', '')"
 
 
-@query(q.sql(f"SELECT experiment, well, {_FORMATTED} AS treatment, lower({_FORMATTED}) AS lowered FROM layout", "layout"))
+@query(q.sql(f"SELECT experiment, well, {_FORMATTED} AS treatment, lower({_FORMATTED}) AS lowered FROM plate", "plate"))
 def normalize_text(s, d):
     t = F.col("treatment")
-    return q.layout(s, d).select("experiment", "well", tx.normalize_text(t).alias("treatment"),
+    return q.plate(s, d).select("experiment", "well", tx.normalize_text(t).alias("treatment"),
                                  tx.normalize_text(t, lower=True).alias("lowered"))
 
 
@@ -200,9 +200,9 @@ def match_report(s, d):
 
 
 @query(q.sql("""SELECT experiment, string_agg(treatment, ',' ORDER BY treatment) AS treatments
- FROM (SELECT DISTINCT experiment, treatment FROM layout) GROUP BY experiment""", "layout"))
+ FROM (SELECT DISTINCT experiment, treatment FROM plate) GROUP BY experiment""", "plate"))
 def group_lists(s, d):
-    return prep.group_lists(q.layout(s, d), ["experiment"], "treatment", "treatments")
+    return prep.group_lists(q.plate(s, d), ["experiment"], "treatment", "treatments")
 
 
 # --- splits, samples, order ---------------------------------------------------------------

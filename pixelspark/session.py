@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -26,15 +25,9 @@ def local_session(cpus: int = 8, app: str = "pixelspark") -> SparkSession:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint in the folder of ``spark.checkpoint.dir``.
-
-    The folder comes from the session. Only on one machine (tests) a temporary one is used where
-    none is set.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="pixelspark-"))
+    """Reliable checkpoint in the folder of ``spark.checkpoint.dir``, below the warehouse where that is unset."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
