@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelspark.llm import byte_bpe, near_vectors, ngram_join, packing, quality, secrets, token_counts, token_files, toxicity
+from pixelspark.llm import byte_bpe, chat, near_vectors, ngram_join, packing, quality, secrets, token_counts, token_files, toxicity
 from pixelspark.llm.common import table
 from pixelspark.llm.oracles import SQL
 
@@ -49,6 +49,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), TOKEN_LIMIT)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered(chat.repaired(table(spark, sf_dir, "conversations"))).drop("text")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), FILE_END)
 
@@ -66,6 +70,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_vectors, op2_toxicity, op3_secrets, op4_ngram_join, op5_token_counts, op7_token_files,
+    f.__name__: f for f in (op1_near_vectors, op2_toxicity, op3_secrets, op4_ngram_join, op5_token_counts, op6_chat_format, op7_token_files,
                             op8_byte_bpe, op9_quality_rules, op10_packing)}
 __all__ = ["QUERIES", "SQL"]

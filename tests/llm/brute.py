@@ -102,3 +102,26 @@ def sha(x):
 
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def chat_costs(roles, merge=2, insert=3, relabel=5, name=1):
+    """Least cost of a legal conversation from these roles, by trying every edit."""
+    kinds = ("system", "user", "assistant")
+
+    def legal(before, x):
+        return {"system": before is None, "user": before != "user", "assistant": before == "user"}[x]
+
+    def best(i, before, blanks):
+        found = [0] if i == len(roles) and before in (None, "assistant") else []
+        if blanks < 3:
+            found += [insert + best(i, x, blanks + 1) for x in kinds if legal(before, x)]
+        if i < len(roles):
+            for x in kinds:
+                named = 0 if roles[i] == x else relabel if roles[i] in kinds else name
+                if legal(before, x):
+                    found.append(named + best(i + 1, x, 0))
+                if before == x:
+                    found.append(named + merge + best(i + 1, x, 0))
+        return min(found, default=10**6)
+
+    return best(0, None, 0)
