@@ -4,7 +4,9 @@ The product of the document by n-gram incidence matrix with its transpose holds
 size bound says which blocks of it can hold a link: two sets of together s n-grams with Jaccard at least t differ in at
 most s (1 - t) / (1 + t) of them. So documents are blocked by size, and only blocks of neighbouring size classes meet;
 the columns of a class are dealt by hash into more blocks than a link can have differences, and a pair that differs in
-every column block is discarded before any product: what is left agrees in a whole block. Documents joined by such
+every column block is discarded before any product: what is left agrees in a whole block. There are some blocks more
+than that, so a document may leave out those made only of common n-grams, such as a passage that many documents share;
+which n-grams are common is counted over all documents and only steers the search. Documents joined by such
 agreements are multiplied for good, in tiles of bounded size: the overlap counts add up column block by column block,
 and a pair is discarded as soon as its count and what is still to come stay below its bound.
 
@@ -13,6 +15,7 @@ Exact copies of a set are multiplied once; similarities below 0.8 are not taken.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +28,11 @@ from pixelspark.llm.common import slices, stored, strings
 from pixelspark.llm.components import components, forest
 from pixelspark.llm.words import split_words
 
-#: Column blocks that may be empty in both documents and then say nothing.
-EMPTY_BLOCKS = 1
+#: Column blocks that may hold nothing but common n-grams and then say nothing: so many, and one for each so many differences.
+SPARE_BLOCKS, SPARE_SHARE = 1, 5
+#: N-grams fall into 2 ** 32 cells, counted by ranges of cells; above this count, and four times the mean, a cell is
+#: common. A range names so many at most, the commonest: the list has a bound, and what it leaves out costs time only.
+RANGES, COMMON, NAMED = 1024, 4, 1024
 TILE_DOCS, TILE_GRAMS, TILE_COLUMNS = 768, 450_000, 4096
 #: Classes of ratio 9 : 10 that linked sizes can lie apart, for similarities of 0.8 and more.
 CLASSES_APART = 3
@@ -82,11 +88,59 @@ def size_classes(most: int, num: int, den: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def block_signatures(gram: np.ndarray, n: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+def cell(gram: np.ndarray) -> np.ndarray:
+    return (gram >> _U(32)).astype(np.uint32)
+
+
+def common_cells(docs: DataFrame, words: int) -> np.ndarray:
+    """The cells of n-grams that many documents hold, in order; at most RANGES * NAMED.
+
+    Each task sends its cells as sorted, packed steps, a few bytes for every n-gram; a range of cells is counted in one
+    array of fixed size.
+    """
+    width = (1 << 32) // RANGES
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            cells = np.sort(cell(gram_sets(strings(batch), words)[0]))
+            at = np.searchsorted(cells, np.arange(RANGES + 1, dtype=np.int64) * width)
+            some = np.flatnonzero(np.diff(at))
+            blobs = [zlib.compress(np.diff(cells[at[r]:at[r + 1]], prepend=np.uint32(r * width)).tobytes(), 1) for r in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(blobs, pa.binary())], names=["range", "cells"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, now = np.zeros(width, np.int64), None
+
+        def common() -> pa.RecordBatch:
+            hit = np.flatnonzero(seen > max(COMMON, 4 * seen.mean()))
+            hit = hit[np.argsort(-seen[hit], kind="stable")[:NAMED]] + now * width
+            return pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int64))], names=["cell"])
+
+        for batch in batches:
+            for r, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if r != now:
+                    if now is not None:
+                        yield common()
+                    seen[:], now = 0, r
+                at, times = np.unique(np.cumsum(np.frombuffer(zlib.decompress(blob.as_py()), np.uint32), dtype=np.int64), return_counts=True)
+                seen[at] += times
+        if now is not None:
+            yield common()
+
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = id_and_text(docs).mapInArrow(pack, "range int, cells binary").repartition(n, "range").sortWithinPartitions("range")
+    found = packed.mapInArrow(count, "cell long").toArrow().column(0)
+    return np.sort(found.to_numpy()).astype(np.uint32)
+
+
+def block_signatures(gram: np.ndarray, n: np.ndarray, num: int, den: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(signatures of the sets one after another, number per set): one per column block and size class of partners."""
     first = size_classes(int(n.max(initial=1)), num, den)
     doc = np.repeat(np.arange(len(n)), n)
     spread, value = mix(gram + _U(1)), mix(gram ^ _U(0xA5A5A5A5A5A5A5A5))
+    cells = cell(gram)
+    found = np.searchsorted(common, cells)
+    rare = np.ones(len(gram), bool) if not len(common) else common[np.minimum(found, len(common) - 1)] != cells
     own = np.searchsorted(first, n, "right") - 1
     out, owner = [], []
     for role in (0, 1):
@@ -94,7 +148,8 @@ def block_signatures(gram: np.ndarray, n: np.ndarray, num: int, den: int) -> tup
         ok = (n > 0) & (group >= 0)
         top = first[np.minimum(np.maximum(group, 0) + 1, len(first) - 1)] - 1
         differ = (top + top * den // num) * (den - num) // (den + num)
-        m = np.where(ok, differ + 1 + np.where(differ > 0, EMPTY_BLOCKS, 0), 0)
+        spare = np.where(differ > 0, SPARE_BLOCKS + differ // SPARE_SHARE, 0)
+        m = np.where(ok, differ + 1 + spare, 0)
         at = np.cumsum(m) - m
         use = ok[doc]
         key = at[doc[use]] + (spread[use] % m[doc[use]].astype(_U)).astype(np.int64)
@@ -105,8 +160,9 @@ def block_signatures(gram: np.ndarray, n: np.ndarray, num: int, den: int) -> tup
         size = np.bincount(key, minlength=total)
         of = np.repeat(np.arange(len(n)), m)
         place = np.arange(total) - at[of]
-        blank = np.bincount(of[size == 0], minlength=len(n))
-        keep = (size > 0) | (blank > EMPTY_BLOCKS)[of]
+        says = np.bincount(key, rare[use], total) > 0
+        blank = np.bincount(of[~says], minlength=len(n))
+        keep = says | (blank > spare)[of]
         sig = mix(mix(high * _U(0x9E3779B97F4A7C15) + low) + mix((place << 32 | group[of]).astype(_U)) + size.astype(_U))
         out.append(sig[keep])
         owner.append(of[keep])
@@ -133,10 +189,11 @@ def hashed(docs: DataFrame, words: int) -> DataFrame:
 
 def signatures(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """(sig, doc_id): the block signatures of every row with an id."""
+    common = docs.sparkSession.sparkContext.broadcast(common_cells(docs, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
-            sigs, per = block_signatures(*gram_sets(strings(batch), words), num, den)
+            sigs, per = block_signatures(*gram_sets(strings(batch), words), num, den, common.value)
             ids = np.repeat(batch.column(0).to_numpy(), per)
             yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(ids)], names=["sig", "doc_id"])
 

@@ -437,3 +437,28 @@ def test_pipeline_stages(spark, data):
             assert all(left[i] == t for i, t in now.items())
     last = p.STAGES[-1][1](spark, docs, data)
     assert {r["doc_id"] for r in last.collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_common_passages_hide_no_link(spark):
+    r = random.Random(11)
+    passages = [[f"p{k}x{i}" for i in range(40)] for k in range(3)]
+    texts = []
+    for d in range(120):
+        own = [f"d{d}w{i}" for i in range(r.randint(0, 60))]
+        words = own + [w for p in r.sample(passages, r.randint(0, 3)) for w in p]
+        texts.append(" ".join(words))
+        for _ in range(r.randint(0, 2)):
+            near = list(words)
+            for _ in range(r.randint(0, 2)):
+                if near:
+                    near[r.randrange(len(near))] = f"n{r.random()}"
+            texts.append(" ".join(near))
+    docs = frame(spark, texts)
+    cells = ngram_join.common_cells(docs, 5)
+    assert len(cells) and (np.diff(cells.astype(np.int64)) > 0).all()
+    held = np.concatenate([np.unique(ngram_join.cell(ngram_join.gram_sets(pa.array([t], pa.large_string()), 5)[0])) for t in texts])
+    seen, times = np.unique(held, return_counts=True)
+    assert cells.tolist() == seen[times > ngram_join.COMMON].tolist()
+    n, comp = brute.jaccard(range(len(texts)), texts, 5, 8, 10)
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_join.jaccard_components(docs, 5, 8, 10).collect()}
+    assert got == dict(zip(range(len(texts)), zip(n, comp)))
