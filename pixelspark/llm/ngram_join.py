@@ -67,7 +67,7 @@ def gram_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     gram, short = mix(h), n[doc] < words
     for k in range(1, words):
         follow = np.zeros(len(h), _U)
-        follow[:len(h) - k] = h[k:]
+        follow[:max(0, len(h) - k)] = h[k:]
         gram = np.where(left > k, mix(gram * _U(0x9E3779B97F4A7C15) + follow + _U(k)), gram)
     first = np.zeros(len(h), bool)
     first[(ends - n)[n > 0]] = True
