@@ -2,8 +2,9 @@
 
 A word's vector is the sum of hashed embeddings of the word and of its first four and five letters. Filters over one, two
 and three words are pooled by their maximum over the whole text, and a logistic unit reads the pooled values. The
-model is trained in numpy on a bounded sample of labelled texts; thresholds are calibrated for each language on part of
-it. A score depends on the text alone; the language only chooses the threshold of ``flagged``.
+model is trained in numpy on a bounded sample of labelled texts. Thresholds are chosen for each language from the scores
+of all labelled texts that are not held out, counted in Spark. A score depends on the text alone; the language only
+chooses the threshold of ``flagged``.
 """
 
 from __future__ import annotations
@@ -18,15 +19,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixelspark.llm.common import slices, strings
+from pixelspark.llm.common import slices, stored, strings
 
 #: Bounds of the training sample: rows of each label, and characters of a text that may be learned from.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 2000, 4000, 8000
 BUCKETS, SIZE, WIDTHS, FILTERS = 1 << 16, 8, (1, 2, 3), 8
 EPOCHS, BATCH, RATE, DECAY = 6, 32, 0.01, 1e-4
 CUT = 0.3
-#: Toxic texts that a language needs for a threshold of its own.
+#: Toxic texts that a language needs for a threshold of its own; the others share that of all languages together.
 LEAST_CALIBRATED = 15
+#: Scores are counted in so many steps.
+STEPS = 1024
 MARKS = ".,;:!?\"'()[]{}*#$%&|<>-_"
 
 
@@ -48,6 +51,7 @@ class ToxicModel:
     out: np.ndarray
     bias: float
     thresholds: dict[str, float] = field(default_factory=dict)
+    pooled_threshold: float = CUT
 
     def pooled(self, texts: pa.Array) -> np.ndarray:
         """The maximum of each filter over each text; 0 for texts without words."""
@@ -142,11 +146,15 @@ def train(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, seed: int =
     return model
 
 
-def best_threshold(score: np.ndarray, label: np.ndarray) -> float:
-    """The cut with the highest F1, in the middle of the scores between which it may lie."""
+def best_threshold(score: np.ndarray, toxic: np.ndarray, rows: np.ndarray | None = None) -> float:
+    """The cut with the highest F1, in the middle of the scores between which it may lie.
+
+    ``toxic`` of the ``rows`` (one, where not given) with a score are toxic.
+    """
     order = np.argsort(-score, kind="stable")
-    s, y = score[order], label[order]
-    f1 = 2 * np.cumsum(y) / (np.arange(1, len(y) + 1) + y.sum())
+    s, y = score[order], toxic[order]
+    n = np.ones(len(y), np.int64) if rows is None else rows[order]
+    f1 = 2 * np.cumsum(y) / (np.cumsum(n) + y.sum())
     last = np.append(s[1:] != s[:-1], True)
     best = int(np.flatnonzero(last)[np.argmax(f1[last])])
     return float((s[best] + (s[best + 1] if best + 1 < len(s) else 0.0)) / 2)
@@ -161,8 +169,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
     """Train on a bounded sample of labelled rows that are not held out; None without both labels.
 
     The sample takes, by hash of the id, SAMPLE_TOXIC and SAMPLE_CLEAN labelled ids and of their texts those of at most
-    SAMPLE_CHARS characters. Weights restore the share of each label. One fifth of it calibrates the thresholds.
-    Repeated labels of a document count once; any toxic one wins.
+    SAMPLE_CHARS characters. Weights restore the share of each label. The thresholds come from all labelled rows that are
+    not held out, see ``calibrate``. Repeated labels of a document count once; any toxic one wins.
     """
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
              .where(~held_out()))
@@ -180,24 +188,40 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
         return None
     weight = np.where(y == 1, total[1] / (y == 1).sum(), total[0] / (y == 0).sum())
     weight = weight / weight.mean()
-    text = pa.array(rows["text"], pa.large_string())
-    tune = np.random.default_rng(3).permutation(len(y)) % 5 == 0
-    if y[tune].sum() == 0 or y[~tune].sum() == 0:
-        tune = np.zeros(len(y), bool)
-    model = train(text.filter(pa.array(~tune)), y[~tune], weight[~tune])
-    check = tune if tune.any() else ~tune
-    score = model.score(text.filter(pa.array(check)))
-    for name, at in rows[check].reset_index(drop=True).groupby("lang").indices.items():
-        if y[check][at].sum() >= LEAST_CALIBRATED:
-            model.thresholds[str(name)] = best_threshold(score[at], y[check][at])
+    model = train(pa.array(rows["text"], pa.large_string()), y, weight)
+    calibrate(model, docs, known)
     return model
 
 
+def calibrate(model: ToxicModel, docs: DataFrame, known: DataFrame) -> None:
+    """Set the thresholds from every row of ``docs`` with a label in ``known`` (doc_id, toxic), whatever its length.
+
+    The rows are scored in Spark and counted by language, step of the score and label; only counts reach the driver.
+    Rows that the model was trained on count like the others, so that each label has its true share. A language with
+    fewer than LEAST_CALIBRATED toxic rows, or that no label names, takes the threshold of all rows together.
+    """
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
+    plain = docs.where(~held_out()).select("doc_id", lang.cast("string").alias("lang"), "text")
+    step = F.least(F.floor(F.col("score") * STEPS), F.lit(STEPS - 1)).cast("int").alias("step")
+    counts = stored(scored(plain, model).select("doc_id", "lang", step).join(known, "doc_id")
+                    .groupBy("lang", "step").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")), "scores")
+
+    def best(got: pd.DataFrame) -> float:
+        return best_threshold((got["step"].to_numpy() + 0.5) / STEPS, got["toxic"].to_numpy(np.int64), got["n"].to_numpy(np.int64))
+
+    pooled = counts.groupBy("step").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).toPandas()
+    if pooled["toxic"].sum() > 0:
+        model.pooled_threshold = best(pooled)
+    enough = counts.groupBy("lang").agg(F.sum("toxic").alias("all")).where(F.col("all") >= LEAST_CALIBRATED).select("lang")
+    own = counts.join(enough, "lang").toPandas()
+    model.thresholds = {str(name): best(part) for name, part in own.groupby("lang")}
+
+
 def scored(docs: DataFrame, model: ToxicModel | None) -> DataFrame:
     """The documents with score, predicted and flagged. Null and empty texts are scored as having no words.
 
-    ``predicted`` cuts all scores at CUT; ``flagged`` at the language's own threshold, CUT where it has none. Without a
-    model all scores are 0. Other columns with these names are replaced; rows stay as they are.
+    ``predicted`` cuts all scores at CUT; ``flagged`` at the language's own threshold, the pooled one where it has none.
+    Without a model all scores are 0. Other columns with these names are replaced; rows stay as they are.
     """
     spark = docs.sparkSession
     shipped = spark.sparkContext.broadcast(vars(model) if model else None)
@@ -210,7 +234,7 @@ def scored(docs: DataFrame, model: ToxicModel | None) -> DataFrame:
         m = ToxicModel(**shipped.value) if shipped.value else None
         for batch in slices(batches, "text", 4 << 20):
             score = m.score(strings(batch)) if m else np.zeros(batch.num_rows)
-            cut = np.array([m.thresholds.get(x, CUT) if m else CUT for x in batch.column(2).to_pylist()])
+            cut = np.array([m.thresholds.get(x, m.pooled_threshold) if m else CUT for x in batch.column(2).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array((score >= CUT).astype(np.int32)), pa.array(score >= cut)],
                                              names=["row", "score", "predicted", "flagged"])
 

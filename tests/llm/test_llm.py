@@ -2,6 +2,7 @@
 
 import base64
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -462,3 +463,19 @@ def test_common_passages_hide_no_link(spark):
     n, comp = brute.jaccard(range(len(texts)), texts, 5, 8, 10)
     got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_join.jaccard_components(docs, 5, 8, 10).collect()}
     assert got == dict(zip(range(len(texts)), zip(n, comp)))
+
+
+def test_thresholds_count_every_labelled_row(spark, monkeypatch):
+    scores = {"good": 0.1, "odd": 0.45, "bad": 0.9}
+    monkeypatch.setattr(toxicity.ToxicModel, "score", lambda self, texts: np.array([scores[t.split()[0]] for t in texts.to_pylist()]))
+    free = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    monkeypatch.setattr(toxicity, "train", lambda *args: toxicity.ToxicModel(np.zeros(0), [], [], np.zeros(0), 0.0))
+    long = "odd " * 2001
+    # en: 40 toxic texts have the score of clean ones that are too long to learn from; es has too few toxic ones, fr none
+    rows = [("en", "odd", 1)] * 40 + [("en", "bad", 1)] * 30 + [("en", "good", 0)] * 900 + [("es", "odd", 1)] * 3 + [("fr", "good", 0)] * 5
+    for clean, low, high in ((60, 0.1, 0.45), (900, 0.45, 0.9)):  # F1 with the shared score: 140 of 200, 140 of 1040; without: 60 of 100
+        every = list(zip(free, rows + [("en", long, 0)] * clean))
+        docs = spark.createDataFrame([(i, *r[:2]) for i, r in every], "doc_id long, lang string, text string")
+        model = toxicity.fit(docs, spark.createDataFrame([(i, r[2]) for i, r in every], "doc_id long, toxic int"))
+        assert set(model.thresholds) == {"en"}
+        assert low < model.thresholds["en"] < high and low < model.pooled_threshold < high
