@@ -171,20 +171,21 @@ def block_signatures(gram: np.ndarray, n: np.ndarray, num: int, den: int, common
     return sig[order].view(np.int64), np.bincount(of, minlength=len(n))
 
 
-def id_and_text(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
-def hashed(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (set size), k1 and k2 (128 bits that name the set) of every row."""
+def hashed(docs: DataFrame, words: int, *more: str) -> DataFrame:
+    """doc_id, n (set size), k1 and k2 (128 bits that name the set) of every row, and the columns ``more`` (long)."""
+    names = ["doc_id", "n", "k1", "k2", *more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             gram, n = gram_sets(strings(batch), words)
             k1, k2 = set_keys(gram, n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(k1), pa.array(k2)], names=["doc_id", "n", "k1", "k2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(k1), pa.array(k2), *(batch.column(c) for c in more)], names=names)
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, n long, k1 long, k2 long")
+    return id_and_text(docs, *more).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def signatures(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -331,17 +332,18 @@ def tile_links(rows: DataFrame, num: int, den: int) -> DataFrame:
     return rows.mapInArrow(run, "u long, v long")
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, rows: DataFrame | None = None) -> DataFrame:
     """One row per row: doc_id, n_shingles, component_id, the smallest doc_id reachable by links.
 
     Linked are sets with Jaccard similarity of at least num / den. Texts that are null, empty or without words have
     empty sets and link with nothing. Rows with equal texts link whatever their ids; rows without an id are joined to
     their copies only and never stand for them. Rows that share a doc_id count as one document in the graph. An empty
-    table gives an empty result; other columns are not read.
+    table gives an empty result; other columns are not read. ``rows`` is what ``hashed`` gives, where it is known.
     """
     if 10 * num < 8 * den:
         raise ValueError("a similarity of 0.8 or more is needed")
-    rows = stored(hashed(docs, words), "sets")
+    if rows is None:
+        rows = stored(hashed(docs, words), "sets")
     real = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     before = F.lag("doc_id").over(Window.partitionBy("sig").orderBy("doc_id"))
     agree = stored(signatures(docs, words, num, den).select("doc_id", before.alias("other")).where("other is not null and other != doc_id")
@@ -360,10 +362,22 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int =
 
 
 def representatives(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFrame:
-    """The documents that stay: of each component the one with the smallest id; of repeated rows of it, one.
+    """The rows that stay: one of each component of linked sets, and every row whose set is empty.
 
-    Rows without an id go. Columns stay as they are.
+    The graph is that of the sets, whatever ids their rows have: each set is numbered by the smallest id of its rows,
+    nulls last, then by its key, and the first set of a component stays. Of the rows of that set one with that id stays.
+    Rows without an id are linked like others; texts that share an id but do not link all stay. Columns stay as they are.
     """
-    found = jaccard_components(docs, words, num, den)
-    stays = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    row = ["_r1", "_r2"]
+    id_, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    keyed = docs.withColumns({c: F.xxhash64(F.lit(k), id_, text) for k, c in enumerate(row)})
+    full = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    sets = stored(hashed(keyed.where(full), words, *row), "sets")
+    first = sets.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *row)).alias("at"), F.first("n").alias("n"))
+    chosen = first.select("at.*", "k1", "k2", "n").orderBy("none", "doc_id", "k1", "k2")
+    chosen = stored(chosen.select(F.monotonically_increasing_id().alias("_set"), *row, "n", "k1", "k2"), "chosen")
+    # copies are folded before the shuffle, so that many rows with one id and text meet no task
+    one = stored(keyed.where(full).dropDuplicates(row).join(chosen, row).drop(*row), "one")
+    found = jaccard_components(one.select(F.col("_set").alias("doc_id"), "text"), words, num, den, one.select(F.col("_set").alias("doc_id"), "n", "k1", "k2"))
+    stays = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_set"))
+    return one.join(stays, "_set", "left_semi").select(*docs.columns).union(docs.where(~full).select(*docs.columns))

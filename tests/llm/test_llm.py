@@ -479,3 +479,16 @@ def test_thresholds_count_every_labelled_row(spark, monkeypatch):
         model = toxicity.fit(docs, spark.createDataFrame([(i, r[2]) for i, r in every], "doc_id long, toxic int"))
         assert set(model.thresholds) == {"en"}
         assert low < model.thresholds["en"] < high and low < model.pooled_threshold < high
+
+
+def test_rows_that_stay_by_text(spark):
+    x, y, z, other, copy = "a b c d e f g h", "k l m n o p q r", "s t u v w x y z", "aa bb cc dd ee ff", "A b  c d e f g h"
+    near = [" ".join(f"n{i}" for i in range(60)) + end for end in ("", " more")]
+    rows = [(5, x), (5, y), (7, y), (7, copy), (None, x), (None, z), (None, z), (None, near[1]), (9, near[0]), (9, other), (9, other),
+            (None, None), (None, ""), (3, " "), (3, " "), (None, near[1]), (2, "one"), (None, "two")]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    stays = ngram_join.representatives(docs, 5, 8, 10)
+    assert stays.columns == docs.columns
+    want = [(5, x), (5, y), (None, z), (9, near[0]), (9, other), (None, None), (None, ""), (3, " "), (3, " "), (2, "one"), (None, "two")]
+    assert sorted(((r["doc_id"], r["text"]) for r in stays.collect()), key=str) == sorted(want, key=str)
+    assert ngram_join.representatives(empty(spark)).count() == 0
