@@ -21,7 +21,8 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 #: A run that is too short is consumed whole, so asking for the length in the pattern finds the same matches.
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-KEY = r"(?<![A-Za-z0-9/+=])[A-Za-z0-9/+]{32,64}(?![A-Za-z0-9/+=])"
+#: Of any length, padded or not; it may follow an equals sign or a quote, as in name=key.
+KEY = r"(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{32,}+={0,2}(?![A-Za-z0-9/+=])"
 ENDPOINT = r"""https?://[^\x20\x09-\x0D"'<>]+"""
 #: In the order in which spans with one start are listed.
 KINDS = ("assign", "access", "hex", "key", "short", "endpoint")
