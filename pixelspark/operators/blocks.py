@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from pixelspark.schema import IC
+from pixelspark.schema import IC, IMG
 
 BLOCK = 256
+#: Columns of the image size where the caller names none.
+SIZE = ("_height", "_width")
 Kernel = Callable[..., "np.ndarray | Sequence[np.ndarray]"]
 
 
@@ -30,6 +32,15 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def with_size(df: DataFrame, keys: Sequence[str], of: DataFrame | None = None) -> DataFrame:
+    """Add the columns SIZE: height and width of each row's image, from the largest y and x stored in ``of`` (or in ``df``)."""
+    image = [k for k in keys if k in IMG] or list(keys)
+    size = (of if of is not None else df).groupBy(*[F.col(k).alias(f"_of_{k}") for k in image]).agg(
+        *[(F.max(c) + 1).cast("int").alias(s) for c, s in zip(("y", "x"), SIZE)])
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in image]
+    return df.join(size, same).drop(*[f"_of_{k}" for k in image])
+
+
 def _owners(c: str, block: int, halo: int, limit: str | None) -> Column:
     """Indices of the tiles whose halo holds coordinate ``c``."""
     first = F.greatest(F.floor((F.col(c) - halo) / block), F.lit(0))
@@ -125,11 +136,8 @@ def _long_batch(table: pa.Table | pa.RecordBatch, keys: Sequence[str], made: lis
 
 
 def _region(col: dict[str, np.ndarray], s: slice, block: int, halo: int,
-            shape: tuple[str, str] | None) -> tuple[int, int, int, int]:
+            shape: tuple[str, str]) -> tuple[int, int, int, int]:
     """Rows and columns a tile covers, halo included, cut at the image border."""
-    if shape is None:
-        ys, xs = col["y"][s], col["x"][s]
-        return ys.min(), xs.min(), ys.max() + 1, xs.max() + 1
     ty, tx = col["ty"][s.start], col["tx"][s.start]
     h, w = (col[c][s.start] for c in shape)
     return (max(0, ty * block - halo), max(0, tx * block - halo),
@@ -152,14 +160,16 @@ def map_blocks(df: DataFrame, kernel: Kernel, out: Sequence[str], *,
     edge of the array is either an image border or lies ``halo`` away from the core.
 
     ``values`` are the columns turned into arrays, ``fill`` what a missing pixel holds (NaN;
-    a column name takes it from the data). ``shape`` names height and width columns, needed
-    where the relation is sparse and borders matter. ``keep`` names a value column: only
+    a column name takes it from the data). ``shape`` names height and width columns; without it
+    an image ends at the largest y and x stored of it, so a sparse relation names them. ``keep`` names a value column: only
     pixels where it is positive are returned.
     """
     if halo > block:
         raise ValueError("the halo must not exceed the block")
+    if shape is None:
+        df, shape = with_size(df, keys), SIZE
     fill = list(fill) if fill is not None else [np.nan] * len(values)
-    extra = [f for f in fill if isinstance(f, str)] + list(shape or ())
+    extra = [f for f in fill if isinstance(f, str)] + list(shape)
     cols = list(dict.fromkeys([*keys, "y", "x", *values, *extra]))
     tile = [*keys, "ty", "tx"]
     tiles = spread(with_halo(df.select(*cols), block, halo, shape), *tile).sortWithinPartitions(*tile)
@@ -201,17 +211,17 @@ def pack_tiles(pixels: DataFrame, halo: int, block: int = BLOCK, value: str = "v
     """
     tile = [*keys, "ty", "tx"]
     px = pixels.select(*keys, "y", "x", F.col(value).cast("double").alias("value"))
-    tiles = spread(with_halo(px, block, halo), *tile).sortWithinPartitions(*tile)
+    tiles = spread(with_halo(with_size(px, keys), block, halo, SIZE), *tile).sortWithinPartitions(*tile)
     schema = T.StructType([*tiles.select(*tile).schema.fields, *[T.StructField(g, T.IntegerType()) for g in _GEOMETRY],
                            T.StructField("vals", T.ArrayType(T.DoubleType()))])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_tiles(batches, tile):
-            col = {c: table.column(c).to_numpy() for c in ("ty", "tx", "y", "x", "value")}
+            col = {c: table.column(c).to_numpy() for c in ("ty", "tx", "y", "x", "value", *SIZE)}
             first, geometry, vals = [], [], []
             for s in _spans(starts, table.num_rows):
-                t = _Tile(col["ty"][s.start], col["tx"][s.start], _region(col, s, block, halo, None), block)
+                t = _Tile(col["ty"][s.start], col["tx"][s.start], _region(col, s, block, halo, SIZE), block)
                 if t.empty:
                     continue
                 a = np.full(t.shape, np.nan)

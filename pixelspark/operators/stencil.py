@@ -160,7 +160,8 @@ def erode_labels(labels: DataFrame, radius: int = 9, footprint=None, shape: tupl
                  keys: Sequence[str] = tuple(IMG), block: int = BLOCK) -> DataFrame:
     """Minimum label under a disk; positions outside the image are ignored, background is 0.
 
-    A sparse relation (label 0 not stored) names its height and width columns in ``shape``.
+    A sparse relation (label 0 not stored) names its height and width columns in ``shape``; without them an image
+    ends at the largest y and x stored of it.
     Only pixels left with a positive label are returned.
     """
     fp = K.disk(radius) if footprint is None else np.asarray(footprint, bool)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pixelspark.functions import kernels as K
 from pixelspark.functions.stats import resolve
-from pixelspark.operators.blocks import BLOCK, map_blocks
+from pixelspark.operators.blocks import BLOCK, SIZE, map_blocks, with_size
 from pixelspark.operators.measure import label_pixels
 from pixelspark.operators.stencil import erode_labels
 from pixelspark.schema import IC, ILC, IMG
@@ -157,7 +157,7 @@ def hessian_features(pixels: DataFrame, labels: DataFrame, sigmas: Sequence[tupl
                      erosion: int = 9, shape: tuple[str, str] | None = None) -> DataFrame:
     """Long per-object statistics of the Hessian eigenvalues on eroded labels."""
     columns = {f"eigv_{k}_{s}": (f"hessian_eigv_{k}", s) for s in range(len(sigmas)) for k in (1, 2)}
-    return long_features(hessian_map(pixels, sigmas), columns, _eroded(labels, erosion, shape))
+    return long_features(hessian_map(pixels, sigmas), columns, eroded(labels, erosion, shape, pixels))
 
 
 def structure_tensor_features(pixels: DataFrame, labels: DataFrame, sigmas: Sequence[tuple[float, ...]],
@@ -166,8 +166,12 @@ def structure_tensor_features(pixels: DataFrame, labels: DataFrame, sigmas: Sequ
     """Long per-object statistics of both eigenvalues and their ratio on eroded labels."""
     columns = {f"eigv_{k}_{s}": (f"str_tens_eigv_{k}", s) for s in range(len(sigmas)) for k in (1, 2)}
     columns |= {f"anisotropy_{s}": ("anisotropy", s) for s in range(len(sigmas))}
-    return long_features(structure_tensor_map(pixels, sigmas, eps=eps), columns, _eroded(labels, erosion, shape))
+    return long_features(structure_tensor_map(pixels, sigmas, eps=eps), columns, eroded(labels, erosion, shape, pixels))
 
 
-def _eroded(labels: DataFrame, radius: int, shape: tuple[str, str] | None) -> DataFrame:
+def eroded(labels: DataFrame, radius: int, shape: tuple[str, str] | None, pixels: DataFrame) -> DataFrame:
+    """Eroded labels; an image is as large as its pixels and labels where ``shape`` is not given."""
+    if radius and shape is None:
+        both = pixels.select(*IMG, "y", "x").union(labels.select(*IMG, "y", "x"))
+        labels, shape = with_size(labels, IMG, both), SIZE
     return erode_labels(labels, radius, shape=shape) if radius else labels.where("label > 0")

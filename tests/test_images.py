@@ -265,3 +265,21 @@ def test_feature_names():
     assert tn.feature_name("hessian_eigv_1", "intensity_mean", 2, 3) == "hessian_eigv_1_intensity_mean_2-3"
     assert tn.feature_name("anisotropy", "intensity_mean", None, 0, "1_2") == "anisotropy_intensity_mean_1_2-0"
     assert tex.prop_name("contrast", 1, 0, 2, 3) == "contrast_1_0" and tex.feature_count(["a"], [1, 2], [0], 3) == 6
+
+
+@pytest.mark.parametrize("block", [4, 5, 256])
+def test_absent_rows_are_no_border(grid, block):
+    a = np.random.default_rng(3).integers(0, 99, (12, 12)).astype(float)
+    px = grid({1: a}).where("y != 4 and x != 7")
+    whole = {(r["y"], r["x"]): r["value"] for r in st.median_filter(px, 3, block=256).collect()}
+    got = {(r["y"], r["x"]): r["value"] for r in st.median_filter(px, 3, block=block).collect()}
+    assert all(str(got[y, x]) == str(v) for (y, x), v in whole.items() if y != 4 and x != 7)
+
+
+def test_sparse_labels_end_with_the_pixels(grid):
+    from pixelspark.operators.tensors import eroded
+
+    b = np.zeros((12, 12), int)
+    b[3:7, 3:7] = 5
+    kept = eroded(grid({1: b}, "label", "int").where("label > 0"), 1, None, grid({1: np.ones((12, 12))}))
+    assert sorted((r["y"], r["x"]) for r in kept.collect()) == [(4, 4), (4, 5), (5, 4), (5, 5)]
