@@ -6,7 +6,8 @@ before it to the state behind it and the tokens emitted, is known up to the unre
 symbols before the first white space, whose count depends on the state the chunk is entered in; ``count``, the tokens in
 between, which do not; and ``tail``, the symbols that lead from the start state to the state at the end. Two maps compose
 into one by running the tail and the head between them; composition is associative, so the chunks of a text are
-combined pairwise in a tree of logarithmic depth, and a long text is never run from end to end.
+combined pairwise in a tree of logarithmic depth. Maps compose only at ASCII white space: a chunk without any is passed
+on as its own text, so a long text without white space (Chinese, base64, minified code) is run from end to end.
 """
 
 from __future__ import annotations
