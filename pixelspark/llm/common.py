@@ -40,10 +40,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def per_worker(key: tuple, make: Callable[[], Any]) -> Any:
     """One object per Python worker process; the tasks that reuse the worker share it.
 
-    The package travels by value, so its module globals are new in every task; ``sys`` is not.
+    The package travels by value, so its module globals are new in every task; ``sys`` is not. There is one slot: an
+    object with another key takes the place of the one before, so a worker never holds two.
     """
     held = sys.__dict__.setdefault("_pixelspark_llm", {})
     if key not in held:
+        held.clear()
         held[key] = make()
     return held[key]
 
@@ -58,6 +60,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows]])
         for a, b in zip(cuts[:-1], cuts[1:]):
             yield batch.slice(int(a), int(b - a))
+    pa.default_memory_pool().release_unused()
 
 
 def strings(batch: pa.RecordBatch, column: str = "text") -> pa.Array:

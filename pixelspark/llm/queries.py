@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelspark.llm import byte_bpe, chat, near_vectors, ngram_join, packing, quality, secrets, token_counts, token_files, toxicity
+from pixelspark.llm import alignment, byte_bpe, chat, near_vectors, neighbours, ngram_join, packing, quality, secrets, token_counts, token_files, toxicity
 from pixelspark.llm.common import table
 from pixelspark.llm.oracles import SQL
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
+ALIGN_A, ALIGN_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 TOKEN_LIMIT = 2048
 FILE_END, PACK_END = 2, 1
 
@@ -69,7 +70,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), PACK_END)
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), 20, 20)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), vocabulary(ALIGN_A), public_tokenizers.PATTERN, vocabulary(ALIGN_B))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_near_vectors, op2_toxicity, op3_secrets, op4_ngram_join, op5_token_counts, op6_chat_format, op7_token_files,
-                            op8_byte_bpe, op9_quality_rules, op10_packing)}
+                            op8_byte_bpe, op9_quality_rules, op10_packing, op11_nearest_neighbours, op13_alignment)}
 __all__ = ["QUERIES", "SQL"]
