@@ -135,7 +135,7 @@ KEY = ["chunk", "anon", "conv"]
 
 def in_order() -> list[str | Column]:
     """Conversations, and the turns of each one."""
-    return ["anon", "conv", F.col("turn").isNull(), "turn", "code", "role", "digest"]
+    return ["anon", "conv", F.col("turn").isNull(), "turn", "code", "role", "digest", "nth"]
 
 
 def _by_range(rows: DataFrame, out: str, each: Callable[[dict], dict]) -> DataFrame:
@@ -226,7 +226,7 @@ def _exits(turned: DataFrame, costs: Costs) -> DataFrame:
     return turned.groupBy("anon", "conv").applyInPandas(run, "chunk int, anon boolean, conv long, entry array<bigint>, leaves int, base long, final boolean")
 
 
-PLAN = ("anon boolean, conv long, turn long, role string, digest string, new_role string, action string, inserted string, appended string, "
+PLAN = ("anon boolean, conv long, turn long, role string, digest string, nth long, new_role string, action string, inserted string, appended string, "
         "out_turn long, cost long")
 
 
@@ -239,7 +239,7 @@ def _plan(rows: DataFrame, costs: Costs) -> DataFrame:
         ends = whole or c["final"][0]
         n, q = len(roles), states[-1]
         base = 0 if whole else c["base"][0]
-        return {k: c[k] for k in ("anon", "conv", "turn", "role", "digest")} | {
+        return {k: c[k] for k in ("anon", "conv", "turn", "role", "digest", "nth")} | {
             "new_role": [ROLES[x] for x in states[1:]], "action": [s.action for s in taken], "inserted": [s.inserted for s in taken],
             "appended": [""] * (n - 1) + [r.appended[q] if ends else ""],
             "out_turn": [base + k - 1 for k in accumulate(r.begun(roles, states))],
@@ -253,7 +253,8 @@ def repaired(conversations: DataFrame, costs: Costs = Costs()) -> DataFrame:
     """One row per recorded turn with its place in the repaired conversation.
 
     conv_id, turn, role, text as recorded; copies, the number of rows equal in these four, which are one turn recorded
-    again; new_role; action (keep, relabel, merge, relabel+merge); inserted and appended, the roles of empty turns
+    again where conversation and number are given; rows without one of these are turns of their own, which ``nth`` tells
+    apart (0 for the others) and which follow each other in its order; new_role; action (keep, relabel, merge, relabel+merge); inserted and appended, the roles of empty turns
     put before it and after the conversation; out_turn, its turn there, from 0; cost; last.
 
     Turns go by number, those without one last; equal numbers by role (system, user, assistant, others by name), then
@@ -264,10 +265,12 @@ def repaired(conversations: DataFrame, costs: Costs = Costs()) -> DataFrame:
     n = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     taken = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                                  F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    turns = stored(taken.groupBy(*taken.columns).agg(F.count(F.lit(1)).alias("copies"))
-                   .withColumn("digest", F.coalesce(F.md5("text"), F.lit(""))), "turns")
+    known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    folded = taken.where(known).groupBy(*taken.columns).agg(F.count(F.lit(1)).alias("copies")).withColumn("nth", F.lit(0).cast("long"))
+    single = taken.where(~known).withColumn("copies", F.lit(1).cast("long")).withColumn("nth", F.monotonically_increasing_id() + 1)
+    turns = stored(folded.unionByName(single).withColumn("digest", F.coalesce(F.md5("text"), F.lit(""))), "turns")
     narrow = turns.select(F.col("conv_id").isNull().alias("anon"), F.coalesce("conv_id", F.lit(0)).cast("long").alias("conv"),
-                          "turn", "role", "digest", role_code().alias("code"))
+                          "turn", "role", "digest", "nth", role_code().alias("code"))
     ranged = stored(narrow.repartitionByRange(n, *in_order()).withColumn("chunk", F.spark_partition_id()), "ranges")
     conv = F.struct("anon", "conv")
     ends = (ranged.groupBy("chunk").agg(F.min(conv).alias("a"), F.max(conv).alias("b"))
@@ -278,9 +281,10 @@ def repaired(conversations: DataFrame, costs: Costs = Costs()) -> DataFrame:
     plan = _plan(ranged.join(exits, KEY, "left").select(*ranged.columns, "entry", "leaves", "base", "final"), costs)
     t, p = turns.alias("t"), plan.alias("p")
     same = ((F.col("t.conv_id").isNull() == F.col("p.anon")) & (F.coalesce("t.conv_id", F.lit(0)) == F.col("p.conv"))
-            & F.col("t.turn").eqNullSafe(F.col("p.turn")) & F.col("t.role").eqNullSafe(F.col("p.role")) & (F.col("t.digest") == F.col("p.digest")))
+            & F.col("t.turn").eqNullSafe(F.col("p.turn")) & F.col("t.role").eqNullSafe(F.col("p.role")) & (F.col("t.digest") == F.col("p.digest"))
+            & (F.col("t.nth") == F.col("p.nth")))
     return t.join(p, same).select("t.conv_id", "t.turn", "t.role", "t.text", "t.copies", "p.new_role", "p.action", "p.inserted", "p.appended",
-                                  "p.out_turn", "p.cost", "p.last")
+                                  "p.out_turn", "p.cost", "p.last", "t.nth")
 
 
 def rendered(turns: DataFrame, head: str = "<|{role}|>\n", foot: str = "<|end|>\n", joint: str = "\n") -> DataFrame:

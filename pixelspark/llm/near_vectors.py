@@ -14,31 +14,35 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixelspark.llm.common import stored
 from pixelspark.llm.components import components, forest
 
 DIMENSIONS = 8
+#: A further direction that keeps vectors of different lengths farther apart than any width.
+APART = 8.0
 LEAF = 2048
 BLOCK = 256
 FAN = 16
-#: Rows on which the principal directions are fitted; they only decide the order, never a link.
+#: Intervals on each side of a task.
+DEAL = 4
+#: About as many rows of each length are those on which the principal directions are fitted; they only decide the order, never a link.
 FIT_ROWS = 4096
 #: Room for rounding in distances between boxes.
 SLACK = 1e-6
 
 
 def valid_vectors(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """vec_id, vec, k1, k2 and ``ok``: false for vectors that link with nothing.
+    """vec_id, vec (double), k1, k2 and ``ok``: false for vectors that link with nothing.
 
     Those are null, empty or zero vectors, vectors with null or non-finite components, and rows without an id.
     """
-    v = F.col(vector).cast("array<float>")
+    v = F.col(vector).cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     ok = v.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(v, lambda x: x != 0) & F.col(vec_id).isNotNull()
-    clean = F.transform(v, lambda x: F.when(x == 0, F.lit(0.0).cast("float")).otherwise(x))
+    clean = F.transform(v, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
     return (df.select(F.col(vec_id).cast("long").alias("vec_id"), clean.alias("vec"), F.coalesce(ok, F.lit(False)).alias("ok"))
             .withColumn("k1", F.xxhash64(F.lit(1), "vec")).withColumn("k2", F.xxhash64(F.lit(2), "vec")))
 
@@ -59,59 +63,86 @@ def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
 
 
-def leaves(reps: DataFrame, basis: np.ndarray, width: float) -> DataFrame:
-    """The grid-ordered sequence in intervals of up to LEAF vectors, in rows of up to BLOCK: leaf, block, low and high
-    corner in the leading directions, ids, number of copies and vectors."""
+def bases(reps: DataFrame) -> dict[int, np.ndarray]:
+    """Leading principal directions of each vector length, from about FIT_ROWS rows taken by their hash."""
+    width = F.size("vec")
+    rows = {r["width"]: r["count"] for r in reps.groupBy(width.alias("width")).count().collect()}
+    out = {w: np.zeros((w, DIMENSIONS)) for w in rows}
+    if rows:
+        share = F.element_at(F.create_map(*[F.lit(x) for w, n in rows.items() for x in (w, int(min(1.0, FIT_ROWS / n) * (1 << 30)))]), width)
+        fit = reps.where(F.pmod("k2", F.lit(1 << 30)) < share).select("k1", "k2", "vec").toArrow().sort_by([("k1", "ascending"), ("k2", "ascending")])
+        some = fit.column("vec").combine_chunks()
+        widths = np.diff(some.offsets.to_numpy())
+        for w in rows:
+            x = some.filter(pa.array(widths == w))
+            if len(x) > 1:
+                found = principal(unit(matrix(x)))
+                out[w][:, :found.shape[1]] = found
+    return out
+
+
+def by_width(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Rows of each vector length."""
+    widths = np.diff(batch.column(column).offsets.to_numpy())
+    for w in np.unique(widths).tolist():
+        yield w, batch.filter(pa.array(widths == w))
+
+
+def leaves(reps: DataFrame, basis: dict[int, np.ndarray], width: float, kind: str) -> DataFrame:
+    """The grid-ordered sequence in intervals of up to LEAF vectors, in rows of up to BLOCK of one length: leaf, block, low and
+    high corner in the leading directions, ids, number of copies and vectors (as ``kind``). Lengths follow each other."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                x = unit(matrix(b.column(1)))
-                cell = np.clip(np.floor(x @ basis / width), -127, 127).astype(np.int16) + 128
-                key = [c.tobytes() for c in cell.astype(np.uint8)]
+        for batch in batches:
+            for w, b in by_width(batch, 1):
+                cell = np.clip(np.floor(unit(matrix(b.column(1))) @ basis[w] / width), -127, 127).astype(np.int16) + 128
+                key = [w.to_bytes(4, "big") + c.tobytes() for c in cell.astype(np.uint8)]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(key, pa.binary())], names=[*b.schema.names, "cell"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done = TaskContext.get().partitionId(), 0
-        held: list[pa.RecordBatch] = []
+        held: pa.Table | None = None
 
-        def blocks(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        def block(t: pa.Table) -> pa.RecordBatch:
             nonlocal done
-            for a in range(0, t.num_rows, BLOCK):
-                one = t.slice(a, BLOCK).combine_chunks().to_batches()[0]
-                raw = matrix(one.column(1)).astype("<f4")
-                z = unit(raw) @ basis
-                leaf = part << 32 | done // (LEAF // BLOCK)
-                yield pa.RecordBatch.from_pydict({
-                    "leaf": pa.array([leaf], pa.int64()), "block": pa.array([done % (LEAF // BLOCK)], pa.int32()),
-                    "low": pa.array([z.min(0)], pa.list_(pa.float64())), "high": pa.array([z.max(0)], pa.list_(pa.float64())),
-                    "ids": pa.array([one.column(0).to_numpy()], pa.list_(pa.int64())),
-                    "copies": pa.array([one.column(2).to_numpy()], pa.list_(pa.int64())), "data": pa.array([raw.tobytes()], pa.binary())})
-                done += 1
-
-        for b in batches:
-            held.append(b)
-            if sum(x.num_rows for x in held) >= BLOCK:
-                t = pa.Table.from_batches(held)
-                whole = t.num_rows // BLOCK * BLOCK
-                yield from blocks(t.slice(0, whole))
-                held = t.slice(whole).to_batches()
-        if sum(x.num_rows for x in held):
-            yield from blocks(pa.Table.from_batches(held))
-
-    placed = reps.select("rep", "vec", "copies", "k1").mapInArrow(place, "rep long, vec array<float>, copies long, k1 long, cell binary")
+            one = t.combine_chunks().to_batches()[0]
+            raw = matrix(one.column(1)).astype(kind)
+            z = np.concatenate([unit(raw) @ basis[raw.shape[1]], np.full((len(raw), 1), APART * raw.shape[1])], 1)
+            row = pa.RecordBatch.from_pydict({
+                "leaf": pa.array([part << 32 | done // (LEAF // BLOCK)], pa.int64()), "block": pa.array([done % (LEAF // BLOCK)], pa.int32()),
+                "low": pa.array([z.min(0)], pa.list_(pa.float64())), "high": pa.array([z.max(0)], pa.list_(pa.float64())),
+                "ids": pa.array([one.column(0).to_numpy()], pa.list_(pa.int64())),
+                "copies": pa.array([one.column(2).to_numpy()], pa.list_(pa.int64())), "data": pa.array([raw.tobytes()], pa.binary())})
+            done += 1
+            return row
+
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            held = t if held is None else pa.concat_tables([held, t])
+            widths = np.diff(held.column(1).combine_chunks().offsets.to_numpy())
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(widths)) + 1]) if len(widths) else []
+            for a, b in zip(starts, [*starts[1:], len(widths)]):
+                whole = b if b < len(widths) else a + (b - a) // BLOCK * BLOCK  # the last length may go on
+                for i in range(a, whole, BLOCK):
+                    yield block(held.slice(i, min(BLOCK, whole - i)))
+                if b == len(widths):
+                    held = held.slice(whole)
+        if held is not None and held.num_rows:
+            yield block(held)
+
+    placed = reps.select("rep", "vec", "copies", "k1").mapInArrow(place, "rep long, vec array<double>, copies long, k1 long, cell binary")
     ordered = placed.repartitionByRange("cell", "k1").sortWithinPartitions("cell", "k1")
     return ordered.mapInArrow(cut, "leaf long, block int, low array<double>, high array<double>, ids array<long>, copies array<long>, data binary")
 
 
 def near_intervals(boxes: DataFrame, width: float) -> DataFrame:
-    """Pairs (a, b), a <= b, of leaves whose boxes are within ``width``: pairs of intervals refined level by level.
+    """Pairs (a, b), a <= b, of places in the sequence of leaves whose boxes are within ``width``: pairs of intervals refined
+    level by level.
 
-    ``boxes``: leaf, low, high. An interval of one level holds FAN of the level below.
+    ``boxes``: at, low, high. An interval of one level holds FAN of the level below.
     """
-    lows = F.array(*[F.min(F.col("low")[i]) for i in range(DIMENSIONS)])
-    highs = F.array(*[F.max(F.col("high")[i]) for i in range(DIMENSIONS)])
-    level = boxes.withColumn("at", F.row_number().over(Window.orderBy("leaf")) - F.lit(1))
+    lows, highs = corners("low", F.min), corners("high", F.max)
+    level = boxes
     n, levels = boxes.count(), [level]
     while n > 1:
         level = level.withColumn("at", F.floor(F.col("at") / FAN)).groupBy("at").agg(lows.alias("low"), highs.alias("high"))
@@ -125,29 +156,39 @@ def near_intervals(boxes: DataFrame, width: float) -> DataFrame:
         pairs = (pairs.join(a, F.col("a") == F.col("a_up")).join(b, F.col("b") == F.col("b_up"))
                  .where((F.col("a_at") <= F.col("b_at")) & (F.expr(gap) <= (width + SLACK) ** 2))
                  .select(F.col("a_at").alias("a"), F.col("b_at").alias("b")))
-    names = levels[0].select("at", "leaf")
-    return (pairs.join(names.select(F.col("at").alias("a"), F.col("leaf").alias("leaf_a")), "a")
-            .join(names.select(F.col("at").alias("b"), F.col("leaf").alias("leaf_b")), "b").select("leaf_a", "leaf_b"))
+    return pairs
+
+
+def corners(column: str, of) -> Column:
+    return F.array(*[of(F.col(column)[i]) for i in range(DIMENSIONS + 1)])
 
 
-def compare(table: pa.Table, cosine: float, width: float) -> pa.Table:
-    """Links between two leaves (or within one): rows (id, other, links); forest links have links 0."""
-    rows = sorted(table.select(["leaf_a", "leaf_b", "leaf", "block", "low", "high", "ids", "copies", "data"]).to_pylist(), key=lambda r: (r["leaf"], r["block"]))
+def sequence(blocks: DataFrame) -> DataFrame:
+    """leaf, at (its place in the sequence), low, high. Places are counted by the parts of the sequence, a row for each part."""
+    part = F.shiftright("leaf", 32)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = blocks.groupBy(part.alias("part")).agg((F.max("leaf").bitwiseAND(F.lit(0xFFFFFFFF)) + 1).alias("n"))
+    first = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    boxes = blocks.groupBy("leaf").agg(corners("low", F.min).alias("low"), corners("high", F.max).alias("high")).withColumn("part", part)
+    return boxes.join(first, "part").select("leaf", (F.col("first") + F.col("leaf").bitwiseAND(F.lit(0xFFFFFFFF))).alias("at"), "low", "high")
+
+
+def compare(table: pa.Table, cosine: float, width: float, kind: str) -> pa.Table:
+    """Links between the leaves of two sides (or within one): rows (id, other, links); forest links have links 0."""
+    rows = sorted(table.select(["side_a", "side_b", "side", "leaf", "block", "low", "high", "ids", "copies", "data"]).to_pylist(), key=lambda r: (r["side"], r["leaf"], r["block"]))
     ids = np.concatenate([r["ids"] for r in rows]).astype(np.int64)
     copies = np.concatenate([r["copies"] for r in rows]).astype(np.int64)
     size = [len(r["ids"]) for r in rows]
     ends = np.cumsum(size)
-    x = [unit(np.frombuffer(r["data"], "<f4").reshape(n, -1)) for r, n in zip(rows, size)]
+    x = [unit(np.frombuffer(r["data"], kind).reshape(n, -1)) for r, n in zip(rows, size)]
     low, high = np.array([r["low"] for r in rows]), np.array([r["high"] for r in rows])
     group, links, edges = np.arange(len(ids)), np.zeros(len(ids), np.int64), []
-    same = rows[0]["leaf_a"] == rows[0]["leaf_b"]
+    same = rows[0]["side_a"] == rows[0]["side_b"]
+    side = np.array([r["side"] for r in rows])
     for i in range(len(rows)):
-        for j in range(i, len(rows)):
-            if not same and rows[i]["leaf"] == rows[j]["leaf"]:
-                continue
-            gap = np.maximum(0, np.maximum(low[i] - high[j], low[j] - high[i]))
-            if gap @ gap > (width + SLACK) ** 2:
-                continue
+        gap = np.maximum(0, np.maximum(low[i] - high[i:], low[i:] - high[i]))
+        near = (gap * gap).sum(1) <= (width + SLACK) ** 2
+        for j in (i + np.flatnonzero(near & (same | (side[i:] != side[i])))).tolist():
             linked = x[i] @ x[j].T >= cosine
             if i == j:
                 np.fill_diagonal(linked, False)
@@ -167,30 +208,30 @@ def compare(table: pa.Table, cosine: float, width: float) -> pa.Table:
 def near_duplicates(df: DataFrame, cosine: float = 0.9, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """One row per row: vec_id, n_links (other rows linked directly), component_id, kept (first of its component).
 
-    Copies of a vector are compared once, by their smallest id. Vectors that are not of the most frequent length (the
-    longer, if two are) link with nothing, as do invalid ones; those form components of their own. Rows that share a
-    vec_id count as one place in the graph. An empty table gives an empty result; other columns are not read.
+    Copies of a vector are compared once, by their smallest id. Vectors of each length are compared among themselves; one of
+    another length never links. Invalid ones form components of their own. Rows that share a vec_id count as one place in
+    the graph. An empty table gives an empty result; other columns are not read.
+
+    A task takes DEAL intervals from each of two places of the sequence, so an interval is sent once for every DEAL of those
+    that may hold a partner.
     """
     spark = df.sparkSession
+    kind = "<f4" if df.schema[vector].dataType.simpleString() == "array<float>" else "<f8"
     rows = stored(valid_vectors(df, vec_id, vector), "vectors")
-    length = rows.where("ok").groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    rows = rows.withColumn("ok", F.col("ok") & (F.size("vec") == (length["n"] if length else 0)))
     reps = stored(rows.where("ok").groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec")), "copies")
-    fit = reps.orderBy("k1", "k2").limit(FIT_ROWS).select("vec").toArrow()
-    if fit.num_rows == 0:
+    basis = bases(reps)
+    if not basis:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    basis = np.zeros((length["n"], DIMENSIONS))
-    if fit.num_rows > 1:
-        found = principal(unit(matrix(fit.column(0).combine_chunks())))
-        basis[:, :found.shape[1]] = found
     width = float(np.sqrt(2 - 2 * cosine))
-    blocks = stored(leaves(reps, basis, width), "leaves")
-    boxes = blocks.groupBy("leaf").agg(F.array(*[F.min(F.col("low")[i]) for i in range(DIMENSIONS)]).alias("low"),
-                                       F.array(*[F.max(F.col("high")[i]) for i in range(DIMENSIONS)]).alias("high"))
-    pairs = near_intervals(stored(boxes, "boxes"), width)
-    sides = pairs.withColumn("leaf", F.explode(F.array_distinct(F.array("leaf_a", "leaf_b"))))
-    task = sides.join(blocks, "leaf").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "leaf_a", "leaf_b")
-    found = stored(task.groupBy("leaf_a", "leaf_b").applyInArrow(lambda t: compare(t, cosine, width), "id long, other long, links long"), "found")
+    blocks = stored(leaves(reps, basis, width, kind), "leaves")
+    places = stored(sequence(blocks), "boxes")
+    side = lambda c: F.floor(F.col(c) / DEAL)
+    pairs = near_intervals(places.drop("leaf"), width)
+    both = pairs.select("a", "b", side("a").alias("side_a"), side("b").alias("side_b"))
+    of = [both.select("side_a", "side_b", F.col(c).alias("at"), F.col(f"side_{c}").alias("side")) for c in "ab"]
+    sides = of[0].union(of[1]).distinct().join(places.select("at", "leaf"), "at").drop("at")
+    task = sides.join(blocks, "leaf").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "side_a", "side_b")
+    found = stored(task.groupBy("side_a", "side_b").applyInArrow(lambda t: compare(t, cosine, width, kind), "id long, other long, links long"), "found")
     links = found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
     member = components(found.where("other is not null").select(F.col("id").alias("u"), F.col("other").alias("v")))
     of = (reps.select("k1", "k2", "rep", "copies").join(links, "rep", "left")

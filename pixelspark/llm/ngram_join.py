@@ -370,14 +370,16 @@ def representatives(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
     """
     row = ["_r1", "_r2"]
     id_, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    keyed = docs.withColumns({c: F.xxhash64(F.lit(k), id_, text) for k, c in enumerate(row)})
     full = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    sets = stored(hashed(keyed.where(full), words, *row), "sets")
+    # the row in one struct, so that no column of it meets one of ours
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), id_.alias("doc_id"), text.alias("text"), full.alias("_full"),
+                        *[F.xxhash64(F.lit(k), id_, text).alias(c) for k, c in enumerate(row)]).where("_full").drop("_full")
+    sets = stored(hashed(keyed, words, *row), "sets")
     first = sets.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *row)).alias("at"), F.first("n").alias("n"))
     chosen = first.select("at.*", "k1", "k2", "n").orderBy("none", "doc_id", "k1", "k2")
     chosen = stored(chosen.select(F.monotonically_increasing_id().alias("_set"), *row, "n", "k1", "k2"), "chosen")
     # copies are folded before the shuffle, so that many rows with one id and text meet no task
-    one = stored(keyed.where(full).dropDuplicates(row).join(chosen, row).drop(*row), "one")
+    one = stored(keyed.dropDuplicates(row).join(chosen, row).drop(*row), "one")
     found = jaccard_components(one.select(F.col("_set").alias("doc_id"), "text"), words, num, den, one.select(F.col("_set").alias("doc_id"), "n", "k1", "k2"))
     stays = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_set"))
-    return one.join(stays, "_set", "left_semi").select(*docs.columns).union(docs.where(~full).select(*docs.columns))
+    return one.join(stays, "_set", "left_semi").select("_row.*").union(docs.where(~full).select(*docs.columns))

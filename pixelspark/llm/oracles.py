@@ -44,4 +44,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 100 * n_stutter > 30 * n_words) AS kept
 FROM m"""
 
-SQL: dict[str, str] = {"op1_near_vectors": OP1, "op4_ngram_join": OP4, "op9_quality_rules": OP9}
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+       lambda crc, x: list_reduce(list_prepend(xor(crc, x), range(8)), lambda y, i: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)))"""
+
+OP12 = rf"""
+WITH t AS MATERIALIZED (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+       md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS g, CAST(len({_WORDS}) AS BIGINT) AS w
+     FROM conversations WHERE conv_id IS NOT NULL),
+c AS MATERIALIZED (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h, own FROM (SELECT conv_id, count(*) AS own FROM t GROUP BY conv_id)),
+r AS MATERIALIZED (SELECT c.conv_id, pos AS d, g, w FROM c JOIN t ON t.conv_id = base AND pos <= h UNION ALL
+     SELECT c.conv_id, least(c.h, coalesce(b.own, 0)) + pos - c.h, g, w FROM c JOIN t USING (conv_id) LEFT JOIN c b ON b.conv_id = c.base WHERE pos > c.h),
+p AS MATERIALIZED (SELECT conv_id, d, w, string_agg(g, '') OVER (PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING) AS k FROM r
+     UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+e AS (SELECT k, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS s FROM (SELECT conv_id, k FROM p QUALIFY d = max(d) OVER (PARTITION BY conv_id)) GROUP BY k),
+n AS MATERIALIZED (SELECT k, d, substr(k, 1, 32 * (d - 1)) AS up, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * max(w) AS saved FROM p GROUP BY k, d),
+ch AS (SELECT up AS k, count(*) AS n FROM n WHERE d > 0 GROUP BY up),
+s AS (SELECT substr(n.k, 1, 32 * i) AS k, sum(saved) AS saved, sum(CASE WHEN ch.n IS NULL THEN 1 ELSE 0 END) AS leaves
+      FROM (SELECT k, saved, unnest(range(0, d + 1)) AS i FROM n) n LEFT JOIN ch USING (k) GROUP BY 1)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(ch.n, 0) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.s, sha256('')) AS ends_sha256
+FROM n JOIN s USING (k) LEFT JOIN ch USING (k) LEFT JOIN e USING (k) LEFT JOIN n u ON n.d > 0 AND u.k = n.up"""
+
+SQL: dict[str, str] = {"op1_near_vectors": OP1, "op4_ngram_join": OP4, "op9_quality_rules": OP9, "op12_prefix_trie": OP12}

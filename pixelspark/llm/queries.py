@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelspark.llm import alignment, byte_bpe, chat, near_vectors, neighbours, ngram_join, packing, quality, secrets, token_counts, token_files, toxicity
+from pixelspark.llm import alignment, byte_bpe, chat, near_vectors, neighbours, ngram_join, packing, prefix_trie, quality, secrets, token_counts, token_files, toxicity
 from pixelspark.llm.common import table
 from pixelspark.llm.oracles import SQL
 
@@ -74,11 +74,15 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), 20, 20)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment(table(spark, sf_dir, "documents"), vocabulary(ALIGN_A), public_tokenizers.PATTERN, vocabulary(ALIGN_B))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_near_vectors, op2_toxicity, op3_secrets, op4_ngram_join, op5_token_counts, op6_chat_format, op7_token_files,
-                            op8_byte_bpe, op9_quality_rules, op10_packing, op11_nearest_neighbours, op13_alignment)}
+                            op8_byte_bpe, op9_quality_rules, op10_packing, op11_nearest_neighbours, op12_prefix_trie, op13_alignment)}
 __all__ = ["QUERIES", "SQL"]

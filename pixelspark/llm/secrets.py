@@ -11,7 +11,7 @@ code points.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixelspark.llm.common import stored, text_or_empty
@@ -30,28 +30,36 @@ SPAN = "struct<s:int,k:int,e:int>"
 LEAST_VALUE, LEAST_WEAK_VALUE = 12, 6
 
 
+#: Matches whose places are added up together, and code points of a text that are masked together.
+FOLD, BLOCK = 64, 4096
+
+
 def _lit(pattern: str) -> Column:
     return F.lit(pattern)
 
 
-def _found(df: DataFrame, out: str, pattern: str, kind: str, when: Column | None = None, value: str | None = None) -> DataFrame:
-    """Adds ``out``: spans (s, k, e) of the pattern in ``body``; with ``value``, v is the length of that group."""
+def _found(df: DataFrame, out: str, pattern: str, kind: str, when: Column | None = None, value: str = "0") -> DataFrame:
+    """Adds ``out``: spans (s, k, e, v) of the pattern in ``body``; v is ``value``, an expression on the match x.got and its group 2, x.val.
+
+    A place is the sum of the lengths before it. They are summed by blocks of FOLD matches, and in a block match by match, so
+    no array is copied once for each match of the text. Arrays are walked, never indexed.
+    """
     k = KINDS.index(kind)
     hit = F.col("body").rlike(pattern) if when is None else when & F.col("body").rlike(pattern)
-    df = (df.withColumn("_hit", hit)
-          .withColumn("_cut", F.when(F.col("_hit"), F.split("body", pattern, -1)))
-          .withColumn("_got", F.when(F.col("_hit"), F.regexp_extract_all("body", _lit(pattern), F.lit(0))))
-          .withColumn("_len", F.when(F.col("_hit"), F.expr(
-              "transform(_got, (x, i) -> named_struct('gap', length(_cut[i]), 'own', length(x), 'i', i))")))
-          .withColumn(out, F.when(F.col("_hit"), F.expr(f"""
-              aggregate(_len, named_struct('p', 0, 'a', cast(array() as array<{SPAN}>)),
-                (t, x) -> named_struct('p', t.p + x.gap + x.own,
-                  'a', concat(t.a, array(named_struct('s', t.p + x.gap, 'k', {k}, 'e', t.p + x.gap + x.own)))),
-                t -> t.a)""")).otherwise(F.array().cast(f"array<{SPAN}>"))))
-    if value:
-        df = df.withColumn(f"{out}_values", F.when(F.col("_hit"), F.transform(
-            F.regexp_extract_all("body", _lit(pattern), F.lit(int(value))), F.length)))
-    return df.drop("_hit", "_cut", "_got", "_len")
+    got = [F.split("body", pattern, -1).alias("cut"), F.regexp_extract_all("body", _lit(pattern), F.lit(0)).alias("got")]
+    if "x.val" in value:
+        got.append(F.regexp_extract_all("body", _lit(pattern), F.lit(2)).alias("val"))
+    zipped = F.arrays_zip(*got)
+    step = f"concat(t.a, array(named_struct('s', t.p + x.gap, 'k', {k}, 'e', t.p + x.gap + x.own, 'v', x.v)))"
+    empty = "cast(array() as array<struct<s:int,k:int,e:int,v:int>>)"
+    return (df.withColumn("_zip", F.when(hit, zipped))
+            .withColumn("_len", F.expr(f"transform(filter(_zip, x -> x.got is not null), x -> named_struct('gap', length(x.cut), 'own', length(x.got), 'v', cast({value} as int)))"))
+            .withColumn("_part", F.expr(f"if(size(_len) > 0, transform(sequence(0, (size(_len) - 1) div {FOLD}), i -> slice(_len, int(i) * {FOLD} + 1, {FOLD})), null)"))
+            .withColumn("_from", F.expr("""aggregate(_part, named_struct('p', 0, 'a', cast(array() as array<int>)),
+                (t, b) -> named_struct('p', t.p + aggregate(b, 0, (n, x) -> n + x.gap + x.own), 'a', concat(t.a, array(t.p))), t -> t.a)"""))
+            .withColumn(out, F.coalesce(F.expr(f"""flatten(transform(arrays_zip(_part, _from), z -> aggregate(z._part, named_struct('p', z._from, 'a', {empty}),
+                (t, x) -> named_struct('p', t.p + x.gap + x.own, 'a', {step}), t -> t.a)))"""), F.expr(empty)))
+            .drop("_zip", "_len", "_part", "_from"))
 
 
 def with_key(docs: DataFrame) -> DataFrame:
@@ -61,45 +69,54 @@ def with_key(docs: DataFrame) -> DataFrame:
 
 
 def parts(docs: DataFrame) -> DataFrame:
-    """doc_id, keys, ``strong`` and ``weak`` spans of every row. The patterns for weak parts run where an identifier is."""
+    """doc_id, keys, ``strong`` and ``weak`` spans of every row. The patterns for weak parts run where an identifier is.
+
+    Weak keys are not yet held against strong spans.
+    """
     df = with_key(docs.select("doc_id", "text"))
-    df = _found(df, "assign", ASSIGN, "assign", value="2")
+    df = _found(df, "assign", ASSIGN, "assign", value="length(x.val)")
     df = _found(df, "access", ACCESS, "access")
     df = _found(df, "hex", HEX, "hex")
     near = F.size("access") > 0
-    df = _found(df, "key", KEY, "key", near)
+    df = _found(df, "key", KEY, "key", near, "x.got rlike '[0-9]' and x.got rlike '[a-z]' and x.got rlike '[A-Z]'")
     df = _found(df, "endpoint", ENDPOINT, "endpoint", near)
-    sized = F.expr("transform(assign, (x, i) -> named_struct('x', x, 'v', assign_values[i]))")
-    df = (df.withColumn("_sized", sized)
-          .withColumn("strong_assign", F.expr(f"transform(filter(_sized, y -> y.v >= {LEAST_VALUE}), y -> y.x)"))
-          .withColumn("short", F.when(near, F.expr(
-              f"transform(filter(_sized, y -> y.v < {LEAST_VALUE} and y.v >= {LEAST_WEAK_VALUE}), y -> named_struct('s', y.x.s, 'k', {KINDS.index('short')}, 'e', y.x.e))"))
-              .otherwise(F.array().cast(f"array<{SPAN}>")))
-          .withColumn("strong", F.sort_array(F.concat("strong_assign", "access", "hex"))))
-    keys = F.expr("""filter(key, x -> substr(body, x.s + 1, x.e - x.s) rlike '[0-9]' and substr(body, x.s + 1, x.e - x.s) rlike '[a-z]'
-                     and substr(body, x.s + 1, x.e - x.s) rlike '[A-Z]' and not exists(strong, y -> y.s < x.e and x.s < y.e))""")
-    return (df.withColumn("key", F.when(near, keys).otherwise(F.col("key")))
-            .withColumn("weak", F.concat("key", "short", "endpoint")).select("doc_id", "_k1", "_k2", "strong", "weak"))
+    plain = lambda column, where, k: F.expr(
+        f"transform(filter({column}, x -> {where}), x -> named_struct('s', x.s, 'k', {KINDS.index(k)}, 'e', x.e))").cast(f"array<{SPAN}>")
+    short = F.when(near, plain("assign", f"x.v < {LEAST_VALUE} and x.v >= {LEAST_WEAK_VALUE}", "short")).otherwise(F.array().cast(f"array<{SPAN}>"))
+    strong = F.concat(plain("assign", f"x.v >= {LEAST_VALUE}", "assign"), plain("access", "true", "access"), plain("hex", "true", "hex"))
+    weak = F.concat(plain("key", "x.v = 1", "key"), short, plain("endpoint", "true", "endpoint"))
+    return df.select("doc_id", "_k1", "_k2", F.sort_array(strong).alias("strong"), weak.alias("weak"))
 
 
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """Interval join: the weak spans of each key that have their complement, as ``more``."""
+    """Interval join: the weak spans of each key that have their complement, as ``more``.
+
+    A weak key that overlaps a strong span is none: seen in order of the starts, no strong span before it ends behind its
+    start, and none behind it starts before its end.
+    """
     name = {k: i for i, k in enumerate(KINDS)}
+    key = ["_k1", "_k2"]
     both = (found.where(F.size("weak") > 0).where(F.expr(f"exists(strong, x -> x.k = {name['access']})"))
-            .select("_k1", "_k2", "strong", "weak").dropDuplicates(["_k1", "_k2"]))
+            .select(*key, "strong", "weak").dropDuplicates(key))
     cell = lambda a, b: F.explode(F.sequence(F.floor(a / scope), F.floor(b / scope)))
-    spans = both.select("_k1", "_k2", F.explode(F.concat("strong", "weak")).alias("x")).select("_k1", "_k2", "x.*")
+    spans = both.select(*key, F.explode(F.concat("strong", "weak")).alias("x")).select(*key, "x.*")
+    strong = F.col("k") < name["key"]
+    before = Window.partitionBy(*key).orderBy("s", "k").rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy(*key).orderBy(F.desc("s"), F.desc("k")).rowsBetween(Window.unboundedPreceding, -1)
+    meets = (F.coalesce(F.max(F.when(strong, F.col("e"))).over(before), F.lit(0)) > F.col("s")) | (
+        F.coalesce(F.min(F.when(strong, F.col("s"))).over(behind), F.col("e")) < F.col("e"))
+    spans = spans.withColumn("meets", meets).where((F.col("k") != name["key"]) | ~F.col("meets")).drop("meets")
     ids = (spans.where(F.col("k") == name["access"])
-           .select("_k1", "_k2", F.col("s").alias("a_s"), F.col("e").alias("a_e"))
+           .select(*key, F.col("s").alias("a_s"), F.col("e").alias("a_e"))
            .withColumn("cell", cell(F.col("a_s") - scope, F.col("a_e") + scope)))
     others = spans.where(~F.col("k").isin(name["access"], name["hex"])).withColumn("cell", cell(F.col("s"), F.col("e") - 1))
-    pairs = (ids.join(others, ["_k1", "_k2", "cell"])
+    pairs = (ids.join(others, [*key, "cell"])
              .where((F.col("s") <= F.col("a_e") + scope) & (F.col("e") >= F.col("a_s") - scope)))
     secret = F.col("k") != name["endpoint"]
-    scopes = pairs.groupBy("_k1", "_k2", "a_s").agg(F.max(secret).alias("has_secret"), F.collect_set(F.struct("s", "k", "e")).alias("near"))
-    reported = (scopes.select("_k1", "_k2", "has_secret", F.explode("near").alias("x"))
+    scopes = pairs.groupBy(*key, "a_s").agg(F.max(secret).alias("has_secret"), F.collect_set(F.struct("s", "k", "e")).alias("near"))
+    reported = (scopes.select(*key, "has_secret", F.explode("near").alias("x"))
                 .where((F.col("x.k") >= name["key"]) & ((F.col("x.k") != name["endpoint"]) | F.col("has_secret"))))
-    return reported.groupBy("_k1", "_k2").agg(F.collect_set(F.col("x").cast(SPAN)).alias("more"))
+    return reported.groupBy(*key).agg(F.collect_set(F.col("x").cast(SPAN)).alias("more"))
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -119,24 +136,44 @@ def written(column: str) -> Column:
     return F.array_join(F.transform(column, lambda x: F.concat_ws(":", names[x["k"]], x["s"], x["e"])), ",")
 
 
+def cuts(found: DataFrame) -> DataFrame:
+    """For each key a map from block of BLOCK code points to what goes there: (from, to, whether the mask stands here).
+
+    Overlapping spans are one; a span that crosses blocks has its mask in the first.
+    """
+    key = ["_k1", "_k2"]
+    one = found.where(F.size("all") > 0).select(*key, "all").dropDuplicates(key)
+    spans = one.select(*key, F.explode("all").alias("x")).select(*key, "x.s", "x.e")
+    so_far = Window.partitionBy(*key).orderBy("s", "e")
+    reach = F.coalesce(F.max("e").over(so_far.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    grouped = spans.withColumn("new", (F.col("s") >= reach).cast("int")).withColumn("n", F.sum("new").over(so_far.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = grouped.groupBy(*key, "n").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    first, last = F.floor(F.col("s") / BLOCK), F.floor((F.col("e") - 1) / BLOCK)
+    cell = merged.select(*key, "s", "e", F.explode(F.sequence(first, last).cast("array<int>")).alias("i"))
+    local = F.struct(F.greatest(F.col("s") - F.col("i") * BLOCK, F.lit(0)).alias("s"), F.least(F.col("e") - F.col("i") * BLOCK, F.lit(BLOCK)).alias("e"),
+                     (F.floor(F.col("s") / BLOCK) == F.col("i")).alias("here"))
+    blocks = cell.groupBy(*key, "i").agg(F.sort_array(F.collect_list(local)).alias("c"))
+    return blocks.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("i", "c"))).alias("cuts"))
+
+
 def masked(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """The documents with every reported span replaced; n_chars, where it exists, follows the text. Null text stays null.
 
-    Overlapping spans become one mask. Rows and columns stay as they are.
+    Overlapping spans become one mask. Rows and columns stay as they are. Texts are rewritten block by block, so the work
+    grows with a text's length and its spans.
     """
     keyed = with_key(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"))
-    found = spans(docs).where(F.size("all") > 0).select("_k1", "_k2", "all").dropDuplicates(["_k1", "_k2"])
-    cut = F.expr(f"""aggregate(all, named_struct('at', 0, 'out', cast(array() as array<string>)),
-        (t, x) -> if(x.s < t.at, named_struct('at', greatest(t.at, x.e), 'out', t.out),
-                     named_struct('at', x.e, 'out', concat(t.out, array(substr(body, t.at + 1, x.s - t.at), '{mask}')))),
-        t -> concat(array_join(t.out, ''), substr(body, t.at + 1)))""")
-    new = keyed.join(found, ["_k1", "_k2"], "left").withColumn("_new", F.when(F.col("all").isNull(), F.col("row.text")).otherwise(cut))
+    piece = f"""aggregate(coalesce(cuts[int(i)], cast(array() as array<struct<s:int,e:int,here:boolean>>)), named_struct('at', 0, 'out', cast(array() as array<string>)),
+        (t, x) -> named_struct('at', int(x.e), 'out', concat(t.out, array(substr(b, t.at + 1, x.s - t.at), if(x.here, '{mask}', '')))),
+        t -> concat(array_join(t.out, ''), substr(b, t.at + 1)))"""
+    cut = F.expr(f"array_join(transform(regexp_extract_all(body, '(?s).{{1,{BLOCK}}}', 0), (b, i) -> {piece}), '')")
+    new = keyed.join(cuts(spans(docs)), ["_k1", "_k2"], "left").withColumn("_new", F.when(F.col("cuts").isNull(), F.col("row.text")).otherwise(cut))
     cols = []
     for c in docs.columns:
         own = F.col("row")[c]
         if c == "text":
             own = F.col("_new")
         elif c == "n_chars":
-            own = F.when(F.col("all").isNull(), own).otherwise(F.length("_new").cast(docs.schema[c].dataType))
+            own = F.when(F.col("cuts").isNull(), own).otherwise(F.length("_new").cast(docs.schema[c].dataType))
         cols.append(own.alias(c))
     return new.select(*cols)

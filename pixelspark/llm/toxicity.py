@@ -217,25 +217,41 @@ def calibrate(model: ToxicModel, docs: DataFrame, known: DataFrame) -> None:
     model.thresholds = {str(name): best(part) for name, part in own.groupby("lang")}
 
 
+def _judged(docs: DataFrame, model: ToxicModel | None) -> DataFrame:
+    """row (the columns of ``docs``), score, predicted, flagged. The text goes through Python once, as a part of the row."""
+    shipped = docs.sparkSession.sparkContext.broadcast(vars(model) if model else None)
+    held = docs.select(F.struct(*docs.columns).alias("row"))
+    schema = held.withColumns({"score": F.lit(0.0), "predicted": F.lit(0), "flagged": F.lit(True)}).schema
+    names, text, lang = docs.columns, docs.columns.index("text"), docs.columns.index("lang") if "lang" in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = ToxicModel(**shipped.value) if shipped.value else None
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                parts = batch.column(0).flatten()
+                yield pa.RecordBatch.from_arrays([parts[text].cast(pa.string()), *parts], names=["_text", *(f"c{i}" for i in range(len(parts)))])
+
+        for batch in slices(rows(), "_text", 2 << 20):
+            score = m.score(strings(batch, "_text")) if m else np.zeros(batch.num_rows)
+            of = batch.column(1 + lang).cast(pa.string()).to_pylist() if lang is not None else [None] * batch.num_rows
+            cut = np.array([m.thresholds.get(x, m.pooled_threshold) if m else CUT for x in of])
+            row = pa.StructArray.from_arrays(batch.columns[1:], names=names)
+            yield pa.RecordBatch.from_arrays([row, pa.array(score), pa.array((score >= CUT).astype(np.int32)), pa.array(score >= cut)],
+                                             names=["row", "score", "predicted", "flagged"])
+
+    return held.mapInArrow(run, schema)
+
+
 def scored(docs: DataFrame, model: ToxicModel | None) -> DataFrame:
     """The documents with score, predicted and flagged. Null and empty texts are scored as having no words.
 
     ``predicted`` cuts all scores at CUT; ``flagged`` at the language's own threshold, the pooled one where it has none.
     Without a model all scores are 0. Other columns with these names are replaced; rows stay as they are.
     """
-    spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(vars(model) if model else None)
-    plain = docs.drop("score", "predicted", "flagged")
-    held = plain.select(F.struct(*plain.columns).alias("row"), F.col("text").cast("string").alias("text"),
-                        (F.col("lang").cast("string") if "lang" in plain.columns else F.lit(None).cast("string")).alias("lang"))
-    schema = held.select("row").withColumns({"score": F.lit(0.0), "predicted": F.lit(0), "flagged": F.lit(True)}).schema
+    return _judged(docs.drop("score", "predicted", "flagged"), model).select("row.*", "score", "predicted", "flagged")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = ToxicModel(**shipped.value) if shipped.value else None
-        for batch in slices(batches, "text", 4 << 20):
-            score = m.score(strings(batch)) if m else np.zeros(batch.num_rows)
-            cut = np.array([m.thresholds.get(x, m.pooled_threshold) if m else CUT for x in batch.column(2).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array((score >= CUT).astype(np.int32)), pa.array(score >= cut)],
-                                             names=["row", "score", "predicted", "flagged"])
 
-    return held.mapInArrow(run, schema).select("row.*", "score", "predicted", "flagged")
+def unflagged(docs: DataFrame, model: ToxicModel | None) -> DataFrame:
+    """The documents that are not flagged, with their own columns, whatever these are called."""
+    return _judged(docs, model).where("not flagged").select("row.*")

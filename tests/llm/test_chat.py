@@ -107,3 +107,16 @@ def test_awkward_rows(spark):
     assert {r["copies"] for r in found[3]} == {1, 2} and len(found[3]) == 3
     assert found[1][-1]["turn"] is None and not found[1][-1]["appended"]
     assert chat.rendered(chat.repaired(talks(spark, []))).collect() == []
+
+
+def test_unnumbered_repeats_are_turns_of_their_own(spark):
+    """Two equal turns without a number, or without a conversation, are both rendered; numbered ones were recorded twice."""
+    rows = [(1, 0, "user", "go on?"), (1, None, "user", "yes"), (1, None, "user", "yes"), (None, 3, "user", "hm"), (None, 3, "user", "hm"),
+            (2, 0, "user", "yes"), (2, 0, "user", "yes")]
+    extra = spark.createDataFrame([(*r, 1, "a", 2, "b") for r in rows], "conv_id long, turn long, role string, text string, nth int, copies string, digest int, code string")
+    got = chat.rendered(chat.repaired(extra)).collect()
+    for conv, text, times in ((1, "yes", 2), (None, "hm", 2), (2, "yes", 1)):
+        turns = sorted((r for r in got if r["conv_id"] == conv), key=lambda r: (r["out_turn"], order(r), r["nth"]))
+        assert "".join(r["piece"] for r in turns).count(text) == times
+        legal(turns)
+    assert {r["copies"] for r in got if r["conv_id"] == 2} == {2}

@@ -374,8 +374,8 @@ def test_near_vectors(spark, monkeypatch):
 
 
 def test_distant_intervals_are_skipped(spark):
-    box = lambda at: [float(at)] + [0.0] * 7
-    boxes = spark.createDataFrame([(i, box(i), box(i)) for i in range(40)], "leaf long, low array<double>, high array<double>")
+    box = lambda at: [float(at)] + [0.0] * 8
+    boxes = spark.createDataFrame([(i, box(i), box(i)) for i in range(40)], "at long, low array<double>, high array<double>")
     got = {tuple(r) for r in near_vectors.near_intervals(boxes, 1.5).collect()}
     assert got == {(i, j) for i in range(40) for j in (i, i + 1) if j < 40}
 
