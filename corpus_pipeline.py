@@ -15,7 +15,7 @@ from pixelspark.llm.queries import PACK_END, WORD_BPE, vocabulary
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold of their language."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model).where("not flagged").select(*docs.columns)
+    return toxicity.unflagged(docs, model)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
