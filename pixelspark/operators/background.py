@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from pixelspark.functions.pixel import clip_cast
 from pixelspark.operators.ranking import percentiles
-from pixelspark.operators.stencil import rolling_ball
+from pixelspark.operators.stencil import rolling_ball, rolling_ball_per_channel
 
 CYX = ("channel", "y", "x")
 
@@ -141,9 +141,17 @@ def polyfit_surface(background: DataFrame, kx: Degree = 3, ky: Degree = 3, order
 
 def fit_background(background: DataFrame, method: str = "polyfit", keys: Sequence[str] = ("channel",),
                    **settings) -> DataFrame:
-    """Smooth background per strategy key: polynomial surface or rolling ball."""
+    """Smooth background per strategy key: polynomial surface or rolling ball.
+
+    ``radius``, ``smooth`` and ``white_background`` of the rolling ball are numbers, or tables by channel.
+    """
     if method == "polyfit":
         return polyfit_surface(background, keys=keys, **settings)
+    if method == "simple" and any(isinstance(settings.get(k), Mapping) for k in ("radius", "smooth", "white_background")):
+        table = {k: v if isinstance(v, Mapping) else {None: v} for k, v in settings.items() if k in ("radius", "smooth", "white_background")}
+        rest = {k: v for k, v in settings.items() if k not in table}
+        radius = table.pop("radius", {None: 50})
+        return rolling_ball_per_channel(background, radius, keys=keys, **table, **rest).select(*background.columns)
     if method == "simple":
         return rolling_ball(background, keys=keys, **settings).select(*background.columns)
     raise ValueError("method must be polyfit or simple")

@@ -19,8 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pixelspark.schema import IC, IMG
 
 BLOCK = 256
-#: Columns of the image size where the caller names none.
-SIZE = ("_height", "_width")
+ENDLESS = 1 << 30
 Kernel = Callable[..., "np.ndarray | Sequence[np.ndarray]"]
 
 
@@ -32,13 +31,19 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
-def with_size(df: DataFrame, keys: Sequence[str], of: DataFrame | None = None) -> DataFrame:
-    """Add the columns SIZE: height and width of each row's image, from the largest y and x stored in ``of`` (or in ``df``)."""
-    image = [k for k in keys if k in IMG] or list(keys)
-    size = (of if of is not None else df).groupBy(*[F.col(k).alias(f"_of_{k}") for k in image]).agg(
-        *[(F.max(c) + 1).cast("int").alias(s) for c, s in zip(("y", "x"), SIZE)])
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in image]
-    return df.join(size, same).drop(*[f"_of_{k}" for k in image])
+def pair(v: int | tuple[int, int]) -> tuple[int, int]:
+    """A number for rows and columns."""
+    return (v, v) if isinstance(v, int) else (int(v[0]), int(v[1]))
+
+
+def image_keys(keys: Sequence[str]) -> list[str]:
+    """The keys that name an image; all of them where none does."""
+    return [k for k in keys if k in IMG] or list(keys)
+
+
+def image_size(df: DataFrame, keys: Sequence[str] = tuple(IMG)) -> DataFrame:
+    """One row per image: height and width, from the largest stored y and x."""
+    return df.groupBy(*image_keys(keys)).agg(*[(F.max(c) + 1).cast("int").alias(s) for c, s in (("y", "height"), ("x", "width"))])
 
 
 def _owners(c: str, block: int, halo: int, limit: str | None) -> Column:
@@ -50,15 +55,54 @@ def _owners(c: str, block: int, halo: int, limit: str | None) -> Column:
     return F.sequence(first, last).cast("array<int>")
 
 
-def with_halo(df: DataFrame, block: int = BLOCK, halo: int = 0,
+def with_halo(df: DataFrame, block: int | tuple[int, int] = BLOCK, halo: int | tuple[int, int] = 0,
               shape: tuple[str, str] | None = None) -> DataFrame:
     """Add the tile indices ``ty``/``tx``; pixels near a tile border are repeated."""
-    if halo == 0:
-        return df.withColumns({"ty": F.floor(F.col("y") / block).cast("int"),
-                               "tx": F.floor(F.col("x") / block).cast("int")})
-    h, w = shape or (None, None)
-    return (df.withColumn("ty", F.explode(_owners("y", block, halo, h)))
-            .withColumn("tx", F.explode(_owners("x", block, halo, w))))
+    for c, tile, b, r, limit in zip(("y", "x"), ("ty", "tx"), pair(block), pair(halo), shape or (None, None)):
+        at = F.floor(F.col(c) / b).cast("int") if r == 0 else F.explode(_owners(c, b, r, limit))
+        df = df.withColumn(tile, at)
+    return df
+
+
+def tile_marks(size: DataFrame, keys: Sequence[str], block: int | tuple[int, int]) -> DataFrame:
+    """One row per tile of each image: (keys, ty, tx, y = -height, x = -width)."""
+    last = {c: F.floor((F.col(s) - 1) / b).cast("int") for c, s, b in zip(("ty", "tx"), ("height", "width"), pair(block))}
+    marks = size.where("height > 0 and width > 0")
+    for c, to in last.items():
+        marks = marks.withColumn(c, F.explode(F.sequence(F.lit(0), to)))
+    return marks.select(*keys, "ty", "tx", (-F.col("height")).cast("int").alias("y"), (-F.col("width")).cast("int").alias("x"))
+
+
+def sized_tiles(df: DataFrame, keys: Sequence[str], halo: int | tuple[int, int], block: int | tuple[int, int], size: DataFrame) -> DataFrame:
+    """``df`` in tiles, sorted, with the size of the image in front of each tile.
+
+    The size is a row of its own that is sent to every tile, told by its negative y and x: no pixel is joined to its image,
+    so an image of any size stays spread over its tiles. Tiles are dealt by image; further keys, as channels, follow each
+    other in a tile.
+    """
+    image = image_keys(keys)
+    rows = with_halo(df, block, halo)
+    marks = tile_marks(size, image, block)
+    types = {f.name: f.dataType for f in rows.schema}
+    both = rows.union(marks.select(*[F.col(c).cast(types[c]) if c in marks.columns else F.lit(None).cast(types[c]).alias(c) for c in rows.columns]))
+    tile = [*image, "ty", "tx"]
+    return spread(both, *tile).sortWithinPartitions(*tile, *[k for k in keys if k not in image], F.col("y") >= 0)
+
+
+class Sizes:
+    """Reads the marks in front of tiles as they come by."""
+
+    def __init__(self, image: Sequence[str]):
+        self.names, self.owner, self.size = [*image, "ty", "tx"], None, (0, 0)
+
+    def of(self, table: pa.Table, y: np.ndarray, x: np.ndarray, s: slice) -> tuple[slice, tuple[int, int] | None]:
+        """(rows of the tile without marks, height and width of its image); None where the tile lies outside the image."""
+        key = tuple(table.column(k)[s.start].as_py() for k in self.names)
+        a = s.start
+        while a < s.stop and y[a] < 0:
+            self.owner, self.size = key, (-int(y[a]), -int(x[a]))
+            a += 1
+        return slice(a, s.stop), self.size if a < s.stop and key == self.owner else None
 
 
 def whole_tiles(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -95,15 +139,25 @@ def whole_tiles(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Itera
 
 
 class _Tile:
-    """Geometry of one tile: the stored region and the core inside it."""
+    """Geometry of one tile: the stored region, with its halo and cut at the image border, and the core inside it."""
 
-    def __init__(self, ty: int, tx: int, region: tuple[int, int, int, int], block: int):
-        self.y0, self.x0, y1, x1 = (int(v) for v in region)
+    def __init__(self, ty: int, tx: int, block: int | tuple[int, int], halo: int | tuple[int, int], hw: tuple[int, int]):
+        (by, bx), (ry, rx), (h, w) = pair(block), pair(halo), hw
+        self.y0, self.x0 = max(0, int(ty) * by - ry), max(0, int(tx) * bx - rx)
+        y1, x1 = min(int(h), (int(ty) + 1) * by + ry), min(int(w), (int(tx) + 1) * bx + rx)
         self.shape = (y1 - self.y0, x1 - self.x0)
-        self.core = (slice(max(ty * block - self.y0, 0), max(min((ty + 1) * block, y1) - self.y0, 0)),
-                     slice(max(tx * block - self.x0, 0), max(min((tx + 1) * block, x1) - self.x0, 0)))
+        self.core = (slice(max(int(ty) * by - self.y0, 0), max(min((int(ty) + 1) * by, y1) - self.y0, 0)),
+                     slice(max(int(tx) * bx - self.x0, 0), max(min((int(tx) + 1) * bx, x1) - self.x0, 0)))
         self.empty = any(c.start >= c.stop for c in self.core)
 
+    def put(self, a: np.ndarray, y: np.ndarray, x: np.ndarray, value: np.ndarray) -> None:
+        """Store values at their places; those behind the border of the image are left out."""
+        y, x = y - self.y0, x - self.x0
+        if y.max() >= a.shape[0] or x.max() >= a.shape[1]:
+            inside = (y < a.shape[0]) & (x < a.shape[1])
+            y, x, value = y[inside], x[inside], value[inside]
+        a[y, x] = value
+
 
 def _rows(core: tuple[slice, slice], y0: int, x0: int, result, inside: np.ndarray | None = None):
     """Coordinates and values of the core pixels, only those ``inside`` where it is given."""
@@ -135,15 +189,6 @@ def _long_batch(table: pa.Table | pa.RecordBatch, keys: Sequence[str], made: lis
     return pa.RecordBatch.from_arrays(data, schema=schema)
 
 
-def _region(col: dict[str, np.ndarray], s: slice, block: int, halo: int,
-            shape: tuple[str, str]) -> tuple[int, int, int, int]:
-    """Rows and columns a tile covers, halo included, cut at the image border."""
-    ty, tx = col["ty"][s.start], col["tx"][s.start]
-    h, w = (col[c][s.start] for c in shape)
-    return (max(0, ty * block - halo), max(0, tx * block - halo),
-            min(h, (ty + 1) * block + halo), min(w, (tx + 1) * block + halo))
-
-
 def _spans(starts: np.ndarray, end: int) -> Iterator[slice]:
     for a, b in zip(starts, [*starts[1:], end]):
         yield slice(int(a), int(b))
@@ -151,8 +196,9 @@ def _spans(starts: np.ndarray, end: int) -> Iterator[slice]:
 
 def map_blocks(df: DataFrame, kernel: Kernel, out: Sequence[str], *,
                values: Sequence[str] = ("value",), keys: Sequence[str] = tuple(IC),
-               halo: int = 0, block: int = BLOCK, fill: Sequence[float | str] | None = None,
-               shape: tuple[str, str] | None = None, keep: str | None = None) -> DataFrame:
+               halo: int | tuple[int, int] = 0, block: int | tuple[int, int] = BLOCK, fill: Sequence[float | str] | None = None,
+               shape: tuple[str, str] | None = None, keep: str | None = None, size: DataFrame | None = None,
+               endless: bool = False, core: bool = False) -> DataFrame:
     """Run ``kernel(*arrays) -> array(s)`` on every tile and return long rows.
 
     The kernel gets the tile with its halo, cut at the image border, and returns arrays of
@@ -160,50 +206,103 @@ def map_blocks(df: DataFrame, kernel: Kernel, out: Sequence[str], *,
     edge of the array is either an image border or lies ``halo`` away from the core.
 
     ``values`` are the columns turned into arrays, ``fill`` what a missing pixel holds (NaN;
-    a column name takes it from the data). ``shape`` names height and width columns; without it
-    an image ends at the largest y and x stored of it, so a sparse relation names them. ``keep`` names a value column: only
-    pixels where it is positive are returned.
+    a column name takes it from the data). ``size`` has height and width of each image and spares a pass over the pixels;
+    without it an image ends at the largest y and x stored of it, so a sparse relation gives it. ``shape`` names height and
+    width columns of ``df`` instead. ``endless`` images have no border: a kernel sees ``fill`` behind it. With ``core`` the
+    kernel also gets the slices of the core, and need fill only that part of what it returns. ``keep`` names a value column: only pixels where it is positive are returned.
     """
-    if halo > block:
+    if any(r > b for r, b in zip(pair(halo), pair(block))):
         raise ValueError("the halo must not exceed the block")
-    if shape is None:
-        df, shape = with_size(df, keys), SIZE
     fill = list(fill) if fill is not None else [np.nan] * len(values)
-    extra = [f for f in fill if isinstance(f, str)] + list(shape)
+    extra = [f for f in fill if isinstance(f, str)] + list(shape or ())
     cols = list(dict.fromkeys([*keys, "y", "x", *values, *extra]))
     tile = [*keys, "ty", "tx"]
-    tiles = spread(with_halo(df.select(*cols), block, halo, shape), *tile).sortWithinPartitions(*tile)
+    sized = shape is None and not endless
+    if sized:
+        tiles = sized_tiles(df.select(*cols), keys, halo, block, size if size is not None else image_size(df, keys))
+    else:
+        tiles = spread(with_halo(df.select(*cols), block, halo, shape), *tile).sortWithinPartitions(*tile)
     schema = _long_schema(tiles, keys, out)
     arrow = to_arrow_schema(schema)
 
-    def one_tile(col: dict[str, np.ndarray], s: slice):
-        t = _Tile(col["ty"][s.start], col["tx"][s.start], _region(col, s, block, halo, shape), block)
+    def one_tile(col: dict[str, np.ndarray], s: slice, hw: tuple[int, int]):
+        t = _Tile(col["ty"][s.start], col["tx"][s.start], block, halo, hw)
         if t.empty:
             return None
         arrays = {}
         for name, f in zip(values, fill):
             a = np.full(t.shape, col[f][s.start] if isinstance(f, str) else f, np.float64)
-            a[col["y"][s] - t.y0, col["x"][s] - t.x0] = col[name][s]
+            t.put(a, col["y"][s], col["x"][s], col[name][s])
             arrays[name] = a
-        result = kernel(*arrays.values())
+        result = kernel(*arrays.values(), **({"core": t.core} if core else {}))
         return _rows(t.core, t.y0, t.x0, result, arrays[keep] if keep else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = Sizes(image_keys(keys))
         for table, starts in whole_tiles(batches, tile):
             col = {c: table.column(c).to_numpy() for c in ["ty", "tx", *cols] if c not in keys}
-            made = [(s.start, one_tile(col, s)) for s in _spans(starts, table.num_rows)]
-            made = [m for m in made if m[1] is not None]
+            made = []
+            for s in _spans(starts, table.num_rows):
+                if sized:
+                    s, hw = sizes.of(table, col["y"], col["x"], s)
+                else:
+                    hw = (ENDLESS, ENDLESS) if endless else tuple(col[c][s.start] for c in shape)
+                if hw and (one := one_tile(col, s, hw)) is not None:
+                    made.append((s.start, one))
             if made:
                 yield _long_batch(table, keys, made, arrow)
 
     return tiles.mapInArrow(run, schema)
 
 
+def reduce_blocks(df: DataFrame, kernel: Callable[..., Sequence[np.ndarray]], out: str, *, values: Sequence[str] = ("value",),
+                  keys: Sequence[str] = tuple(IC), halo: int = 0, block: int = BLOCK, fill: Sequence[float | str] | None = None,
+                  shape: tuple[str, str] | None = None) -> DataFrame:
+    """Run ``kernel(*arrays, core) -> columns`` on every tile: any rows per tile instead of one per pixel, to be added up.
+
+    ``out`` is the schema of the columns. Without ``shape`` images are endless: a kernel sees ``fill`` where nothing is stored,
+    also behind a border. With it, as in ``map_blocks``, the array ends there.
+    """
+    if halo > block:
+        raise ValueError("the halo must not exceed the block")
+    fill = list(fill) if fill is not None else [np.nan] * len(values)
+    cols = list(dict.fromkeys(["y", "x", *values, *[f for f in fill if isinstance(f, str)], *(shape or ())]))
+    tile = [*keys, "ty", "tx"]
+    tiles = spread(with_halo(df.select(*keys, *cols), block, halo, shape), *tile).sortWithinPartitions(*tile)
+    schema = T.StructType([*tiles.select(*keys).schema.fields, *T.StructType.fromDDL(out).fields])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_tiles(batches, tile):
+            col = {c: table.column(c).to_numpy() for c in ("ty", "tx", *cols)}
+            first, made = [], []
+            for s in _spans(starts, table.num_rows):
+                hw = tuple(col[c][s.start] for c in shape) if shape else (ENDLESS, ENDLESS)
+                t = _Tile(col["ty"][s.start], col["tx"][s.start], block, halo, hw)
+                if t.empty:
+                    continue
+                arrays = []
+                for name, f in zip(values, fill):
+                    a = np.full(t.shape, col[f][s.start] if isinstance(f, str) else f, np.float64)
+                    t.put(a, col["y"][s], col["x"][s], col[name][s])
+                    arrays.append(a)
+                got = kernel(*arrays, core=t.core)
+                if len(got[0]):
+                    first += [s.start] * len(got[0])
+                    made.append(got)
+            if made:
+                data = [table.column(k).take(pa.array(first)).combine_chunks().cast(f.type) for k, f in zip(keys, arrow)]
+                data += [pa.array(np.concatenate(parts)).cast(f.type) for parts, f in zip(zip(*made), list(arrow)[len(keys):])]
+                yield pa.RecordBatch.from_arrays(data, schema=arrow)
+
+    return tiles.mapInArrow(run, schema)
+
+
 _GEOMETRY = ("y0", "x0", "h", "w", "top", "left", "bottom", "right")
 
 
 def pack_tiles(pixels: DataFrame, halo: int, block: int = BLOCK, value: str = "value",
-               keys: Sequence[str] = tuple(IC)) -> DataFrame:
+               keys: Sequence[str] = tuple(IC), size: DataFrame | None = None) -> DataFrame:
     """One row per tile with its halo: (keys, ty, tx, geometry, vals).
 
     Written once, the tiles serve any kernel that reaches no further than ``halo`` without
@@ -211,21 +310,25 @@ def pack_tiles(pixels: DataFrame, halo: int, block: int = BLOCK, value: str = "v
     """
     tile = [*keys, "ty", "tx"]
     px = pixels.select(*keys, "y", "x", F.col(value).cast("double").alias("value"))
-    tiles = spread(with_halo(with_size(px, keys), block, halo, SIZE), *tile).sortWithinPartitions(*tile)
+    tiles = sized_tiles(px, keys, halo, block, size if size is not None else image_size(px, keys))
     schema = T.StructType([*tiles.select(*tile).schema.fields, *[T.StructField(g, T.IntegerType()) for g in _GEOMETRY],
                            T.StructField("vals", T.ArrayType(T.DoubleType()))])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = Sizes(image_keys(keys))
         for table, starts in whole_tiles(batches, tile):
-            col = {c: table.column(c).to_numpy() for c in ("ty", "tx", "y", "x", "value", *SIZE)}
+            col = {c: table.column(c).to_numpy() for c in ("ty", "tx", "y", "x", "value")}
             first, geometry, vals = [], [], []
             for s in _spans(starts, table.num_rows):
-                t = _Tile(col["ty"][s.start], col["tx"][s.start], _region(col, s, block, halo, SIZE), block)
+                s, hw = sizes.of(table, col["y"], col["x"], s)
+                if hw is None:
+                    continue
+                t = _Tile(col["ty"][s.start], col["tx"][s.start], block, halo, hw)
                 if t.empty:
                     continue
                 a = np.full(t.shape, np.nan)
-                a[col["y"][s] - t.y0, col["x"][s] - t.x0] = col["value"][s]
+                t.put(a, col["y"][s], col["x"][s], col["value"][s])
                 first.append(s.start)
                 geometry.append((t.y0, t.x0, *t.shape, t.core[0].start, t.core[1].start, t.core[0].stop, t.core[1].stop))
                 vals.append(a.ravel())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pixelspark.functions.pixel import minmax, rescale_levels, threshold_mask
 from pixelspark.functions.stats import Stat, resolve
 from pixelspark.operators.ranking import MAX_LEVELS, percentiles, value_counts
-from pixelspark.schema import IC, ILC, IMG
+from pixelspark.schema import IC, ILC, IMG, finite
 
 Stats = Mapping[str, "str | Stat"]
 
@@ -25,6 +26,17 @@ def image_stat(pixels: DataFrame, stats: Stats, keys: Sequence[str] = tuple(IMG)
     return pixels.groupBy(*keys).agg(*_aggs(stats, F.col(value)))
 
 
+def mean_over_std(pixels: DataFrame, keys: Sequence[str] = tuple(IC), inf_value: float | None = None,
+                  null_value: float | None = None, out: str = "mean_over_std") -> DataFrame:
+    """Mean divided by population standard deviation of the values that are numbers.
+
+    NaN and NULL do not count; ``inf_value`` stands for +-Inf (left out where None). A group whose deviation is 0 or that has no
+    value gets ``null_value``.
+    """
+    ratio = resolve("mean_over_std")(finite(F.col("value").cast("double"), inf_value))
+    return pixels.groupBy(*keys).agg(F.coalesce(ratio, F.lit(null_value).cast("double")).alias(out))
+
+
 def mask_join(pixels: DataFrame, mask: DataFrame) -> DataFrame:
     """Pixels with the label of a mask; a mask without channel serves every channel."""
     on = [c for c in ("image_id", "channel", "y", "x") if c in mask.columns]
@@ -223,8 +235,16 @@ def quantile_intensity(objects: DataFrame, q: float, out: str, keys: Sequence[st
 def label_measure(objects: DataFrame, stat: str | Stat, out: str, index: DataFrame | None = None,
                   default: float | None = None, dtype: str = "double",
                   keys: Sequence[str] = ("image_id", "label"), value: str = "value") -> DataFrame:
-    """A caller's aggregate per label; labels of ``index`` without pixels get ``default``."""
-    got = objects.groupBy(*keys).agg(resolve(stat)(F.col(value)).alias(out))
+    """A caller's aggregate per label; labels of ``index`` without pixels get ``default``.
+
+    ``stat`` is a name, or a function from the value column to an aggregate. One with a second parameter also gets the
+    position of each pixel, a struct of y and x, if ``objects`` has these columns.
+    """
+    if not isinstance(stat, str) and len(inspect.signature(stat).parameters) > 1:
+        made = stat(F.col(value), F.struct("y", "x"))
+    else:
+        made = resolve(stat)(F.col(value))
+    got = objects.groupBy(*keys).agg(made.alias(out))
     if index is not None:
         got = index.join(got, list(keys), "left")
     return got.withColumn(out, F.coalesce(F.col(out), F.lit(default)).cast(dtype))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pixelspark.functions import kernels as K
-from pixelspark.operators.blocks import map_blocks
+from pixelspark.operators.blocks import BLOCK, map_blocks
 from pixelspark.operators.ranking import percentiles
 from pixelspark.schema import IC, IMG
 
@@ -93,9 +93,9 @@ LAPLACIAN = np.array([[0, 1, 0], [1, -4, 1], [0, 1, 0]], float)
 
 
 def laplacian_variance(pixels: DataFrame, threshold: float = 100.0, mode: str = "reflect",
-                       keys: Sequence[str] = tuple(IC)) -> DataFrame:
+                       keys: Sequence[str] = tuple(IC), size: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """Variance of the Laplacian per slice; ``blurry`` where it is below the threshold."""
-    lap = map_blocks(pixels, lambda a: K.correlate(a, LAPLACIAN, mode), ["v"], halo=1, keys=keys)
+    lap = map_blocks(pixels, lambda a: K.correlate(a, LAPLACIAN, mode), ["v"], halo=1, keys=keys, size=size, block=block)
     return (lap.groupBy(*keys).agg(F.var_pop("v").alias("laplacian_var"))
             .withColumn("blurry", F.col("laplacian_var") < threshold))
 

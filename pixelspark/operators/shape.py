@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pixelspark.operators.blocks import map_blocks, spread
+from pixelspark.operators.blocks import BLOCK, reduce_blocks, spread
+from pixelspark.operators.fused import moments
 from pixelspark.schema import IL
 from pixelspark.session import cut_lineage
 
@@ -89,39 +90,43 @@ def topology(labels: DataFrame, keys: Sequence[str] = tuple(IL), connectivity: i
         _code_sum(CROFTON_4).alias("perimeter_crofton"))
 
 
-def perimeter(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:
-    """Length of the line through the centres of the border pixels (4-neighbour border).
+def perimeter_weights(a: np.ndarray) -> np.ndarray:
+    """What each pixel of a tile of labels adds to the perimeter of its object; reaches two pixels far.
 
-    A border pixel weighs 1, sqrt(2) or their mean by how it touches other border pixels.
+    A border pixel weighs 1, sqrt(2) or their mean by how it touches other border pixels (4-neighbour border).
     """
-    def weights(a: np.ndarray) -> np.ndarray:
-        p = np.pad(a, 2)
-
-        def at(src, dy, dx, margin):
-            h, w = src.shape
-            return src[margin + dy:h - margin + dy, margin + dx:w - margin + dx]
-
-        inner = at(p, 0, 0, 1)
-        border = np.zeros(inner.shape, bool)
-        for dy, dx in ((-1, 0), (1, 0), (0, -1), (0, 1)):
-            border |= at(p, dy, dx, 1) != inner
-        border &= inner > 0
-        line = np.where(border, inner, 0)
-        here = at(line, 0, 0, 1)
-        straight = sum((at(line, dy, dx, 1) == here) for dy, dx in ((-1, 0), (1, 0), (0, -1), (0, 1)))
-        diagonal = sum((at(line, dy, dx, 1) == here) for dy, dx in ((-1, -1), (-1, 1), (1, -1), (1, 1)))
-        code = 1 + 2 * straight + 10 * diagonal
-        value = np.select([np.isin(code, (5, 7, 15, 17, 25, 27)), np.isin(code, (21, 33)),
-                           np.isin(code, (13, 23))], [1.0, math.sqrt(2), (1 + math.sqrt(2)) / 2], 0.0)
-        return np.where(here > 0, value, 0.0)
-
-    px = labels.where("label > 0").select(*[k for k in keys if k != "label"], "y", "x",
-                                          F.col("label").cast("double").alias("label"))
+    p = np.pad(a, 2)
+
+    def at(src, dy, dx, margin):
+        h, w = src.shape
+        return src[margin + dy:h - margin + dy, margin + dx:w - margin + dx]
+
+    inner = at(p, 0, 0, 1)
+    border = np.zeros(inner.shape, bool)
+    for dy, dx in ((-1, 0), (1, 0), (0, -1), (0, 1)):
+        border |= at(p, dy, dx, 1) != inner
+    border &= inner > 0
+    line = np.where(border, inner, 0)
+    here = at(line, 0, 0, 1)
+    straight = sum((at(line, dy, dx, 1) == here) for dy, dx in ((-1, 0), (1, 0), (0, -1), (0, 1)))
+    diagonal = sum((at(line, dy, dx, 1) == here) for dy, dx in ((-1, -1), (-1, 1), (1, -1), (1, 1)))
+    code = 1 + 2 * straight + 10 * diagonal
+    value = np.select([np.isin(code, (5, 7, 15, 17, 25, 27)), np.isin(code, (21, 33)),
+                       np.isin(code, (13, 23))], [1.0, math.sqrt(2), (1 + math.sqrt(2)) / 2], 0.0)
+    return np.where(here > 0, value, 0.0)
+
+
+def perimeter(labels: DataFrame, keys: Sequence[str] = tuple(IL), block: int = BLOCK) -> DataFrame:
+    """Length of the line through the centres of the border pixels; tiles return one sum for each object."""
     group = [k for k in keys if k != "label"]
-    out = map_blocks(px, lambda a: (a, weights(a)), ["label", "w"], values=["label"], keys=group,
-                     halo=2, fill=[0.0], keep="label")
-    return (out.withColumn("label", F.col("label").cast("int")).groupBy(*keys)
-            .agg(F.sum("w").alias("perimeter")))
+    px = labels.where("label > 0").select(*group, "y", "x", F.col("label").cast("double").alias("label"))
+
+    def kernel(a: np.ndarray, core: tuple[slice, slice]) -> list[np.ndarray]:
+        label, n, mean, *_ = moments(a[core], perimeter_weights(a)[core])
+        return [label, n * mean]
+
+    parts = reduce_blocks(px, kernel, "label int, w double", values=["label"], keys=group, halo=2, fill=[0.0], block=block)
+    return parts.groupBy(*keys).agg(F.sum("w").alias("perimeter"))
 
 
 _HULL = T.StructType([T.StructField("area_convex", T.LongType()), T.StructField("feret", T.DoubleType())])
@@ -298,10 +303,10 @@ def filled_area(labels: DataFrame, keys: Sequence[str] = tuple(IL), max_gaps: in
             .select(*keys, (F.col("area") + F.coalesce("_holes", F.lit(0))).alias("area_filled")))
 
 
-def object_shape(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:
-    """All shape features of an object side by side."""
+def object_shape(labels: DataFrame, keys: Sequence[str] = tuple(IL), with_perimeter: bool = True) -> DataFrame:
+    """All shape features of an object side by side; the perimeter may come from another pass over the tiles."""
     out = shape_moments(labels, keys)
-    for part in (topology(labels, keys), perimeter(labels, keys), hull_features(labels, keys),
+    for part in (topology(labels, keys), *([perimeter(labels, keys)] if with_perimeter else []), hull_features(labels, keys),
                  filled_area(labels, keys)):
         out = out.join(part, list(keys), "left")
     return out

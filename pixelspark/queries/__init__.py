@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("tables", "metrics", "filters", "illumination", "objects", "features", "screening")
+MODULES = ("tables", "metrics", "filters", "illumination", "objects", "features", "screening", "tiles")
 
 
 def load():

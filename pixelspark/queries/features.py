@@ -160,8 +160,7 @@ _RAGGED = f"""box AS (SELECT image_id, label, min(y) AS y0, min(x) AS x0, max(y)
     "FROM ragged JOIN kept USING (image_id, y, x) GROUP BY image_id, label, channel" for n, fn in _STATS), "multi", "lab_b"))
 def haralick_objects_ragged(s, d):
     """Ragged objects, default window, eroded by one pixel."""
-    labels = q.lab_b(s, d).withColumns({"height": F.lit(8), "width": F.lit(8)})
-    return q.rounded(tex.haralick_objects(q.multi(s, d), labels, ["contrast"], erosion=1, shape=("height", "width"),
+    return q.rounded(tex.haralick_objects(q.multi(s, d), q.lab_b(s, d), ["contrast"], erosion=1, size=q.sizes(s, d),
                                           grey_levels=q.MULTI_LEVELS))
 
 
@@ -280,9 +279,7 @@ def wide_eigen(prefix: str, scales: int, stats: tuple[str, ...]) -> str:
  FROM kept JOIN eig0 USING (image_id, y, x) JOIN eig1 USING ({_PX}) JOIN eig2 USING ({_PX}) GROUP BY image_id, label""", "multi", "lab_b"))
 def hessian_features_scales(s, d):
     """Three sigmas, eroded labels, one row per object."""
-    labels = q.lab_b(s, d).withColumns({"height": F.lit(8), "width": F.lit(8)})
-    sigmas = tn.sigma_grid(0.5, 1.5, 3)
-    long = tn.hessian_features(q.multi(s, d), labels, sigmas, 1, ("height", "width"))
+    long = tn.hessian_features(q.multi(s, d), q.lab_b(s, d), tn.sigma_grid(0.5, 1.5, 3), 1, q.sizes(s, d))
     return q.rounded(tn.wide_features(long, [("hessian_eigv_1", ""), ("hessian_eigv_2", "")], ["intensity_mean", "intensity_std"],
                                       3, [0, 1, 2]))
 

@@ -169,8 +169,7 @@ def match_shape(s, d):
  LEFT JOIN lab_b n ON n.image_id = c.image_id AND n.y = c.y + c.dy AND n.x = c.x + c.dx
  GROUP BY c.image_id, c.y, c.x) WHERE m > 0""", "lab_b"))
 def erode_labels(s, d):
-    labels = q.lab_b(s, d).withColumns({"height": F.lit(8), "width": F.lit(8)})
-    return st.erode_labels(labels, 1, shape=("height", "width"))
+    return st.erode_labels(q.lab_b(s, d), q.sizes(s, d), 1)
 
 
 def _ball(radius: int, src: str = "emb", value: str = "value") -> str:

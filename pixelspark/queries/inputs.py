@@ -69,6 +69,11 @@ def emb(spark: SparkSession, d: str) -> DataFrame:
                     F.floor(F.col("e").cast("double") * 1000).cast("double").alias("value")))
 
 
+def sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Height and width of the 8x8 images, without a look at their pixels."""
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("image_id"), F.lit(8).alias("height"), F.lit(8).alias("width"))
+
+
 # Values of an image lie in [-1000, 1000] before channel arithmetic.
 EMB_LEVELS = 2001
 MULTI_LEVELS = 2 * EMB_LEVELS
@@ -86,16 +91,16 @@ def multi(spark: SparkSession, d: str) -> DataFrame:
         "image_id", "channel", "y", "x", "value")
 
 
-_cte("evt", "SELECT event_id // 1024 AS image_id, 0::INT AS channel, ((event_id % 1024) // 32)::INT AS y, "
-            "(event_id % 32)::INT AS x, round(value * 100)::DOUBLE AS value FROM events")
+_cte("evt", "SELECT event_id // 256 AS image_id, 0::INT AS channel, ((event_id % 256) // 16)::INT AS y, "
+            "(event_id % 16)::INT AS x, round(value * 100)::DOUBLE AS value FROM events")
 
 
 def evt(spark: SparkSession, d: str) -> DataFrame:
-    """32x32 images; the last one ends inside a row."""
+    """16x16 images; the last one may be incomplete."""
     e = F.col("event_id")
     return table(spark, d, "events").select(
-        F.floor(e / 1024).alias("image_id"), F.lit(0).alias("channel"),
-        F.floor((e % 1024) / 32).cast("int").alias("y"), (e % 32).cast("int").alias("x"),
+        F.floor(e / 256).alias("image_id"), F.lit(0).alias("channel"),
+        F.floor((e % 256) / 16).cast("int").alias("y"), (e % 16).cast("int").alias("x"),
         F.round(F.col("value") * 100).cast("double").alias("value"))
 
 

@@ -9,7 +9,7 @@ from pixelspark.operators import background as bg
 from pixelspark.operators import stencil as st
 from pixelspark.operators import tensors as tn
 from pixelspark.operators import texture as tex
-from pixelspark.operators.blocks import map_blocks, map_tiles, pack_tiles
+from pixelspark.operators.blocks import image_size, map_blocks, map_tiles, pack_tiles
 from pixelspark.sources.tables import fov_shape
 
 RNG = np.random.default_rng(11)
@@ -147,9 +147,22 @@ def test_rolling_ball_settings_per_channel(grid):
 def test_erosion_is_a_minimum(grid):
     a = np.zeros((5, 5), int)
     a[1:4, 1:4] = 3
-    assert st.erode_labels(grid({1: a}, "label", "int"), 1).count() == 1
-    b = np.array([[2, 2, 7, 7, 7, 7]])
-    assert array(st.erode_labels(grid({1: b}, "label", "int"), 1), "label").tolist() == [[2, 2, 2, 7, 7, 7]]
+    sparse = grid({1: a}, "label", "int").where("label > 0")
+    assert st.erode_labels(sparse, fov_shape(grid({1: a})), 1).count() == 1
+    b = grid({1: np.array([[2, 2, 7, 7, 7, 7]])}, "label", "int")
+    assert array(st.erode_labels(b, image_size(b), 1), "label").tolist() == [[2, 2, 2, 7, 7, 7]]
+
+
+@pytest.mark.parametrize("block", [4, 256])
+def test_a_square_off_the_edge_is_eroded_on_all_sides(grid, block):
+    a = np.zeros((20, 20), int)
+    a[5:10, 6:11] = 3
+    sparse = grid({1: a}, "label", "int").where("label > 0")
+    size = fov_shape(grid({1: a}))
+    kept = {(r["y"], r["x"]) for r in st.erode_labels(sparse, size, 1, block=block).collect()}
+    assert kept == {(y, x) for y in range(6, 9) for x in range(7, 10)}
+    with pytest.raises(TypeError):
+        st.erode_labels(sparse)
 
 
 def test_surface_equals_least_squares(grid):
@@ -281,5 +294,5 @@ def test_sparse_labels_end_with_the_pixels(grid):
 
     b = np.zeros((12, 12), int)
     b[3:7, 3:7] = 5
-    kept = eroded(grid({1: b}, "label", "int").where("label > 0"), 1, None, grid({1: np.ones((12, 12))}))
+    kept = eroded(grid({1: b}, "label", "int").where("label > 0"), 1, grid({1: np.ones((12, 12))}))
     assert sorted((r["y"], r["x"]) for r in kept.collect()) == [(4, 4), (4, 5), (5, 4), (5, 5)]
