@@ -257,11 +257,12 @@ def map_blocks(df: DataFrame, kernel: Kernel, out: Sequence[str], *,
 
 def reduce_blocks(df: DataFrame, kernel: Callable[..., Sequence[np.ndarray]], out: str, *, values: Sequence[str] = ("value",),
                   keys: Sequence[str] = tuple(IC), halo: int = 0, block: int = BLOCK, fill: Sequence[float | str] | None = None,
-                  shape: tuple[str, str] | None = None) -> DataFrame:
+                  shape: tuple[str, str] | None = None, place: bool = False) -> DataFrame:
     """Run ``kernel(*arrays, core) -> columns`` on every tile: any rows per tile instead of one per pixel, to be added up.
 
     ``out`` is the schema of the columns. Without ``shape`` images are endless: a kernel sees ``fill`` where nothing is stored,
-    also behind a border. With it, as in ``map_blocks``, the array ends there.
+    also behind a border. With it, as in ``map_blocks``, the array ends there. With ``place`` the kernel also gets ``origin``, row
+    and column of the first pixel of the core, and the result has the columns ``ty`` and ``tx`` of the tile.
     """
     if halo > block:
         raise ValueError("the halo must not exceed the block")
@@ -269,7 +270,8 @@ def reduce_blocks(df: DataFrame, kernel: Callable[..., Sequence[np.ndarray]], ou
     cols = list(dict.fromkeys(["y", "x", *values, *[f for f in fill if isinstance(f, str)], *(shape or ())]))
     tile = [*keys, "ty", "tx"]
     tiles = spread(with_halo(df.select(*keys, *cols), block, halo, shape), *tile).sortWithinPartitions(*tile)
-    schema = T.StructType([*tiles.select(*keys).schema.fields, *T.StructType.fromDDL(out).fields])
+    lead = tile if place else list(keys)
+    schema = T.StructType([*tiles.select(*lead).schema.fields, *T.StructType.fromDDL(out).fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,13 +288,13 @@ def reduce_blocks(df: DataFrame, kernel: Callable[..., Sequence[np.ndarray]], ou
                     a = np.full(t.shape, col[f][s.start] if isinstance(f, str) else f, np.float64)
                     t.put(a, col["y"][s], col["x"][s], col[name][s])
                     arrays.append(a)
-                got = kernel(*arrays, core=t.core)
+                got = kernel(*arrays, core=t.core, **({"origin": (t.y0 + t.core[0].start, t.x0 + t.core[1].start)} if place else {}))
                 if len(got[0]):
                     first += [s.start] * len(got[0])
                     made.append(got)
             if made:
-                data = [table.column(k).take(pa.array(first)).combine_chunks().cast(f.type) for k, f in zip(keys, arrow)]
-                data += [pa.array(np.concatenate(parts)).cast(f.type) for parts, f in zip(zip(*made), list(arrow)[len(keys):])]
+                data = [table.column(k).take(pa.array(first)).combine_chunks().cast(f.type) for k, f in zip(lead, arrow)]
+                data += [pa.array(np.concatenate(parts)).cast(f.type) for parts, f in zip(zip(*made), list(arrow)[len(lead):])]
                 yield pa.RecordBatch.from_arrays(data, schema=arrow)
 
     return tiles.mapInArrow(run, schema)

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from pixelspark.operators.blocks import BLOCK, reduce_blocks, spread
+from pixelspark.operators.blocks import BLOCK, reduce_blocks, spread, whole_tiles
 from pixelspark.operators.fused import moments
+from pixelspark.operators.outline import ITEMS, VERTEX, holes, hulls, label_items
 from pixelspark.schema import IL
-from pixelspark.session import cut_lineage
 
 # Variance of a unit pixel, added to the second moments of an object.
 PIXEL_VARIANCE = 1.0 / 12.0
@@ -129,184 +130,58 @@ def perimeter(labels: DataFrame, keys: Sequence[str] = tuple(IL), block: int = B
     return parts.groupBy(*keys).agg(F.sum("w").alias("perimeter"))
 
 
-_HULL = T.StructType([T.StructField("area_convex", T.LongType()), T.StructField("feret", T.DoubleType())])
+def outlines(labels: DataFrame, keys: Sequence[str] = tuple(IL), block: int = BLOCK) -> DataFrame:
+    """(keys, area_convex, feret_diameter_max, holes) of each object.
 
+    Tiles reduce their objects to hull vertices and runs of background along the tile border; a task that puts an object together
+    holds these, not its pixels. The hull runs through the midpoints of the pixel sides; a pixel counts when its centre lies
+    inside or on it. A hole is background that no 8-connected path leads out of.
+    """
+    keys, group = list(keys), [k for k in keys if k != "label"]
+    px = labels.where("label > 0").select(*group, "y", "x", F.col("label").cast("double").alias("label"))
+    items = reduce_blocks(px, lambda a, core, origin: label_items(a[core], *origin), ITEMS, values=["label"], keys=group, fill=[0.0], block=block, place=True)
+    rows = spread(items, *keys).sortWithinPartitions(*keys)
+    schema = T.StructType([*rows.select(*keys).schema.fields, T.StructField("area_convex", T.LongType()), T.StructField("feret_diameter_max", T.DoubleType()),
+                           T.StructField("holes", T.LongType())])
+    arrow = to_arrow_schema(schema)
 
-def _chain(points: list[tuple[float, float]], side: int) -> list[tuple[float, float]]:
-    """Convex chain through points sorted by row: ``side`` 1 for the left, -1 for the right border."""
-    out: list[tuple[float, float]] = []
-    for y, x in points:
-        while len(out) > 1:
-            (ay, ax), (by, bx) = out[-2], out[-1]
-            if side * ((by - ay) * (x - ax) - (bx - ax) * (y - ay)) > 0:
-                break
-            out.pop()
-        out.append((y, x))
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_tiles(batches, keys):
+            col = {c: table.column(c).to_numpy().astype(np.int64) for c in ("ty", "tx", "kind", "a", "b", "c", "n")}
+            of, vertex = np.searchsorted(starts, np.arange(table.num_rows), "right") - 1, col["kind"] == VERTEX
+            made = hulls(of[vertex], col["a"][vertex], col["b"][vertex])
+            tile, hole = np.stack([col["ty"], col["tx"]], 1), []
+            for i, (a, b) in enumerate(zip(starts, [*starts[1:], table.num_rows])):
+                part = a + np.flatnonzero(~vertex[a:b])
+                hole.append(holes(tile[part], *[col[c][part] for c in ("kind", "a", "b", "c", "n")], block))
+            data = [table.column(k).take(pa.array(starts)).combine_chunks().cast(f.type) for k, f in zip(keys, arrow)]
+            data += [pa.array([made[i][j] for i in range(len(starts))], t) for j, t in ((0, pa.int64()), (1, pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*data, pa.array(hole, pa.int64())], schema=arrow)
 
+    return rows.mapInArrow(run, schema)
 
-def _object_hull(y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> tuple[int, float]:
-    """Convex area and largest Feret diameter from the first and last pixel of each row."""
-    pts = sorted({p for a, b, c in zip(y.tolist(), x0.tolist(), x1.tolist()) for p in (
-        (a - .5, b), (a + .5, b), (a, b - .5), (a - .5, c), (a + .5, c), (a, c + .5))})
-    left, right = np.array(_chain(pts, 1)), np.array(_chain(pts, -1))
-    line = np.arange(y.min(), y.max() + 1)
-    lo, hi = (np.interp(line, c[:, 0], c[:, 1]) for c in (left, right))
-    convex = int((np.floor(hi + 1e-9) - np.ceil(lo - 1e-9) + 1).clip(0).sum())
-    v = np.concatenate([left, right])
-    far = max(float(((v - p) ** 2).sum(1).max()) for p in v)
-    return convex, math.sqrt(far)
 
+def _area(labels: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return labels.where("label > 0").groupBy(*keys).agg(F.count(F.lit(1)).alias("area"))
 
-def _column_list(*names: str) -> Column:
-    return F.array_sort(F.collect_list(F.struct(*names)))
 
+def hull_features(labels: DataFrame, keys: Sequence[str] = tuple(IL), block: int = BLOCK) -> DataFrame:
+    """Convex area, solidity and largest Feret diameter, see ``outlines``."""
+    return _area(labels, keys).join(outlines(labels, keys, block), list(keys)).select(
+        *keys, "area_convex", (F.col("area") / F.col("area_convex")).alias("solidity"), "feret_diameter_max")
 
-def hull_features(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:
-    """Convex area, solidity and largest Feret diameter.
 
-    Each object is reduced to the first and last pixel of its rows before any task sees a
-    whole object, so an object holds two numbers per image row. The hull runs through the
-    midpoints of the pixel sides; a pixel counts when its centre lies inside or on it.
-    """
-    rows = labels.where("label > 0").groupBy(*keys, "y").agg(
-        F.min("x").alias("x0"), F.max("x").alias("x1"), F.count(F.lit(1)).alias("n"))
-    objects = spread(rows, *keys).groupBy(*keys).agg(
-        _column_list("y", "x0", "x1").alias("r"), F.sum("n").alias("area"))
-
-    @F.pandas_udf(_HULL)
-    def hull(ys: pd.Series, x0: pd.Series, x1: pd.Series) -> pd.DataFrame:
-        made = [_object_hull(*(np.asarray(v, float) for v in row)) for row in zip(ys, x0, x1)]
-        return pd.DataFrame(made, columns=["area_convex", "feret"])
-
-    out = objects.select(*keys, "area", hull("r.y", "r.x0", "r.x1").alias("h"))
-    return out.select(*keys, "h.area_convex", (F.col("area") / F.col("h.area_convex")).alias("solidity"),
-                      F.col("h.feret").alias("feret_diameter_max"))
-
-
-def gap_runs(labels: DataFrame, keys: Sequence[str] = tuple(IL)) -> DataFrame:
-    """Background runs between object runs, per object row, with the row bounds of the object."""
-    line = Window.partitionBy(*keys, "y").orderBy("x")
-    px = labels.where("label > 0").select(*keys, "y", "x")
-    after = px.withColumn("_next", F.lead("x").over(line)).where("_next > x + 1")
-    return after.select(*keys, "y", (F.col("x") + 1).alias("g0"), (F.col("_next") - 1).alias("g1"))
-
-
-def _closed_pixels(gy, g0, g1, ey, e0, e1) -> int:
-    """Pixels in gaps that no 8-connected path of gaps links to the outside of the object."""
-    outside = len(gy)
-    parent = list(range(outside + 1))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    extents = {y: (a, b) for y, a, b in zip(ey, e0, e1)}
-    first: dict[int, int] = {}
-    for i, y in enumerate(gy):
-        first.setdefault(y, i)
-    for i, y in enumerate(gy):
-        for near in (y - 1, y + 1):
-            e = extents.get(near)
-            if e is None or g0[i] - 1 < e[0] or g1[i] + 1 > e[1]:
-                parent[root(i)] = root(outside)
-        j = first.get(y + 1, outside)
-        while j < outside and gy[j] == y + 1:
-            if g0[i] <= g1[j] + 1 and g0[j] <= g1[i] + 1:
-                parent[root(i)] = root(j)
-            j += 1
-    return sum(int(g1[i] - g0[i] + 1) for i in range(outside) if root(i) != root(outside))
-
-
-# Objects with more gaps than this are solved by joins instead of in one call.
-MAX_GAPS = 20_000
-_CELL = 64
-
-
-def _linked_gaps(gaps: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Pairs (u, v) of gaps that touch, 8 ways, in neighbouring rows.
-
-    Gaps meet through cells of 64 columns, so a row with many gaps is matched cell by cell.
-    """
-    cells = F.explode(F.sequence(F.floor((F.col("g0") - 1) / _CELL), F.floor((F.col("g1") + 1) / _CELL)))
-    a = gaps.select(*keys, "y", F.col("id").alias("u"), F.col("g0").alias("a0"), F.col("g1").alias("a1"), cells.alias("_c"))
-    b = gaps.select(*keys, (F.col("y") - 1).alias("y"), F.col("id").alias("v"), F.col("g0").alias("b0"),
-                    F.col("g1").alias("b1"), cells.alias("_c"))
-    return (a.join(b, [*keys, "y", "_c"]).where("a0 <= b1 + 1 and b0 <= a1 + 1")
-            .select(*keys, "u", "v").distinct())
+def filled_area(labels: DataFrame, keys: Sequence[str] = tuple(IL), block: int = BLOCK) -> DataFrame:
+    """Area with holes filled; a hole is background not connected (8 ways) to the outside, see ``outlines``."""
+    return _area(labels, keys).join(outlines(labels, keys, block), list(keys)).select(*keys, (F.col("area") + F.col("holes")).alias("area_filled"))
 
 
-def _closed_by_joins(gaps: DataFrame, ends: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Pixels in closed gaps per object, by min-label hooking with shortcuts.
+def object_shape(labels: DataFrame, keys: Sequence[str] = tuple(IL), found: DataFrame | None = None) -> DataFrame:
+    """All shape features of an object side by side.
 
-    The outside is node -1 and a gap that touches it starts with that label. Each round every
-    gap takes the smallest grandparent label of its neighbours, its parent learns it too, and
-    paths are halved; the number of rounds grows with the logarithm of the longest path.
-    """
-    gaps = gaps.withColumn("id", F.col("y").cast("bigint") * (1 << 32) + F.col("g0"))
-    near = F.explode(F.array(F.col("y") - 1, F.col("y") + 1)).alias("_ny")
-    side = ends.select(*keys, F.col("y").alias("_ny"), "e0", "e1")
-    reach = gaps.select(*keys, "id", "g0", "g1", near).join(side, [*keys, "_ny"], "left")
-    at_edge = F.col("e0").isNull() | (F.col("g0") - 1 < F.col("e0")) | (F.col("g1") + 1 > F.col("e1"))
-    start = reach.groupBy(*keys, "id").agg(F.bool_or(at_edge).alias("_open")).select(
-        *keys, "id", F.when(F.col("_open"), F.lit(-1).cast("bigint")).otherwise(F.col("id")).alias("f"))
-    links = _linked_gaps(gaps, keys)
-    links = cut_lineage(links.unionByName(links.select(*keys, F.col("v").alias("u"), F.col("u").alias("v"))))
-    nodes = cut_lineage(start)
-    while True:
-        parent = nodes.select(*keys, F.col("id").alias("f"), F.col("f").alias("_up"))
-        grand = (nodes.join(parent, [*keys, "f"], "left")
-                 .select(*keys, "id", "f", F.coalesce("_up", "f").alias("g")))
-        heard = (links.join(grand.select(*keys, F.col("id").alias("v"), "g"), [*keys, "v"])
-                 .groupBy(*keys, F.col("u").alias("id")).agg(F.min("g").alias("m")))
-        best = grand.join(heard, [*keys, "id"], "left").select(
-            *keys, "id", "f", F.least("f", "g", F.coalesce("m", "g")).alias("m"))
-        told = best.where("m < f and f >= 0").groupBy(*keys, F.col("f").alias("id")).agg(F.min("m").alias("t"))
-        step = cut_lineage(best.join(told, [*keys, "id"], "left").select(
-            *keys, "id", F.least("m", F.coalesce("t", "m")).alias("f"), F.col("f").alias("_old")))
-        nodes = step.drop("_old")
-        if step.where("f <> _old").isEmpty():
-            break
-    closed = gaps.join(nodes.where("f >= 0").select(*keys, "id"), [*keys, "id"], "left_semi")
-    return closed.groupBy(*keys).agg(F.sum(F.col("g1") - F.col("g0") + 1).alias("_holes"))
-
-
-def filled_area(labels: DataFrame, keys: Sequence[str] = tuple(IL), max_gaps: int = MAX_GAPS) -> DataFrame:
-    """Area with holes filled; a hole is background not connected (8 ways) to the outside.
-
-    Objects are reduced to the gaps between their runs and to their row ends. An object with up
-    to ``max_gaps`` gaps is solved in one call, a more porous one by joins over all tasks.
+    ``found`` has perimeter, area_convex, feret_diameter_max and holes of each object where another pass over the tiles gave them.
     """
-    px = labels.where("label > 0")
-    gaps = gap_runs(labels, keys)
-    ends = px.groupBy(*keys, "y").agg(F.min("x").alias("e0"), F.max("x").alias("e1"), F.count(F.lit(1)).alias("n"))
-    area = ends.groupBy(*keys).agg(F.sum("n").alias("area"))
-    porous = cut_lineage(gaps.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_gaps).select(*keys))
-    parts = None
-    if not porous.isEmpty():
-        parts = _closed_by_joins(gaps.join(porous, list(keys), "left_semi"), ends.join(porous, list(keys), "left_semi"), keys)
-        gaps = gaps.join(porous, list(keys), "left_anti")
-    packed = gaps.groupBy(*keys).agg(_column_list("y", "g0", "g1").alias("g"))
-    rows = ends.join(packed.select(*keys), list(keys), "left_semi").groupBy(*keys).agg(
-        _column_list("y", "e0", "e1").alias("e"))
-
-    @F.pandas_udf(T.LongType())
-    def closed(gy: pd.Series, g0: pd.Series, g1: pd.Series, ey: pd.Series, e0: pd.Series, e1: pd.Series) -> pd.Series:
-        return pd.Series([_closed_pixels(*row) for row in zip(gy, g0, g1, ey, e0, e1)], dtype="int64")
-
-    holes = spread(packed.join(rows, list(keys)), *keys).select(
-        *keys, closed("g.y", "g.g0", "g.g1", "e.y", "e.e0", "e.e1").alias("_holes"))
-    holes = holes if parts is None else holes.unionByName(parts)
-    return (area.join(holes, list(keys), "left")
-            .select(*keys, (F.col("area") + F.coalesce("_holes", F.lit(0))).alias("area_filled")))
-
-
-def object_shape(labels: DataFrame, keys: Sequence[str] = tuple(IL), with_perimeter: bool = True) -> DataFrame:
-    """All shape features of an object side by side; the perimeter may come from another pass over the tiles."""
-    out = shape_moments(labels, keys)
-    for part in (topology(labels, keys), *([perimeter(labels, keys)] if with_perimeter else []), hull_features(labels, keys),
-                 filled_area(labels, keys)):
+    out = shape_moments(labels, keys).join(topology(labels, keys), list(keys), "left")
+    for part in [found] if found is not None else [perimeter(labels, keys), outlines(labels, keys)]:
         out = out.join(part, list(keys), "left")
-    return out
+    return out.withColumns({"solidity": F.col("area") / F.col("area_convex"), "area_filled": F.col("area") + F.col("holes")}).drop("holes")

@@ -187,11 +187,12 @@ TENSOR_NAMES = lambda n: [f"{f}|{s}" for s in range(n) for f in ("str_tens_eigv_
 
 def object_partials(pixels: DataFrame, labels: DataFrame, *, hessian: Sequence[tuple[float, ...]] = (), tensor: Sequence[tuple[float, ...]] = (),
                     smooth: float | None = None, intensity: bool = False, perimeter: Callable[[np.ndarray], np.ndarray] | None = None,
-                    erosion: int = 9, eps: float = 1e-6, size: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+                    erosion: int = 9, eps: float = 1e-6, size: DataFrame | None = None, block: int = BLOCK, outlines: bool = False) -> DataFrame:
     """Merged moments per (image, label, channel, field), from one pass over tiles of pixels and labels.
 
     The steps run on the arrays of a tile one after another: smoothing, intensity under the labels, erosion, eigenvalues under the
-    eroded labels, and, without a channel, the perimeter. Fields are ``intensity``, ``perimeter`` and ``{feature}|{sigma}``.
+    eroded labels, and, without a channel, the perimeter. Fields are ``intensity``, ``perimeter`` and ``{feature}|{sigma}``, with
+    ``outlines`` also ``area_convex``, ``feret`` and ``holes``.
     Where ``size`` is not given an image ends at the largest y and x of its pixels and labels.
     """
     reach = (K.gaussian_halo(smooth) if smooth else 0) + max([0, *([hessian_reach(hessian)] if hessian else []), *([tensor_reach(tensor)] if tensor else [])])
@@ -212,7 +213,8 @@ def object_partials(pixels: DataFrame, labels: DataFrame, *, hessian: Sequence[t
             for name, field in zip(TENSOR_NAMES(len(tensor)), tensor_fields(a, tensor, eps=eps)):
                 yield name, field, under["eroded"]
 
-    return merged(fold_tiles(pixels, labels, channel_kernel, label_kernel, halo=halo, size=size, block=max(block, halo)))
+    block = max(block, halo)
+    return merged(fold_tiles(pixels, labels, channel_kernel, label_kernel, halo=halo, size=size, block=block, outlines=outlines), outlines, block)
 
 
 def _long(found: DataFrame, stats: Mapping[str, str]) -> DataFrame:

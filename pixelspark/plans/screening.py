@@ -112,8 +112,8 @@ def object_table(pixels: DataFrame, labels: DataFrame, channels: Sequence[int],
                  block: int = BLOCK) -> DataFrame:
     """One row per object off the edge: shape, intensity, Hessian and structure-tensor features.
 
-    Smoothing, erosion, eigenvalues and the perimeter run on the arrays of one pass over tiles, which returns partial sums for
-    each object. Objects that erosion leaves no pixel of have no eigenvalue rows, and are left out where these are asked for.
+    Smoothing, erosion, eigenvalues, perimeter, hulls and holes run on the arrays of one pass over tiles, which returns partial
+    sums for each object. Objects that erosion leaves no pixel of have no eigenvalue rows, and are left out where these are asked for.
     ``extra`` names further intensity properties of the smoothed pixels; they take a pass of their own. ``size`` has height and
     width of each image and spares a pass over the pixels.
     """
@@ -121,14 +121,15 @@ def object_table(pixels: DataFrame, labels: DataFrame, channels: Sequence[int],
     labels = lb.exclude_edge_labels(labels, size)
     hessian, tensor = list(hessian or ()), list(tensor or ())
     found = tensors.object_partials(pixels, labels, hessian=hessian, tensor=tensor, smooth=sigma, intensity=True,
-                                    perimeter=shape.perimeter_weights, erosion=erosion, size=size, block=block)
+                                    perimeter=shape.perimeter_weights, erosion=erosion, size=size, block=block, outlines=True)
 
     def column(field: str, channel: int | None, stat: str, name: str) -> Column:
         hit = (F.col("field") == field) & F.col("channel").eqNullSafe(F.lit(channel))
         return F.max(F.when(hit, FROM_MOMENTS[stat]())).alias(name)
 
     stats = tensors.STATS
-    columns = [column("perimeter", None, "sum", "perimeter")]
+    outline = {"perimeter": "sum", "area_convex": "mean", "feret": "mean", "holes": "mean"}
+    columns = [column(f, None, how, "feret_diameter_max" if f == "feret" else f) for f, how in outline.items()]
     columns += [column("intensity", c, s, f"{n}-{c}") for n, s in stats.items() for c in channels]
     needed = []
     for sigmas, features in ((hessian, [(f"hessian_eigv_{k}", "") for k in (1, 2)]),
@@ -142,7 +143,10 @@ def object_table(pixels: DataFrame, labels: DataFrame, channels: Sequence[int],
     wide = found.groupBy(*IL).agg(*columns, *[n.alias(f"_has_{i}") for i, n in enumerate(needed)])
     for i in range(len(needed)):
         wide = wide.where(F.col(f"_has_{i}")).drop(f"_has_{i}")
-    out = shape.object_shape(labels, with_perimeter=False).join(wide, IL, "inner" if needed else "left")
+    wide = wide.withColumns({c: F.col(c).cast("bigint") for c in ("area_convex", "holes")})
+    out = shape.object_shape(labels, found=wide)
+    if needed:
+        out = out.where("area_convex is not null")
     if extra:
         px = stencil.gaussian_filter(pixels, sigma, size=size, block=block) if sigma else pixels
         out = out.join(extra_intensity(px, labels, extra, channels), IL, "left")

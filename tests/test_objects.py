@@ -99,7 +99,7 @@ def test_random_objects_against_brute_force(grid):
         assert got[i].euler_number == ((quad == 1).sum() - (quad == 3).sum() - 2 * diag) // 4
 
 
-def test_porous_objects_by_joins(grid):
+def test_porous_objects_across_tiles(grid):
     images = {i: (RNG.random((14, 17)) > 0.45).astype(int) for i in range(12)}
     spiral = np.ones((13, 13), int)
     y, x, dy, dx = 1, 1, 0, 1
@@ -114,7 +114,7 @@ def test_porous_objects_by_joins(grid):
     images[90], images[91] = spiral, spiral.copy()
     images[91][1, 0] = 0
     px = grid(images, "label", "int").where("label > 0")
-    got = {r.image_id: r.area_filled for r in shape.filled_area(px, max_gaps=3).collect()}
+    got = {r.image_id: r.area_filled for r in shape.filled_area(px, block=3).collect()}
     assert got == {i: _fill(a) for i, a in images.items()}
 
 
