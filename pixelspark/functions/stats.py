@@ -40,7 +40,7 @@ def total(v: Column) -> Column:
 
 
 def quantile(q: float) -> Stat:
-    """Linear-interpolated quantile of a bounded set of levels."""
+    """Linear-interpolated quantile of a bounded set of levels; ``measure.image_stat`` and ``ranking.percentiles`` set no bound."""
     if not 0.0 <= q <= 1.0:
         raise ValueError("a quantile lies in [0, 1]")
     return lambda v: F.percentile(v, q)

@@ -11,28 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pixelspark.functions.pixel import clip_cast
-from pixelspark.operators.ranking import percentiles
 from pixelspark.operators.stencil import rolling_ball, rolling_ball_per_channel
 
 CYX = ("channel", "y", "x")
 
 
-def background_stack(pixels: DataFrame, method: str = "median", keys: Sequence[str] = (),
-                     grey_levels: int | None = 65_536) -> DataFrame:
+def background_stack(pixels: DataFrame, method: str = "median", keys: Sequence[str] = ()) -> DataFrame:
     """Median or mean over the fields of view at each (channel, y, x).
 
-    ``keys`` adds the condition (well, grid position) for one background each. The median of
-    16-bit images keeps at most 65,536 counters per pixel; pass ``grey_levels=None`` for
-    values without a bound.
+    ``keys`` adds the condition (well, grid position) for one background each. A group holds one value per field of view,
+    so the counters of its median are bounded by their number, and one aggregation does.
     """
     on = [*keys, *CYX]
     if method == "mean":
         return pixels.groupBy(*on).agg(F.avg("value").alias("value"))
     if method != "median":
         raise ValueError("method must be median or mean")
-    # One pixel position holds one row per field of view, so no group stands out.
-    middle = percentiles(pixels, on, "value", {"_m": 0.5}, levels=grey_levels, hot_groups=False)
-    return middle.withColumnRenamed("_m", "value")
+    return pixels.groupBy(*on).agg(F.percentile("value", 0.5).alias("value"))
 
 
 def background_all_strategies(pixels: DataFrame, conditions: Sequence[str], method: str = "median") -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixelspark.operators.ranking import numbered, running_sum, value_bucket, value_ranks
 from pixelspark.schema import IL, IMG
-from pixelspark.session import cut_lineage
 
 G = [*IL, "channel_1", "channel_2"]
 
@@ -130,8 +130,9 @@ def channel_correlation(pixels: DataFrame, labels: DataFrame, channels: Sequence
 def correlate_pairs(pairs: DataFrame, method: str, min_periods: int = 1,
                     keys: Sequence[str] = tuple(G)) -> DataFrame:
     if method != "pearson":
-        # Ranks read the counted pairs several times; what leads to them runs once.
-        pairs = cut_lineage(pairs)
+        # Ranks read the counted pairs several times; what leads to them runs once, when the result is asked for. Parts that
+        # are lost with an executor are made again.
+        pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
     got = METHODS[method](pairs, keys)
     return got.withColumn("coeff", F.when(F.col("n") >= min_periods, F.col("coeff")))
 

@@ -206,10 +206,10 @@ def subtract_mask(labels: DataFrame, remove: DataFrame) -> DataFrame:
     return _present(labels).join(_present(remove).select(*PX), list(PX), "left_anti")
 
 
-def background_offset(pixels: DataFrame, masks: DataFrame, grey_levels: int | None = None) -> DataFrame:
+def background_offset(pixels: DataFrame, masks: DataFrame) -> DataFrame:
     """Median per (image, channel) of the pixels outside all masks."""
     outside = pixels.join(_present(masks).select(*PX), list(PX), "left_anti")
-    return percentiles(outside, [*IMG, "channel"], "value", {"offset": 0.5}, levels=grey_levels)
+    return percentiles(outside, [*IMG, "channel"], "value", {"offset": 0.5})
 
 
 def distinct_labels(labels: DataFrame, keys: Sequence[str] = tuple(IMG)) -> DataFrame:

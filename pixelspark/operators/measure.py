@@ -10,20 +10,34 @@ from pyspark.sql import functions as F
 
 from pixelspark.functions.pixel import minmax, rescale_levels, threshold_mask
 from pixelspark.functions.stats import Stat, resolve
-from pixelspark.operators.ranking import MAX_LEVELS, percentiles, value_counts
+from pixelspark.operators.ranking import percentiles, tile_of, value_counts, with_bounds
 from pixelspark.schema import IC, ILC, IMG, finite
 
 Stats = Mapping[str, "str | Stat"]
 
 
+ORDER: Mapping[str, float] = {"median": 0.5, "q25": 0.25, "q75": 0.75}
+
+
 def _aggs(stats: Stats, value: Column) -> list[Column]:
     return [resolve(s)(value).alias(name) for name, s in stats.items()]
 
 
 def image_stat(pixels: DataFrame, stats: Stats, keys: Sequence[str] = tuple(IMG),
                value: str = "value") -> DataFrame:
-    """Any scalar statistics of all pixels of a group."""
-    return pixels.groupBy(*keys).agg(*_aggs(stats, F.col(value)))
+    """Any scalar statistics of all pixels of a group.
+
+    Median and quartiles come from ``ranking.percentiles``; the others share one aggregation.
+    """
+    order = {name: ORDER[s] for name, s in stats.items() if isinstance(s, str) and s in ORDER}
+    plain = {name: s for name, s in stats.items() if name not in order}
+    out = pixels.groupBy(*keys).agg(*(_aggs(plain, F.col(value)) or [F.count(F.lit(1)).alias("_n")]))
+    if not order:
+        return out
+    key = [f"_key_{i}" for i in range(len(keys))]
+    found = percentiles(pixels, keys, value, order).select(*[F.col(k).alias(n) for k, n in zip(keys, key)], *order)
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, key)]
+    return out.join(found, same, "left").select(*keys, *stats)
 
 
 def mean_over_std(pixels: DataFrame, keys: Sequence[str] = tuple(IC), inf_value: float | None = None,
@@ -89,17 +103,16 @@ def normalized_skew(pixels: DataFrame, keys: Sequence[str] = tuple(IC), out: str
 def minmax_normalize(pixels: DataFrame, keys: Sequence[str] = tuple(IC)) -> DataFrame:
     """(v-min)/(max-min) per group; constant groups stay as they are."""
     range_ = pixels.groupBy(*keys).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
-    return (pixels.join(range_, list(keys))
+    return (with_bounds(pixels, range_, keys, tile_of("y", "x"))
             .withColumn("value", minmax(F.col("value"), F.col("_lo"), F.col("_hi")))
             .drop("_lo", "_hi"))
 
 
 def quantize(pixels: DataFrame, keys: Sequence[str] = tuple(IC), levels: int = 8,
-             p_low: float = 0.01, p_high: float = 0.99, bottom: int = 0,
-             grey_levels: int | None = None, out: str = "level") -> DataFrame:
+             p_low: float = 0.01, p_high: float = 0.99, bottom: int = 0, out: str = "level") -> DataFrame:
     """Grey level per pixel after clipping to two percentiles of its group."""
-    bounds = percentiles(pixels, keys, "value", {"_lo": p_low, "_hi": p_high}, levels=grey_levels)
-    return (pixels.join(bounds, list(keys))
+    bounds = percentiles(pixels, keys, "value", {"_lo": p_low, "_hi": p_high})
+    return (with_bounds(pixels, bounds, keys, tile_of("y", "x"))
             .withColumn(out, rescale_levels(F.col("value"), F.col("_lo"), F.col("_hi"), levels, bottom))
             .drop("_lo", "_hi"))
 
@@ -110,7 +123,7 @@ def _check_band(low: float, high: float) -> None:
 
 
 def extreme_fraction(pixels: DataFrame, low: float = 1.0, high: float = 99.0,
-                     keys: Sequence[str] = tuple(IC), grey_levels: int | None = None) -> DataFrame:
+                     keys: Sequence[str] = tuple(IC)) -> DataFrame:
     """Share of pixels at or below the low and at or above the high percentile.
 
     Works on the distinct values of a group and their counts. A group without a valid
@@ -119,9 +132,9 @@ def extreme_fraction(pixels: DataFrame, low: float = 1.0, high: float = 99.0,
     _check_band(low, high)
     counts = value_counts(pixels, keys)
     bounds = percentiles(counts, keys, "value", {"low_threshold": low / 100, "high_threshold": high / 100},
-                         weight="n", levels=grey_levels)
+                         weight="n")
     n = F.col("n")
-    part = (counts.join(bounds, list(keys)).groupBy(*keys).agg(
+    part = (with_bounds(counts, bounds, keys, F.col("value")).groupBy(*keys).agg(
         (F.sum(F.when(F.col("value") <= F.col("low_threshold"), n).otherwise(0)) / F.sum(n)).alias("bottom_fraction"),
         (F.sum(F.when(F.col("value") >= F.col("high_threshold"), n).otherwise(0)) / F.sum(n)).alias("top_fraction"),
         F.first("low_threshold").alias("low_threshold"), F.first("high_threshold").alias("high_threshold"),
@@ -130,13 +143,13 @@ def extreme_fraction(pixels: DataFrame, low: float = 1.0, high: float = 99.0,
 
 
 def counted_stat(counts: DataFrame, keys: Sequence[str], stat: str, out: str,
-                 where: Column | None = None, grey_levels: int | None = None) -> DataFrame:
+                 where: Column | None = None) -> DataFrame:
     """mean, median, mode, max or min from distinct values and counts; mode ties give the smallest."""
     if where is not None:
         counts = counts.where(where)
     v, n = F.col("value"), F.col("n")
     if stat == "median":
-        return percentiles(counts, keys, "value", {out: 0.5}, weight="n", levels=grey_levels)
+        return percentiles(counts, keys, "value", {out: 0.5}, weight="n")
     pick = {"mean": F.sum(v * n) / F.sum(n), "mode": F.max_by(v, F.struct(n, -v)),
             "max": F.max(v), "min": F.min(v)}
     if stat not in pick:
@@ -145,37 +158,36 @@ def counted_stat(counts: DataFrame, keys: Sequence[str], stat: str, out: str,
 
 
 def pixel_stat(pixels: DataFrame, mask: DataFrame, stat: str = "mean", out: str = "stat",
-               keys: Sequence[str] = tuple(IMG), grey_levels: int | None = None) -> DataFrame:
+               keys: Sequence[str] = tuple(IMG)) -> DataFrame:
     """Statistic over pixels whose mask is zero or more."""
     counts = value_counts(mask_join(pixels, mask.where("label >= 0")), keys)
-    return counted_stat(counts, keys, stat, out, grey_levels=grey_levels)
+    return counted_stat(counts, keys, stat, out)
 
 
 def low_high_tail(pixels: DataFrame, low: float, high: float, stat: str = "mean",
-                  keys: Sequence[str] = tuple(IC), grey_levels: int | None = None) -> DataFrame:
+                  keys: Sequence[str] = tuple(IC)) -> DataFrame:
     """Statistic strictly below the low and strictly above the high percentile; empty tail NULL."""
     _check_band(low, high)
     counts = value_counts(pixels, keys)
-    bounds = percentiles(counts, keys, "value", {"_lo": low / 100, "_hi": high / 100}, weight="n",
-                         levels=grey_levels)
-    counts = counts.join(bounds, list(keys))
+    bounds = percentiles(counts, keys, "value", {"_lo": low / 100, "_hi": high / 100}, weight="n")
+    counts = with_bounds(counts, bounds, keys, F.col("value"))
     side = F.when(F.col("value") < F.col("_lo"), "low").when(F.col("value") > F.col("_hi"), "high")
     tails = counted_stat(counts.withColumn("_side", side), [*keys, "_side"], stat, "_s",
-                         F.col("_side").isNotNull(), grey_levels)
+                         F.col("_side").isNotNull())
     wide = tails.groupBy(*keys).agg(*[F.max(F.when(F.col("_side") == s, F.col("_s"))).alias(f"{s}_{stat}")
                                       for s in ("low", "high")])
     return bounds.select(*keys).join(wide, list(keys), "left")
 
 
 def tail_stat(pixels: DataFrame, perc: float, stat: str = "mean", below: bool = True,
-              keys: Sequence[str] = tuple(IC), grey_levels: int | None = None) -> DataFrame:
+              keys: Sequence[str] = tuple(IC)) -> DataFrame:
     """Statistic of the pixels strictly below (or above) one percentile; empty tail NULL."""
     if not 0 <= perc <= 100:
         raise ValueError("perc must be in [0, 100]")
     counts = value_counts(pixels, keys)
-    bound = percentiles(counts, keys, "value", {"threshold": perc / 100}, weight="n", levels=grey_levels)
+    bound = percentiles(counts, keys, "value", {"threshold": perc / 100}, weight="n")
     side = F.col("value") < F.col("threshold") if below else F.col("value") > F.col("threshold")
-    part = counted_stat(counts.join(bound, list(keys)), keys, stat, stat, side, grey_levels)
+    part = counted_stat(with_bounds(counts, bound, keys, F.col("value")), keys, stat, stat, side)
     return bound.join(part, list(keys), "left")
 
 
@@ -192,8 +204,7 @@ OBJECT_STATS: Mapping[str, str] = {"intensity_mean": "mean", "intensity_min": "m
 _ORDER_STATS: Mapping[str, float] = {"intensity_median": 0.5, "intensity_q25": 0.25, "intensity_q75": 0.75}
 
 
-def object_intensity(objects: DataFrame, keys: Sequence[str] = tuple(ILC), value: str = "value",
-                     grey_levels: int | None = None) -> DataFrame:
+def object_intensity(objects: DataFrame, keys: Sequence[str] = tuple(ILC), value: str = "value") -> DataFrame:
     """Per-object mean, extremes, deviation, sum, skewness, median, quartiles and MAD.
 
     Everything is read from the distinct values of an object and their counts, so the pixels are
@@ -202,34 +213,28 @@ def object_intensity(objects: DataFrame, keys: Sequence[str] = tuple(ILC), value
     """
     counts = value_counts(objects.select(*keys, F.col(value).alias("value")), keys)
     v, n = F.col("value"), F.col("n")
-    bounded = grey_levels is not None and grey_levels <= MAX_LEVELS
-    order = [F.percentile(v, q, n).alias(name) for name, q in _ORDER_STATS.items()] if bounded else []
     first = counts.groupBy(*keys).agg(F.sum(n).alias("_n"), F.sum(v * n).alias("intensity_sum"),
-                                      F.min(v).alias("intensity_min"), F.max(v).alias("intensity_max"), *order)
-    if not bounded:
-        first = first.join(percentiles(counts, keys, "value", _ORDER_STATS, weight="n"), list(keys))
+                                      F.min(v).alias("intensity_min"), F.max(v).alias("intensity_max"))
+    first = first.join(percentiles(counts, keys, "value", _ORDER_STATS, weight="n"), list(keys))
     first = first.withColumn("intensity_mean", F.col("intensity_sum") / F.col("_n")).drop("_n")
     away = v - F.col("intensity_mean")
-    dev = counts.join(first.select(*keys, "intensity_mean", "intensity_median"), list(keys)).withColumns(
+    dev = with_bounds(counts, first.select(*keys, "intensity_mean", "intensity_median"), keys, v).withColumns(
         {"_2": away * away * n, "_3": away * away * away * n, "value": F.abs(v - F.col("intensity_median"))})
-    mad = [F.percentile(v, 0.5, n).alias("intensity_mad")] if bounded else []
-    second = dev.groupBy(*keys).agg((F.sum("_2") / F.sum(n)).alias("_m2"), (F.sum("_3") / F.sum(n)).alias("_m3"), *mad)
-    if not bounded:
-        second = second.join(percentiles(dev, keys, "value", {"intensity_mad": 0.5}, weight="n"), list(keys))
+    second = dev.groupBy(*keys).agg((F.sum("_2") / F.sum(n)).alias("_m2"), (F.sum("_3") / F.sum(n)).alias("_m3"))
+    second = second.join(percentiles(dev, keys, "value", {"intensity_mad": 0.5}, weight="n"), list(keys))
     varies = F.col("intensity_max") > F.col("intensity_min")
     return first.join(second, list(keys)).withColumns({
         "intensity_std": F.when(varies, F.sqrt("_m2")).otherwise(0.0),
         "intensity_skew": F.when(varies, F.try_divide(F.col("_m3"), F.pow("_m2", F.lit(1.5))))}).drop("_m2", "_m3")
 
 
-def quantile_intensity(objects: DataFrame, q: float, out: str, keys: Sequence[str] = tuple(ILC),
-                       grey_levels: int | None = None, accuracy: int | None = None) -> DataFrame:
+def quantile_intensity(objects: DataFrame, q: float, out: str, keys: Sequence[str] = tuple(ILC), accuracy: int | None = None) -> DataFrame:
     """Linear-interpolated quantile per object; ``accuracy`` opts into the approximate one."""
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must lie in [0, 1]")
     if accuracy is not None:
         return objects.groupBy(*keys).agg(F.percentile_approx("value", q, accuracy).alias(out))
-    return percentiles(objects, keys, "value", {out: q}, levels=grey_levels)
+    return percentiles(objects, keys, "value", {out: q})
 
 
 def label_measure(objects: DataFrame, stat: str | Stat, out: str, index: DataFrame | None = None,
@@ -240,11 +245,17 @@ def label_measure(objects: DataFrame, stat: str | Stat, out: str, index: DataFra
     ``stat`` is a name, or a function from the value column to an aggregate. One with a second parameter also gets the
     position of each pixel, a struct of y and x, if ``objects`` has these columns.
     """
+    if isinstance(stat, str) and stat in ORDER:
+        got = image_stat(objects, {out: stat}, keys, value)
+        return _with_default(got, index, out, default, dtype, keys)
     if not isinstance(stat, str) and len(inspect.signature(stat).parameters) > 1:
         made = stat(F.col(value), F.struct("y", "x"))
     else:
         made = resolve(stat)(F.col(value))
-    got = objects.groupBy(*keys).agg(made.alias(out))
+    return _with_default(objects.groupBy(*keys).agg(made.alias(out)), index, out, default, dtype, keys)
+
+
+def _with_default(got: DataFrame, index: DataFrame | None, out: str, default: float | None, dtype: str, keys: Sequence[str]) -> DataFrame:
     if index is not None:
         got = index.join(got, list(keys), "left")
     return got.withColumn(out, F.coalesce(F.col(out), F.lit(default)).cast(dtype))

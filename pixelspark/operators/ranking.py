@@ -12,10 +12,38 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many distinct values per group the built-in exact percentile is used: its buffer
-# holds one counter per distinct value (16-bit grey levels at most).
-MAX_LEVELS = 65_536
 BUCKETS = 64
+#: Steps of the order code between a number and its double.
+STEPS = 4096
+#: Parts that a few rows per group are copied to where they meet all rows of the group.
+SALT = 16
+
+
+def order_code(v: Column) -> Column:
+    """A whole number that never falls where the value rises: sign and binary logarithm, STEPS to an octave; NaN is highest."""
+    v = v.cast("double")
+    step = F.floor(F.log2(F.abs(v)) * STEPS) + 2000 * STEPS
+    far = F.when(F.abs(v) == float("inf"), F.lit(4000 * STEPS)).otherwise(step).cast("bigint")
+    return F.when(F.isnan(v), F.lit(5000 * STEPS).cast("bigint")).when(v == 0, F.lit(0).cast("bigint")).when(v > 0, far).otherwise(-far)
+
+
+def with_bounds(df: DataFrame, bounds: DataFrame, keys: Sequence[str], by: Column) -> DataFrame:
+    """Rows with the few values of their group, one row in ``bounds``; NULL keys match each other.
+
+    Where the planner does not broadcast the bounds, they are copied to SALT parts, and the rows of a group are dealt to
+    these by the hash of ``by``, so that no task holds a whole group.
+    """
+    key = [f"_key_{i}" for i in range(len(keys))]
+    few = bounds.select(*[F.col(k).alias(n) for k, n in zip(keys, key)], *[c for c in bounds.columns if c not in keys],
+                        F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("_part"))
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, key)]
+    dealt = df.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALT)).cast("int"))
+    return dealt.join(few, [*same, F.col("_salt") == F.col("_part")]).drop(*key, "_salt", "_part")
+
+
+def tile_of(*coordinates: str) -> Column:
+    """What rows of one tile have in common."""
+    return F.concat_ws(",", *[F.floor(F.col(c) / 256).cast("string") for c in coordinates])
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str = "value", out: str = "n") -> DataFrame:
@@ -73,35 +101,45 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str = "value",
 
 
 def percentiles(df: DataFrame, keys: Sequence[str], value: str, qs: Mapping[str, float],
-                weight: str | None = None, levels: int | None = None, hot_groups: bool = True) -> DataFrame:
-    """Exact linear-interpolated quantiles, one named column per entry of ``qs``.
-
-    ``levels`` is the proven bound on distinct values per group. Within ``MAX_LEVELS`` the
-    values are counted first, spread over all tasks by (group, value), and the task of a group
-    only sees its distinct values. ``hot_groups=False`` skips that step where no group can hold
-    a large share of the rows. Without a bound the order statistics come from
-    :func:`value_ranks`, which never puts a group in one task.
+                weight: str | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles, one named column per entry of ``qs``; in fixed memory, whatever the values.
+
+    Distinct values are counted, spread over all tasks by (group, value). Their counts are added up by order code, a few
+    thousand rows per octave of values and group, which tell in which code each wanted rank lies; only values with these
+    codes are put in order, each code by itself. So no task sorts a group, and there is one way for all data.
     """
     if any(not 0.0 <= q <= 1.0 for q in qs.values()):
         raise ValueError("quantiles lie in [0, 1]")
-    if levels is not None and levels <= MAX_LEVELS:
-        if weight is None and hot_groups:
-            df, weight = value_counts(df, keys, value), "n"
-        freq = F.col(weight) if weight else F.lit(1)
-        return df.groupBy(*keys).agg(*[F.percentile(value, q, freq).alias(name)
-                                       for name, q in qs.items()])
-    ranks = value_ranks(df, keys, value, weight)
-    aggs, out = [], []
-    for i, (name, q) in enumerate(qs.items()):
-        pos = F.lit(q) * (F.col("below_total") - 1)
-        lo = F.floor(pos)
-        for tag, k in ((f"_lo{i}", lo), (f"_hi{i}", F.ceil(pos))):
-            hit = (F.col("below") <= k) & (k < F.col("below") + F.col("n"))
-            aggs.append(F.max(F.when(hit, F.col(value))).alias(tag))
-        aggs.append(F.max(pos - lo).alias(f"_f{i}"))
-        out.append((F.col(f"_lo{i}") + F.col(f"_f{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
-                   .alias(name))
-    return ranks.groupBy(*keys).agg(*aggs).select(*keys, *out)
+    keys = list(keys)
+    counts = value_counts(df, keys, value) if weight is None else (
+        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(weight).alias("n")))
+    counts = counts.select(*keys, F.col(value).alias("_v"), F.col("n").alias("_n"), order_code(F.col(value)).alias("_code"))
+    steps = counts.groupBy(*keys, "_code").agg(F.sum("_n").alias("_rows"))
+    upto = Window.partitionBy(*keys).orderBy("_code").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = steps.withColumns({"_below": F.sum("_rows").over(upto) - F.col("_rows"), "_total": F.sum("_rows").over(Window.partitionBy(*keys))})
+
+    def wanted(total: Column) -> list[tuple[Column, Column, Column]]:
+        return [(F.floor(pos), F.ceil(pos), pos - F.floor(pos)) for pos in (F.lit(q) * (total - 1) for q in qs.values())]
+
+    def holds(rank: Column, below: Column, n: Column) -> Column:
+        return (below <= rank) & (rank < below + n)
+
+    some = F.lit(False)
+    for low, high, _ in wanted(F.col("_total")):
+        some |= holds(low, F.col("_below"), F.col("_rows")) | holds(high, F.col("_below"), F.col("_rows"))
+    key = [f"_key_{i}" for i in range(len(keys))]
+    hit = steps.where(some).select(*[F.col(k).alias(n) for k, n in zip(keys, key)], F.col("_code").alias("_at"), "_below", "_total")
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, key)]
+    rows = counts.join(hit, [*same, F.col("_code") == F.col("_at")])
+    inside = Window.partitionBy(*keys, "_code").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_first", F.col("_below") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    aggs, out = [F.max("_total").alias("_total")], []
+    for i, (low, high, share) in enumerate(wanted(F.col("_total"))):
+        for tag, rank in ((f"_lo{i}", low), (f"_hi{i}", high)):
+            aggs.append(F.max(F.when(holds(rank, F.col("_first"), F.col("_n")), F.col("_v"))).alias(tag))
+        a, b = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        out.append(F.when(a == b, a).otherwise(a + share * (b - a)).cast("double").alias(list(qs)[i]))
+    return rows.groupBy(*keys).agg(*aggs).select(*keys, *out)
 
 
 def average_rank(df: DataFrame, keys: Sequence[str], value: str = "value", out: str = "rank") -> DataFrame:

@@ -85,20 +85,20 @@ def convolve(pixels: DataFrame, kernel, mode: str = "symmetric", keys: Sequence[
 
 def low_high_tail_channel(pixels: DataFrame, low: float, high: float, stat: str = "mean",
                           smooth: int | None = None, mode: str = "nearest",
-                          keys: Sequence[str] = tuple(IC), grey_levels: int | None = None) -> DataFrame:
+                          keys: Sequence[str] = tuple(IC)) -> DataFrame:
     """Tail statistics per channel, after an optional median filter."""
     if smooth:
         pixels = median_filter(pixels, smooth, mode=mode, keys=keys)
-    return low_high_tail(pixels, low, high, stat, keys, grey_levels)
+    return low_high_tail(pixels, low, high, stat, keys)
 
 
 def extreme_fraction_channel(pixels: DataFrame, low: float = 1.0, high: float = 99.0, smooth: int | None = None, footprint=None,
-                             mode: str = "nearest", keys: Sequence[str] = tuple(IC), grey_levels: int | None = None,
+                             mode: str = "nearest", keys: Sequence[str] = tuple(IC),
                              size: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """Shares of extreme pixels per channel, after an optional median filter of a size or a footprint."""
     if smooth or footprint is not None:
         pixels = median_filter(pixels, smooth, footprint, mode, keys, block, size)
-    return extreme_fraction(pixels, low, high, keys, grey_levels)
+    return extreme_fraction(pixels, low, high, keys)
 
 
 def _mirror(c: Column, length: Column, width: int, mode: str) -> Column:

@@ -26,8 +26,7 @@ Bounds = Mapping[str, tuple[float | None, float | None]]
 EXTREMES, TAILS, BLUR = ("bottom_fraction", "top_fraction"), ("low_mean", "high_mean"), "laplacian_var"
 
 
-def quality_metrics(pixels: DataFrame, names: Sequence[str], smooth: int | None = None, low: float = 1.0, high: float = 99.0,
-                    grey_levels: int | None = None, size: DataFrame | None = None) -> DataFrame:
+def quality_metrics(pixels: DataFrame, names: Sequence[str], smooth: int | None = None, low: float = 1.0, high: float = 99.0, size: DataFrame | None = None) -> DataFrame:
     """Metrics per (image, channel); aggregates share one pass over the pixels.
 
     ``names``: statistics, ``plls``, the shares of extreme pixels, the means of both tails (between ``low`` and ``high``
@@ -40,9 +39,9 @@ def quality_metrics(pixels: DataFrame, names: Sequence[str], smooth: int | None
     if "plls" in names:
         parts.append(qc.plls(pixels).select(*IC, F.col("slope").alias("plls")))
     if any(n in names for n in EXTREMES):
-        parts.append(measure.extreme_fraction(px, low, high, grey_levels=grey_levels).select(*IC, *[n for n in EXTREMES if n in names]))
+        parts.append(measure.extreme_fraction(px, low, high).select(*IC, *[n for n in EXTREMES if n in names]))
     if any(n in names for n in TAILS):
-        parts.append(measure.low_high_tail(px, low, high, grey_levels=grey_levels).select(*IC, *[n for n in TAILS if n in names]))
+        parts.append(measure.low_high_tail(px, low, high).select(*IC, *[n for n in TAILS if n in names]))
     if BLUR in names:
         parts.append(qc.laplacian_variance(pixels, size=size).select(*IC, BLUR))
     out = parts[0]
@@ -65,10 +64,10 @@ def quality_table(fov: DataFrame, pixels: DataFrame, channels: Sequence[int], bo
 
 
 def background_model(pixels: DataFrame, flagged: DataFrame, condition: Sequence[str] = (), method: str = "median",
-                     fit: str | None = None, grey_levels: int | None = 65_536, **settings) -> DataFrame:
+                     fit: str | None = None, **settings) -> DataFrame:
     """Background of the unflagged fields of view, optionally fitted, per condition."""
     good = pixels.join(qc.unflagged(flagged).select(*IMG), IMG, "left_semi")
-    stack = bg.background_stack(good, method, condition, grey_levels)
+    stack = bg.background_stack(good, method, condition)
     return stack if fit is None else bg.fit_background(stack, fit, [*condition, "channel"], **settings)
 
 

@@ -31,7 +31,7 @@ q._cte("levels", f"""SELECT image_id, channel, y, x,
 
 
 def levels(s, d):
-    return m.quantize(q.multi(s, d), grey_levels=q.MULTI_LEVELS).select("image_id", "channel", "y", "x", "level")
+    return m.quantize(q.multi(s, d)).select("image_id", "channel", "y", "x", "level")
 
 
 _OFFSETS = {(0, 0): (0, 1), (0, 1): (1, 1), (0, 2): (1, 0), (1, 0): (0, 2), (1, 1): (1, 1), (1, 2): (2, 0)}
@@ -112,8 +112,7 @@ _TEXTURE = "SELECT image_id, label, channel, y, x, {c} AS contrast, {e} AS entro
 @query(q.sql("SELECT 1", "multi", "lab_a").replace(
     "\nSELECT 1", f",\n{_CROP}\n{_TEXTURE.format(c=r('contrast'), e=r('entropy'))}"))
 def haralick_map(s, d):
-    return q.rounded(tex.haralick_map(q.multi(s, d), q.lab_a(s, d), ["contrast", "entropy"], window=3,
-                                      grey_levels=q.MULTI_LEVELS))
+    return q.rounded(tex.haralick_map(q.multi(s, d), q.lab_a(s, d), ["contrast", "entropy"], window=3))
 
 
 _STATS = (("intensity_mean", "avg"), ("intensity_max", "max"), ("intensity_min", "min"), ("intensity_std", "stddev_pop"))
@@ -123,8 +122,7 @@ _STATS = (("intensity_mean", "avg"), ("intensity_max", "max"), ("intensity_min",
     f"SELECT image_id, label, channel, '{f}' AS feature, '{n}' AS stat, {r(f'{fn}({f})')} AS value FROM texture GROUP BY ALL"
     for f in ("contrast", "entropy") for n, fn in _STATS)))
 def haralick_objects(s, d):
-    return q.rounded(tex.haralick_objects(q.multi(s, d), q.lab_a(s, d), ["contrast", "entropy"], window=3, erosion=0,
-                                          grey_levels=q.MULTI_LEVELS))
+    return q.rounded(tex.haralick_objects(q.multi(s, d), q.lab_a(s, d), ["contrast", "entropy"], window=3, erosion=0))
 
 
 def _mirror(t: str, n: str) -> str:
@@ -160,8 +158,7 @@ _RAGGED = f"""box AS (SELECT image_id, label, min(y) AS y0, min(x) AS x0, max(y)
     "FROM ragged JOIN kept USING (image_id, y, x) GROUP BY image_id, label, channel" for n, fn in _STATS), "multi", "lab_b"))
 def haralick_objects_ragged(s, d):
     """Ragged objects, default window, eroded by one pixel."""
-    return q.rounded(tex.haralick_objects(q.multi(s, d), q.lab_b(s, d), ["contrast"], erosion=1, size=q.sizes(s, d),
-                                          grey_levels=q.MULTI_LEVELS))
+    return q.rounded(tex.haralick_objects(q.multi(s, d), q.lab_b(s, d), ["contrast"], erosion=1, size=q.sizes(s, d)))
 
 
 # --- tensors ------------------------------------------------------------------------------

@@ -65,11 +65,10 @@ def gaussian_filter(s, d):
 @query(q.sql(f"SELECT * FROM ({_local(r('avg(v)'))}) JOIN (SELECT {_PX}, min(v) AS lowest, max(v) AS highest, "
              f"{r('stddev_pop(v)')} AS std FROM {near('emb', 1, 'symmetric')} GROUP BY {_PX}) USING ({_PX})", "emb"))
 def local_map(s, d):
-    px = q.emb(s, d)
-    stats = ("mean", "min", "max", "std")
-    fp = np.ones((3, 3), bool)
-    out = map_blocks(px, lambda a: [K.LOCAL[n](K.windows(a, fp, "symmetric")) for n in stats],
-                     ["value", "lowest", "highest", "std"], halo=1)
+    px, out = q.emb(s, d), None
+    for name, stat in (("value", "mean"), ("lowest", "min"), ("highest", "max"), ("std", "std")):
+        one = st.local_map(px, stat, 3, out=name, size_of=q.sizes(s, d))
+        out = one if out is None else out.join(one, [*IC, "y", "x"])
     return q.rounded(out)
 
 
@@ -201,4 +200,4 @@ def smooth_background(s, d):
 SELECT image_id, channel, {r('avg(value) FILTER (value < lo)')} AS low_mean, {r('avg(value) FILTER (value > hi)')} AS high_mean
  FROM med JOIN lim USING (image_id, channel) GROUP BY image_id, channel"""))
 def low_high_tail_channel(s, d):
-    return q.rounded(st.low_high_tail_channel(q.multi(s, d), 10, 90, smooth=3, grey_levels=q.MULTI_LEVELS))
+    return q.rounded(st.low_high_tail_channel(q.multi(s, d), 10, 90, smooth=3))

@@ -20,14 +20,13 @@ def bright(s, d):
             .select("image_id", "condition", "channel", "y", "x", "value"))
 
 
-LEVELS = 2 * q.MULTI_LEVELS
 _CYX = "channel, y, x"
 _STACK = f"(SELECT {_CYX}, median(value) AS value FROM bright GROUP BY {_CYX})"
 _BY_COND = f"(SELECT condition, {_CYX}, median(value) AS value FROM bright GROUP BY condition, {_CYX})"
 
 
 def _stack(s, d, keys=()):
-    return bg.background_stack(bright(s, d), "median", keys, LEVELS)
+    return bg.background_stack(bright(s, d), "median", keys)
 
 
 @query(q.sql(f"SELECT m.*, mean FROM {_STACK} m JOIN (SELECT {_CYX}, {r('avg(value)')} AS mean FROM bright GROUP BY {_CYX}) "

@@ -74,9 +74,6 @@ def sizes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select(F.col("vec_id").alias("image_id"), F.lit(8).alias("height"), F.lit(8).alias("width"))
 
 
-# Values of an image lie in [-1000, 1000] before channel arithmetic.
-EMB_LEVELS = 2001
-MULTI_LEVELS = 2 * EMB_LEVELS
 
 _cte("multi", "SELECT image_id, c::INT AS channel, y, x, CASE c WHEN 0 THEN value WHEN 1 THEN abs(value) "
               "ELSE value + 17 * x - 5 * y END AS value FROM emb, (VALUES (0), (1), (2)) AS t(c)", "emb")
@@ -115,7 +112,6 @@ def bag(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_quantity").cast("double").alias("value"))
 
 
-BAG_LEVELS = 50
 
 # --- labels -------------------------------------------------------------------------------
 

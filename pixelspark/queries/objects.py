@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pixelspark.operators import labels as lb
 from pixelspark.operators import prep, shape
+from pixelspark.operators import stencil as st
 from pixelspark.queries import inputs as q
 from pixelspark.queries.inputs import r
 from pixelspark.queries.registry import query
@@ -136,7 +137,7 @@ def subtract_mask(s, d):
 @query(q.sql("""SELECT image_id, channel, median(value) AS "offset" FROM multi ANTI JOIN lab_b USING (image_id, y, x) GROUP BY ALL""",
              "multi", "lab_b"))
 def background_offset(s, d):
-    return lb.background_offset(q.multi(s, d), q.lab_b(s, d), q.MULTI_LEVELS)
+    return lb.background_offset(q.multi(s, d), q.lab_b(s, d))
 
 
 @query(q.sql("SELECT image_id, count(DISTINCT label) AS n_labels FROM lab_b GROUP BY image_id", "lab_b"))
@@ -144,20 +145,27 @@ def distinct_labels(s, d):
     return lb.distinct_labels(q.lab_b(s, d))
 
 
-_INSIDE = "(SELECT * FROM lab_b WHERE y BETWEEN 1 AND 2)"
+# Labels eroded by one pixel, positions outside the image ignored.
+_KEPT = """kept AS (SELECT image_id, y, x, m AS label FROM (SELECT c.image_id, c.y, c.x, min(coalesce(n.label, 0))::INT AS m
+ FROM (SELECT lab_b.*, dy, dx FROM lab_b, (VALUES (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) AS t(dy, dx)
+ WHERE y + dy BETWEEN 0 AND 7 AND x + dx BETWEEN 0 AND 7) c
+ LEFT JOIN lab_b n ON n.image_id = c.image_id AND n.y = c.y + c.dy AND n.x = c.x + c.dx
+ GROUP BY c.image_id, c.y, c.x) WHERE m > 0)"""
 
 
-@query(q.sql(f"""SELECT image_id, count(DISTINCT b.label)::BIGINT AS n_before, count(DISTINCT a.label)::BIGINT AS n_after
- FROM lab_b b LEFT JOIN {_INSIDE} a USING (image_id, label) GROUP BY image_id""", "lab_b"))
+def _eroded(s, d):
+    return st.erode_labels(q.lab_b(s, d), q.sizes(s, d), 1)
+
+
+@query(q.sql_with(_KEPT, """SELECT image_id, count(DISTINCT b.label)::BIGINT AS n_before, count(DISTINCT a.label)::BIGINT AS n_after
+ FROM lab_b b LEFT JOIN (SELECT DISTINCT image_id, label FROM kept) a USING (image_id, label) GROUP BY image_id""", "lab_b"))
 def object_loss(s, d):
-    labels = q.lab_b(s, d)
-    return lb.object_loss(labels, labels.where("y between 1 and 2"))
+    return lb.object_loss(q.lab_b(s, d), _eroded(s, d))
 
 
-@query(q.sql(f"SELECT DISTINCT b.image_id, b.label FROM lab_b b ANTI JOIN {_INSIDE} a USING (image_id, label)", "lab_b"))
+@query(q.sql_with(_KEPT, "SELECT DISTINCT b.image_id, b.label FROM lab_b b ANTI JOIN kept a USING (image_id, label)", "lab_b"))
 def lost_labels(s, d):
-    labels = q.lab_b(s, d)
-    return lb.lost_labels(labels, labels.where("y between 1 and 2"))
+    return lb.lost_labels(q.lab_b(s, d), _eroded(s, d))
 
 
 @query(q.sql(f"""SELECT image_id, label, count(*) AS area, {r('avg(y)')} AS "centroid-0", {r('avg(x)')} AS "centroid-1"

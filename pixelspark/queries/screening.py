@@ -4,7 +4,7 @@ from pixelspark.plans import screening as plan
 from pixelspark.queries import inputs as q
 from pixelspark.queries.features import _STATS, _TENSOR_PARTS, _hessian_parts, wide_eigen
 from pixelspark.queries.filters import local_sql, weights
-from pixelspark.queries.illumination import LEVELS, _CYX, bright
+from pixelspark.queries.illumination import _CYX, bright
 from pixelspark.queries.inputs import r
 from pixelspark.queries.objects import SHAPE_PARTS, SHAPE_TABLE, shape_sql
 from pixelspark.queries.registry import query
@@ -40,7 +40,7 @@ _MODEL = f"""{_QUALITY},
 def correction_report(s, d):
     px = bright(s, d)
     flagged = plan.quality_table(px.select("image_id").distinct(), px, [0, 1, 2], _BOUNDS)
-    model = plan.background_model(px, flagged, grey_levels=LEVELS)
+    model = plan.background_model(px, flagged)
     return q.rounded(plan.correct(px, model, offset=400.0).select("image_id", "channel", "y", "x", "value"))
 
 
@@ -51,7 +51,7 @@ def screening_report(s, d):
     """Flags, background from unflagged images, corrected pixels, intensity per object."""
     px = bright(s, d)
     flagged = plan.quality_table(px.select("image_id").distinct(), px, [0, 1, 2], _BOUNDS)
-    model = plan.background_model(px, flagged, grey_levels=LEVELS)
+    model = plan.background_model(px, flagged)
     objects = plan.object_intensities(plan.correct(px, model, offset=400.0), q.lab_b(s, d))
     return q.rounded(objects.join(flagged.select("image_id", "flag"), "image_id"))
 

@@ -44,11 +44,13 @@ def read_fov_table(s, d):
     return src.read_fov_table(s, f"{d}/supplier.parquet", schema, "parquet")
 
 
-@query(q.sql("SELECT m.* FROM multi m SEMI JOIN fov f ON m.image_id = f.image_id WHERE channel IN (0, 2)",
-             "multi", "fov"))
+@query(q.sql("SELECT l_suppkey AS image_id, l_linenumber::INT AS channel, l_quantity::DOUBLE AS value FROM lineitem "
+             "SEMI JOIN fov f ON l_suppkey = f.image_id AND f.experiment = 'ASIA' WHERE l_linenumber IN (1, 3)", "fov"))
 def read_pixels(s, d):
-    px = q.multi(s, d).where(F.col("channel").isin(0, 2))
-    return px.join(q.fov(s, d).select("image_id"), "image_id", "left_semi")
+    """Lines of the listed suppliers and numbers, read from the file by the operator and cast to its schema."""
+    schema = T.StructType([T.StructField("l_suppkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()), T.StructField("l_quantity", T.DoubleType())])
+    names = {"l_suppkey": "image_id", "l_linenumber": "channel", "l_quantity": "value"}
+    return src.read_pixels(s, f"{d}/lineitem.parquet", q.fov(s, d).where("experiment = 'ASIA'"), [1, 3], schema, names)
 
 
 @query(q.sql("""SELECT image_id, (max(channel) + 1)::INT AS channels, (max(y) + 1)::INT AS height,

@@ -23,11 +23,3 @@ def local_session(cpus: int = 8, app: str = "pixelspark") -> SparkSession:
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
-
-def cut_lineage(df):
-    """Reliable checkpoint in the folder of ``spark.checkpoint.dir``, below the warehouse where that is unset."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)

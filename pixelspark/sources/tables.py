@@ -18,18 +18,21 @@ def read_fov_table(spark: SparkSession, path: str, schema: T.StructType, fmt: st
 
 
 def read_pixels(spark: SparkSession, path: str, fov: DataFrame | None = None,
-                channels: Sequence[int] | None = None, schema: T.StructType = PIXELS) -> DataFrame:
+                channels: Sequence[int] | None = None, schema: T.StructType = PIXELS, names: Mapping[str, str] | None = None) -> DataFrame:
     """Pixels of the listed fields of view and channels.
 
+    ``schema`` is that of the file, ``names`` its columns that are called differently there than in the relation.
+
     The channel filter prunes partitions or row groups; the semi join on ``fov`` lets Spark
     prune further at run time and never multiplies rows.
     """
-    px = spark.read.schema(schema).parquet(path)
+    px = conform(spark.read.parquet(path), schema) if names else spark.read.schema(schema).parquet(path)
+    px = px.withColumnsRenamed(dict(names or {}))
     if channels is not None:
         px = px.where(F.col("channel").isin(*channels))
     if fov is not None:
         px = px.join(fov.select("image_id"), IMG, "left_semi")
-    return conform(px, schema)
+    return px if names else conform(px, schema)
 
 
 def fov_shape(pixels: DataFrame, keys: Sequence[str] = tuple(IMG)) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pixelspark.operators import measure, qc
-from pixelspark.operators.ranking import numbered, percentiles, random_numbered, value_ranks
+from pixelspark.operators.ranking import numbered, order_code, percentiles, random_numbered, value_ranks
 from pixelspark.schema import IC, finite
 
 
@@ -32,11 +32,10 @@ def test_constant_image(grid):
     assert {r.value for r in measure.minmax_normalize(px).collect()} == {7.0}
 
 
-@pytest.mark.parametrize("levels", [None, 100])
-def test_object_intensity(grid, levels):
+def test_object_intensity(grid):
     a = np.array([[1, 2, 2, 10, 0.1, 0.1, 0.1]])
     px = grid({1: a}).withColumn("label", F.when(F.col("x") < 4, 1).otherwise(2))
-    got = {r.label: r for r in measure.object_intensity(px, grey_levels=levels).collect()}
+    got = {r.label: r for r in measure.object_intensity(px).collect()}
     assert (got[1].intensity_median, got[1].intensity_mad, got[1].intensity_q25, got[1].intensity_sum) == (2, 0.5, 1.75, 15)
     assert got[1].intensity_skew == pytest.approx(1.10997, abs=1e-5) and got[1].intensity_std == pytest.approx(3.63146, abs=1e-5)
     assert (got[2].intensity_std, got[2].intensity_skew, got[2].intensity_mad) == (0.0, None, 0.0)
@@ -136,9 +135,27 @@ def test_distributed_percentiles_equal_numpy(skewed):
     got = {r.g: [r[k] for k in qs] for r in percentiles(skewed, ["g"], "v", qs).collect()}
     for g, part in skewed.toPandas().groupby("g"):
         assert got[g] == pytest.approx(list(np.quantile(part["v"], list(qs.values()))))
-    counted = percentiles(skewed, ["g"], "v", qs, levels=20_000)
-    for r in counted.collect():
-        assert [r[k] for k in qs] == pytest.approx(got[r.g])
+
+
+def test_percentiles_of_odd_values(spark):
+    """Signs, zeros, tiny, huge and infinite values, NaN above all, NULL groups, whole numbers, and weights."""
+    inf, tiny = float("inf"), 5e-324
+    groups = {"a": [-inf, -1e300, -2.0, -1.0, -tiny, 0.0, -0.0, tiny, 1.0, 1.0 + 2**-40, 2.0, 1e300, inf], "b": [1.0], "c": [3.0, float("nan")], None: [1.0, 2.0, 4.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in [*vs, None]], "g string, v double")
+    got = {r["g"]: r for r in percentiles(df, ["g"], "v", {"low": 0.0, "mid": 0.5, "high": 1.0, "q": 0.25}).collect()}
+    assert set(got) == set(groups)
+    assert (got["a"].low, got["a"].mid, got["a"].high, got["a"].q) == (-inf, 0.0, inf, -1.0)
+    assert (got["b"].low, got["b"].q) == (1.0, 1.0) and got["c"].low == 3.0 and got["c"].high != got["c"].high
+    assert (got[None].mid, got[None].q) == (2.0, 1.5)
+    whole = spark.createDataFrame([(1, 10, 3), (1, 20, 1)], "g int, v long, w long")
+    assert one(percentiles(whole, ["g"], "v", {"m": 0.5, "t": 1.0}, weight="w")) == (1, 10.0, 20.0)
+
+
+def test_order_code_never_falls(spark):
+    r = np.random.default_rng(0)
+    v = np.sort(np.concatenate([r.normal(size=2000) * 10.0 ** r.integers(-300, 300, 2000), np.nextafter(2.0 ** np.arange(-20, 20), 0), 2.0 ** np.arange(-20, 20)]))
+    code = [x[0] for x in spark.createDataFrame([(float(x),) for x in v], "v double").coalesce(1).select(order_code(F.col("v"))).collect()]
+    assert (np.diff(code) >= 0).all() and len(set(code)) > 1500
 
 
 def test_ranks_spread_the_hot_group(skewed):
