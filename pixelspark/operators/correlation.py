@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pixelspark.operators.ranking import numbered, running_sum, value_bucket, value_ranks
+from pixelspark.operators.ranking import RANK_STEPS, numbered, order_code, random_bucket, running_sum, tile_of, value_ranks, with_bounds
 from pixelspark.schema import IL, IMG
 
 G = [*IL, "channel_1", "channel_2"]
@@ -91,7 +91,7 @@ def kendall(pairs: DataFrame, keys: Sequence[str] = tuple(G)) -> DataFrame:
     are cut into value buckets, so no task sorts a whole group.
     """
     keys = list(keys)
-    d = _dense(pairs, keys, "v2", "_b").withColumn("_bucket", value_bucket(pairs, "v1"))
+    d = _dense(pairs, keys, "v2", "_b").withColumn("_bucket", F.coalesce(order_code(F.col("v1"), RANK_STEPS), F.lit(0).cast("bigint")))
     digits = F.explode(F.sequence(F.lit(0), F.ceil(F.log2("_b_total")).cast("int") - 1)).alias("_digit")
     rows = (d.where("_b_total > 1").select(*keys, "v1", "_bucket", "_b", "n", digits)
             .withColumns({"_high": F.expr("shiftright(_b, _digit + 1)"),
@@ -157,10 +157,10 @@ def permute_within_label(pixels: DataFrame, labels: DataFrame, channels: Sequenc
     rounds = F.explode(F.sequence(F.lit(0), F.lit(n_permutation - 1))).alias("round")
     group = [*IL, "channel"]
     if not replace:
-        px = px.select(rounds, *group, "y", "x", "value").withColumn(
+        size = px.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+        px = with_bounds(px, size, group, tile_of("y", "x")).select(rounds, *group, "y", "x", "value", "_rows").withColumn(
             "_h", F.md5(F.concat_ws("|", "image_id", "y", "x", "channel", "round", F.lit(str(seed)))))
-        ranked = numbered(px, ["round", *group], ["_h", "y", "x"],
-                          F.coalesce(F.substring("_h", 1, 3), F.lit("")), "slot")
+        ranked = numbered(px, ["round", *group], ["_h", "y", "x"], random_bucket("_h", F.col("_rows")), "slot")
     else:
         ordered = numbered(px, group, ["y", "x"], F.coalesce("y", F.lit(0)), "slot")
         draw = F.conv(F.substring(F.md5(F.concat_ws("|", "image_id", "label", "slot", "channel", "round", F.lit(str(seed)))), 1, 12),
@@ -173,11 +173,17 @@ def permute_within_label(pixels: DataFrame, labels: DataFrame, channels: Sequenc
         F.max(F.when(F.col("channel") == c, F.col("value"))).alias(f"c{c}") for c in channels])
 
 
+def permutation_rounds(pixels: DataFrame, labels: DataFrame, channels: Sequence[int], n_permutation: int,
+                       method: str = "spearman", seed: int = 42, min_periods: int = 1, replace: bool = False) -> DataFrame:
+    """(round, image, label, channel pair, coeff, n): the coefficient of every single round."""
+    shuffled = permute_within_label(pixels, labels, channels, n_permutation, seed, replace)
+    return correlate_pairs(count_pairs(shuffled, channels, ["round"]), method, min_periods, ["round", *G])
+
+
 def permuted_correlation(pixels: DataFrame, labels: DataFrame, channels: Sequence[int], n_permutation: int,
                          method: str = "spearman", seed: int = 42, min_periods: int = 1) -> DataFrame:
     """Observed coefficient with mean and sample deviation over permutation rounds."""
-    shuffled = permute_within_label(pixels, labels, channels, n_permutation, seed)
-    rounds = correlate_pairs(count_pairs(shuffled, channels, ["round"]), method, min_periods, ["round", *G])
+    rounds = permutation_rounds(pixels, labels, channels, n_permutation, method, seed, min_periods)
     spread = rounds.groupBy(*G).agg(F.avg("coeff").alias("permuted_mean"),
                                     F.stddev_samp("coeff").alias("permuted_std"))
     return channel_correlation(pixels, labels, channels, method, min_periods).join(spread, G, "left")

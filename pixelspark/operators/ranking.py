@@ -1,8 +1,10 @@
 """Ranks, order statistics and exact-count selection without a group in one task.
 
 A window over a whole group would sort that group in a single task. Here each group is cut
-into ordered buckets first: rows are numbered inside a bucket and the bucket totals, a few
-rows per group, give the offset to add. A group of any size is spread over its buckets.
+into ordered buckets first: rows are numbered inside a bucket and the bucket totals give the
+offset to add. A group of any size is spread over its buckets: those of values are steps of the
+order code, so their number follows the data; those of random keys are as many as the counted
+size of the group asks for.
 """
 
 from __future__ import annotations
@@ -12,19 +14,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 64
-#: Steps of the order code between a number and its double.
-STEPS = 4096
+#: Steps of the order code between a number and its double: for selection, and where every bucket is read again.
+STEPS, RANK_STEPS = 4096, 512
+#: Rows that a bucket of a random key should hold.
+BUCKET_ROWS = 2000
 #: Parts that a few rows per group are copied to where they meet all rows of the group.
 SALT = 16
 
 
-def order_code(v: Column) -> Column:
-    """A whole number that never falls where the value rises: sign and binary logarithm, STEPS to an octave; NaN is highest."""
+def order_code(v: Column, steps: int = STEPS) -> Column:
+    """A whole number that never falls where the value rises: sign and binary logarithm, ``steps`` to an octave; NaN is highest."""
     v = v.cast("double")
-    step = F.floor(F.log2(F.abs(v)) * STEPS) + 2000 * STEPS
-    far = F.when(F.abs(v) == float("inf"), F.lit(4000 * STEPS)).otherwise(step).cast("bigint")
-    return F.when(F.isnan(v), F.lit(5000 * STEPS).cast("bigint")).when(v == 0, F.lit(0).cast("bigint")).when(v > 0, far).otherwise(-far)
+    step = F.floor(F.log2(F.abs(v)) * steps) + 2000 * steps
+    far = F.when(F.abs(v) == float("inf"), F.lit(4000 * steps)).otherwise(step).cast("bigint")
+    return F.when(F.isnan(v), F.lit(5000 * steps).cast("bigint")).when(v == 0, F.lit(0).cast("bigint")).when(v > 0, far).otherwise(-far)
 
 
 def with_bounds(df: DataFrame, bounds: DataFrame, keys: Sequence[str], by: Column) -> DataFrame:
@@ -72,31 +75,19 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
             .withColumn(out, F.col("_in") + F.col("_off")).drop("_in", "_off"))
 
 
-def value_bucket(df: DataFrame, value: str, buckets: int = BUCKETS) -> Column:
-    """Number of the bucket a value falls in; edges are quantiles of all values of ``df``.
-
-    The edges come from a fixed-size sketch in a one-row scalar subquery.
-    """
-    shares = [i / buckets for i in range(1, buckets)]
-    edges = df.agg(F.array_distinct(F.percentile_approx(value, shares, 20 * buckets))).scalar()
-    position = F.array_position(F.sort_array(F.array_append(edges, F.col(value))), F.col(value))
-    return F.coalesce(position, F.lit(0).cast("bigint"))
-
-
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str = "value",
-                weight: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+                weight: str | None = None) -> DataFrame:
     """(keys, value, n, below, below_total) per distinct value of each group.
 
-    ``below`` counts the rows with a smaller value. Bucket edges are quantiles of all the
-    values (a fixed-size sketch), so a group holding a third of the data is cut into pieces
-    of about the same size whatever its distribution. Exact for any edges.
+    ``below`` counts the rows with a smaller value. Buckets are steps of the order code, so a group
+    holding a third of the data is cut by its values; no pass is needed to find the cuts.
     """
     if weight is None:
         counts = value_counts(df, keys, value)
     else:
         counts = (df.where(F.col(value).isNotNull()).groupBy(*keys, value)
                   .agg(F.sum(weight).alias("n")))
-    counts = counts.withColumn("_bucket", value_bucket(df, value, buckets))
+    counts = counts.withColumn("_bucket", F.coalesce(order_code(F.col(value), RANK_STEPS), F.lit(0).cast("bigint")))
     return running_sum(counts, keys, [value], F.col("n"), "_bucket", "below").drop("_bucket")
 
 
@@ -161,12 +152,16 @@ def random_order(*parts: Column, seed: int) -> Column:
     return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts], F.lit(str(seed))))
 
 
-def random_numbered(df: DataFrame, key: Sequence[str], seed: int, out: str = "rn") -> DataFrame:
-    """Number all rows in a reproducible random order.
+def random_bucket(h: str, rows: Column) -> Column:
+    """The leading hex digits of a random key, as many as cut ``rows`` rows into buckets of about BUCKET_ROWS."""
+    digits = F.greatest(F.lit(0), F.ceil(F.log2(rows / F.lit(BUCKET_ROWS)) / 4)).cast("int")
+    return F.coalesce(F.substr(F.col(h), F.lit(1), digits), F.lit(""))
 
-    The first three hex digits of the md5 text make 4096 even buckets.
-    """
+
+def random_numbered(df: DataFrame, key: Sequence[str], seed: int, out: str = "rn") -> DataFrame:
+    """Number all rows in a reproducible random order; the rows are counted for the number of buckets."""
+    total = df.agg(F.count(F.lit(1))).scalar()
     df = df.withColumn("_h", random_order(*[F.col(k) for k in key], seed=seed))
     df = df.withColumn("_all", F.lit(0))
-    rows = numbered(df, ["_all"], ["_h", *key], F.coalesce(F.substring("_h", 1, 3), F.lit("")), out)
+    rows = numbered(df, ["_all"], ["_h", *key], random_bucket("_h", total), out)
     return rows.drop("_h", "_all")

@@ -404,3 +404,10 @@ SELECT {_G}, {r('coeff')} AS coeff, n::BIGINT AS n, {r('permuted_mean')} AS perm
  FROM ({_pearson(_ranked(_CORR.replace('FROM lab l', 'FROM lab_b l'), _G), _G, 'r1', 'r2')}) LEFT JOIN spread USING ({_G})"""))
 def permuted_correlation(s, d):
     return q.rounded(co.permuted_correlation(q.multi(s, d), q.lab_b(s, d), [0, 1, 2], 3))
+
+
+@query(q.sql("SELECT 1", "multi", "lab_b").replace("\nSELECT 1", f""",\nshuffled AS {_SHUFFLED.replace('range(N)', 'range(2)')}
+SELECT round, {_G}, {r('coeff')} AS coeff, n::BIGINT AS n FROM ({_pearson(_ranked(_ROUNDS, 'round, ' + _G), 'round, ' + _G, 'r1', 'r2')})"""))
+def permutation_rounds(s, d):
+    """Each round by itself."""
+    return q.rounded(co.permutation_rounds(q.multi(s, d), q.lab_b(s, d), [0, 1, 2], 2))
