@@ -80,13 +80,10 @@ def train(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, seed: int =
     """Adam on the weighted log loss. Embeddings start from the log odds of their buckets."""
     rng = np.random.default_rng(seed)
     ids, codes, n = word_ids(texts)
-    ids, start = ids[codes], np.cumsum(n) - n
-    doc = np.repeat(np.arange(len(n)), n)
+    ids, start = ids.astype(np.int32)[codes], np.cumsum(n) - n
     counts = np.zeros((2, BUCKETS))
-    for y in (0, 1):
-        use = labels[doc] == y
-        seen = np.unique(doc[use][:, None] * BUCKETS + ids[use])
-        counts[y] = np.bincount(seen % BUCKETS, minlength=BUCKETS)
+    for d in np.flatnonzero(n):
+        counts[labels[d]][np.unique(ids[start[d]:start[d] + n[d]])] += 1
     odds = np.log((counts[1] + 0.5) / ((labels == 1).sum() + 1)) - np.log((counts[0] + 0.5) / ((labels == 0).sum() + 1))
     odds[counts.sum(0) < 3] = 0
     embed = rng.normal(0, 0.05, (BUCKETS, SIZE))
