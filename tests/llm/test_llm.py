@@ -233,11 +233,20 @@ def test_quality(spark):
 
 def test_rules_are_ordered_by_rejections_per_second(spark, monkeypatch):
     docs = frame(spark, ["# " * 30] * 40)
-    rules = quality.ordered_rules(docs, quality.RULES, 40, 1.0)
+    rules = quality.ordered_rules(docs, quality.RULES, 40)
     assert {r.name for r in rules} == {r.name for r in quality.RULES}
     assert rules.index(next(r for r in rules if r.name == "symbols")) < rules.index(next(r for r in rules if r.name == "few_words"))
 
 
+def test_rules_are_rated_on_what_is_left(spark, monkeypatch):
+    """A rule that rejects only what another has rejected before comes after one that rejects something new."""
+    docs = frame(spark, ["# " * 30] * 30 + ["a " * 30] * 5 + [""])
+    always = [quality.Rule("all", "size(words) >= 20"), quality.Rule("marks", "array_contains(words, '#')"), quality.Rule("empty", "size(words) < 10")]
+    monkeypatch.setattr(quality.time, "perf_counter", iter(range(10**6)).__next__)  # every run takes as long
+    assert [r.name for r in quality.ordered_rules(docs, always, 10**6)] == ["all", "empty", "marks"]
+    assert quality.ordered_rules(empty(spark), always) == always
+
+
 def test_rules_are_native(spark):
     for df in (quality.scored(frame(spark, ["a"]), quality.RULES), secrets.parts(frame(spark, ["a"]))):
         assert "Python" not in df._jdf.queryExecution().toString()
