@@ -119,8 +119,15 @@ def ball_background(a: np.ndarray, radius: int, core: tuple[slice, slice] | None
     core = core or (slice(0, a.shape[0]), slice(0, a.shape[1]))
     if np.isnan(a).any():
         a = np.where(np.isnan(a), np.inf, a)
+    if radius < 12:  # few offsets: each one at once
+        out, g = a.copy(), np.arange(-radius, radius + 1)
+        d2 = g[:, None] ** 2 + g[None, :] ** 2
+        p = pad(a, radius, radius, "constant", np.inf)
+        for i, j in zip(*np.nonzero(d2 <= radius * radius)):
+            np.minimum(out, p[i:i + a.shape[0], j:j + a.shape[1]] + (radius - np.sqrt(radius * radius - d2[i, j])), out=out)
+        return out
     out = np.full(a.shape, np.nan)
-    c = max(1, min(8, radius // 4))
+    c = min(8, radius // 4)
     h, w = core[0].stop - core[0].start, core[1].stop - core[1].start
     k = radius // c + 1
     # the core at a corner of the cell grid, with whole cells and k more of them all around

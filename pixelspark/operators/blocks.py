@@ -150,6 +150,12 @@ class _Tile:
                      slice(max(int(tx) * bx - self.x0, 0), max(min((int(tx) + 1) * bx, x1) - self.x0, 0)))
         self.empty = any(c.start >= c.stop for c in self.core)
 
+    def trim(self, y: np.ndarray, x: np.ndarray) -> None:
+        """End the tile of an endless image with its last stored row and column: what lies behind holds nothing."""
+        self.shape = (min(self.shape[0], int(y.max()) - self.y0 + 1), min(self.shape[1], int(x.max()) - self.x0 + 1))
+        self.core = tuple(slice(c.start, max(c.start, min(c.stop, n))) for c, n in zip(self.core, self.shape))
+        self.empty = any(c.start >= c.stop for c in self.core)
+
     def put(self, a: np.ndarray, y: np.ndarray, x: np.ndarray, value: np.ndarray) -> None:
         """Store values at their places; those behind the border of the image are left out."""
         y, x = y - self.y0, x - self.x0
@@ -227,6 +233,8 @@ def map_blocks(df: DataFrame, kernel: Kernel, out: Sequence[str], *,
 
     def one_tile(col: dict[str, np.ndarray], s: slice, hw: tuple[int, int]):
         t = _Tile(col["ty"][s.start], col["tx"][s.start], block, halo, hw)
+        if endless:
+            t.trim(col["y"][s], col["x"][s])
         if t.empty:
             return None
         arrays = {}
@@ -261,8 +269,9 @@ def reduce_blocks(df: DataFrame, kernel: Callable[..., Sequence[np.ndarray]], ou
     """Run ``kernel(*arrays, core) -> columns`` on every tile: any rows per tile instead of one per pixel, to be added up.
 
     ``out`` is the schema of the columns. Without ``shape`` images are endless: a kernel sees ``fill`` where nothing is stored,
-    also behind a border. With it, as in ``map_blocks``, the array ends there. With ``place`` the kernel also gets ``origin``, row
-    and column of the first pixel of the core, and the result has the columns ``ty`` and ``tx`` of the tile.
+    also behind a border, and the array ends with the last stored row and column. With it, as in ``map_blocks``, the array ends
+    there. With ``place`` the kernel also gets ``origin``, row and column of the first pixel of the core, always a whole one,
+    and the result has the columns ``ty`` and ``tx`` of the tile.
     """
     if halo > block:
         raise ValueError("the halo must not exceed the block")
@@ -281,6 +290,8 @@ def reduce_blocks(df: DataFrame, kernel: Callable[..., Sequence[np.ndarray]], ou
             for s in _spans(starts, table.num_rows):
                 hw = tuple(col[c][s.start] for c in shape) if shape else (ENDLESS, ENDLESS)
                 t = _Tile(col["ty"][s.start], col["tx"][s.start], block, halo, hw)
+                if not shape and not place:
+                    t.trim(col["y"][s], col["x"][s])
                 if t.empty:
                     continue
                 arrays = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 import inspect
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -208,10 +209,10 @@ def object_intensity(objects: DataFrame, keys: Sequence[str] = tuple(ILC), value
     """Per-object mean, extremes, deviation, sum, skewness, median, quartiles and MAD.
 
     Everything is read from the distinct values of an object and their counts, so the pixels are
-    joined and shuffled once; the second pass, for the central moments and the deviation from the
-    median, reads the counts again.
+    joined and shuffled once; the counts are kept (on disk where memory ends, until the session's cache is cleared) for the second
+    pass, over the central moments and the deviation from the median.
     """
-    counts = value_counts(objects.select(*keys, F.col(value).alias("value")), keys)
+    counts = value_counts(objects.select(*keys, F.col(value).alias("value")), keys).persist(StorageLevel.MEMORY_AND_DISK)
     v, n = F.col("value"), F.col("n")
     first = counts.groupBy(*keys).agg(F.sum(n).alias("_n"), F.sum(v * n).alias("intensity_sum"),
                                       F.min(v).alias("intensity_min"), F.max(v).alias("intensity_max"))
@@ -219,7 +220,7 @@ def object_intensity(objects: DataFrame, keys: Sequence[str] = tuple(ILC), value
     first = first.withColumn("intensity_mean", F.col("intensity_sum") / F.col("_n")).drop("_n")
     away = v - F.col("intensity_mean")
     dev = with_bounds(counts, first.select(*keys, "intensity_mean", "intensity_median"), keys, v).withColumns(
-        {"_2": away * away * n, "_3": away * away * away * n, "value": F.abs(v - F.col("intensity_median"))})
+        {"_2": away * away * n, "_3": away * away * away * n, "value": F.abs(v - F.col("intensity_median"))}).persist(StorageLevel.MEMORY_AND_DISK)
     second = dev.groupBy(*keys).agg((F.sum("_2") / F.sum(n)).alias("_m2"), (F.sum("_3") / F.sum(n)).alias("_m3"))
     second = second.join(percentiles(dev, keys, "value", {"intensity_mad": 0.5}, weight="n"), list(keys))
     varies = F.col("intensity_max") > F.col("intensity_min")

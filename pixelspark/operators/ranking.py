@@ -104,7 +104,8 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, qs: Mapping[str,
     keys = list(keys)
     counts = value_counts(df, keys, value) if weight is None else (
         df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(weight).alias("n")))
-    counts = counts.select(*keys, F.col(value).alias("_v"), F.col("n").alias("_n"), order_code(F.col(value)).alias("_code"))
+    counts = counts.select(*keys, F.col(value).alias("_v"), F.col("n").alias("_n"),
+                           F.coalesce(order_code(F.col(value)), F.lit(0).cast("bigint")).alias("_code"))  # not NULL: both reads stay alike
     steps = counts.groupBy(*keys, "_code").agg(F.sum("_n").alias("_rows"))
     upto = Window.partitionBy(*keys).orderBy("_code").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     steps = steps.withColumns({"_below": F.sum("_rows").over(upto) - F.col("_rows"), "_total": F.sum("_rows").over(Window.partitionBy(*keys))})
