@@ -95,43 +95,28 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, qs: Mapping[str,
                 weight: str | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles, one named column per entry of ``qs``; in fixed memory, whatever the values.
 
-    Distinct values are counted, spread over all tasks by (group, value). Their counts are added up by order code, a few
-    thousand rows per octave of values and group, which tell in which code each wanted rank lies; only values with these
-    codes are put in order, each code by itself. So no task sorts a group, and there is one way for all data.
+    Distinct values are counted, spread over all tasks by (group, value), and put in order within each order code; the totals of
+    the codes, a few thousand rows per octave of values and group, give what lies below. So no task sorts a group, and there is
+    one way for all data.
     """
     if any(not 0.0 <= q <= 1.0 for q in qs.values()):
         raise ValueError("quantiles lie in [0, 1]")
-    keys = list(keys)
     counts = value_counts(df, keys, value) if weight is None else (
         df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(weight).alias("n")))
-    counts = counts.select(*keys, F.col(value).alias("_v"), F.col("n").alias("_n"),
-                           F.coalesce(order_code(F.col(value)), F.lit(0).cast("bigint")).alias("_code"))  # not NULL: both reads stay alike
-    steps = counts.groupBy(*keys, "_code").agg(F.sum("_n").alias("_rows"))
-    upto = Window.partitionBy(*keys).orderBy("_code").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = steps.withColumns({"_below": F.sum("_rows").over(upto) - F.col("_rows"), "_total": F.sum("_rows").over(Window.partitionBy(*keys))})
-
-    def wanted(total: Column) -> list[tuple[Column, Column, Column]]:
-        return [(F.floor(pos), F.ceil(pos), pos - F.floor(pos)) for pos in (F.lit(q) * (total - 1) for q in qs.values())]
-
-    def holds(rank: Column, below: Column, n: Column) -> Column:
-        return (below <= rank) & (rank < below + n)
-
-    some = F.lit(False)
-    for low, high, _ in wanted(F.col("_total")):
-        some |= holds(low, F.col("_below"), F.col("_rows")) | holds(high, F.col("_below"), F.col("_rows"))
-    key = [f"_key_{i}" for i in range(len(keys))]
-    hit = steps.where(some).select(*[F.col(k).alias(n) for k, n in zip(keys, key)], F.col("_code").alias("_at"), "_below", "_total")
-    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, key)]
-    rows = counts.join(hit, [*same, F.col("_code") == F.col("_at")])
-    inside = Window.partitionBy(*keys, "_code").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_first", F.col("_below") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    aggs, out = [F.max("_total").alias("_total")], []
-    for i, (low, high, share) in enumerate(wanted(F.col("_total"))):
-        for tag, rank in ((f"_lo{i}", low), (f"_hi{i}", high)):
-            aggs.append(F.max(F.when(holds(rank, F.col("_first"), F.col("_n")), F.col("_v"))).alias(tag))
+    # the keys in one struct, which is never NULL, and a code that is not either: both reads of the counts stay alike
+    counts = counts.select(F.struct(*keys).alias("_g"), F.col(value).alias("_v"), F.col("n").alias("_n"),
+                           F.coalesce(order_code(F.col(value)), F.lit(0).cast("bigint")).alias("_code"))
+    ranks = running_sum(counts, ["_g"], ["_v"], F.col("_n"), "_code", "_below")
+    aggs, out = [], []
+    for i, (name, q) in enumerate(qs.items()):
+        pos = F.lit(q) * (F.col("_below_total") - 1)
+        for tag, k in ((f"_lo{i}", F.floor(pos)), (f"_hi{i}", F.ceil(pos))):
+            hit = (F.col("_below") <= k) & (k < F.col("_below") + F.col("_n"))
+            aggs.append(F.max(F.when(hit, F.col("_v"))).alias(tag))
+        aggs.append(F.max(pos - F.floor(pos)).alias(f"_f{i}"))
         a, b = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        out.append(F.when(a == b, a).otherwise(a + share * (b - a)).cast("double").alias(list(qs)[i]))
-    return rows.groupBy(*keys).agg(*aggs).select(*keys, *out)
+        out.append(F.when(a == b, a).otherwise(a + F.col(f"_f{i}") * (b - a)).cast("double").alias(name))
+    return ranks.groupBy("_g").agg(*aggs).select("_g.*", *out)
 
 
 def average_rank(df: DataFrame, keys: Sequence[str], value: str = "value", out: str = "rank") -> DataFrame:
