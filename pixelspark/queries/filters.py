@@ -3,7 +3,6 @@
 import math
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from pixelspark.functions import kernels as K
 from pixelspark.operators import stencil as st
