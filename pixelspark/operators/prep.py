@@ -58,13 +58,14 @@ def match_names(files: DataFrame, conditions: DataFrame, name: str = "name",
 
     A name is cut into its substrings of the lengths that conditions have, so the match is an
     equality join and no name meets every condition. A file name holds at most 255 characters,
-    which bounds both the lengths and the substrings.
+    which bounds both the lengths and the substrings. Names are made distinct before they are cut, and equal substrings of a
+    name are dropped inside its row, so no substring is put into a table of all substrings.
     """
     lengths = conditions.agg(F.sort_array(F.collect_set(F.length(condition)))).scalar()
     per_length = F.explode(lengths)
-    cut = (files.select(name, per_length.alias("_len")).where("_len between 0 and length(%s)" % name)
-           .select(name, F.explode(F.sequence(F.lit(1), F.length(name) - F.col("_len") + 1)).alias("_at"), "_len")
-           .select(name, F.col(name).substr(F.col("_at"), F.col("_len")).alias(condition)).distinct())
+    places = F.sequence(F.lit(1), F.length(name) - F.col("_len") + 1)
+    cut = (files.select(name).distinct().select(name, per_length.alias("_len")).where("_len between 0 and length(%s)" % name)
+           .select(name, F.explode(F.array_distinct(F.transform(places, lambda at: F.col(name).substr(at, F.col("_len"))))).alias(condition)))
     return conditions.select(condition).join(cut, condition)
 
 
