@@ -2,13 +2,14 @@
 
 A word's vector is the sum of hashed embeddings of the word and of its first four and five letters. Filters over one, two
 and three words are pooled by their maximum over the whole text, and a logistic unit reads the pooled values. The
-model is trained in numpy on a bounded sample of labelled texts. Thresholds are chosen for each language from the scores
+model is trained in numpy, in one task, on a bounded sample of labelled texts. Thresholds are chosen for each language from the scores
 of all labelled texts that are not held out, counted in Spark. A score depends on the text alone; the language only
 chooses the threshold of ``flagged``.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -163,7 +164,7 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
-    """Train on a bounded sample of labelled rows that are not held out; None without both labels.
+    """Train on a bounded sample of labelled rows that are not held out, in one task; None without both labels. Only the model reaches the driver.
 
     The sample takes, by hash of the id, SAMPLE_TOXIC and SAMPLE_CLEAN labelled ids and of their texts those of at most
     SAMPLE_CHARS characters. Weights restore the share of each label. The thresholds come from all labelled rows that are
@@ -179,13 +180,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), lang.cast("string").alias("lang")).where(F.length("text").between(1, SAMPLE_CHARS))
     rows = (texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "lang")).alias("t"))
-            .select("doc_id", "toxic", "t.*").toPandas().sort_values("doc_id", ignore_index=True))
-    y = rows["toxic"].to_numpy(np.int64)
-    if not 0 < y.sum() < len(y):
+            .select("doc_id", "toxic", "t.text"))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        sample = pa.Table.from_batches(held).sort_by("doc_id")
+        y = sample.column("toxic").to_numpy().astype(np.int64)
+        if 0 < y.sum() < len(y):
+            weight = np.where(y == 1, total[1] / (y == 1).sum(), total[0] / (y == 0).sum())
+            texts = sample.column("text").cast(pa.large_string()).combine_chunks()
+            made = train(texts, y, weight / weight.mean())
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(vars(made))], pa.binary())], names=["model"])
+
+    got = rows.repartition(1).mapInArrow(learn, "model binary").collect()
+    if not got:
         return None
-    weight = np.where(y == 1, total[1] / (y == 1).sum(), total[0] / (y == 0).sum())
-    weight = weight / weight.mean()
-    model = train(pa.array(rows["text"], pa.large_string()), y, weight)
+    model = ToxicModel(**pickle.loads(got[0]["model"]))
     calibrate(model, docs, known)
     return model
 
