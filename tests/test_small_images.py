@@ -61,3 +61,15 @@ def test_tails_of_whole_and_of_spread_groups(images, monkeypatch, stat):
 def test_small_slices_take_one_exchange_for_their_tails(images):
     plan = measure.tails_whole(images, 10, 90, "mean", ["image_id", "channel"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_intensity_of_whole_and_of_spread_objects(spark, images, monkeypatch):
+    px = images.withColumnRenamed("image_id", "label").selectExpr("1L AS image_id", "label", "channel", "value")
+    px = px.unionByName(spark.createDataFrame([(2, 1, 0, 4.0)] * 3 + [(2, 2, 0, None)], "image_id long, label long, channel int, value double"))
+    run = lambda: _rows(measure.object_intensity(px))
+    whole = run()
+    assert len(whole) == 13
+    monkeypatch.setattr(ranking, "GROUP_ROWS", 20)
+    assert whole == run()
+    plan = measure._intensity_whole(px, ["image_id", "label", "channel"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
