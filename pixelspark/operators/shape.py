@@ -92,15 +92,15 @@ def topology(labels: DataFrame, keys: Sequence[str] = tuple(IL), connectivity: i
 
 
 def perimeter_weights(a: np.ndarray) -> np.ndarray:
-    """What each pixel of a tile of labels adds to the perimeter of its object; reaches two pixels far.
+    """What each pixel of a tile of labels (the last two axes) adds to the perimeter of its object; reaches two pixels far.
 
     A border pixel weighs 1, sqrt(2) or their mean by how it touches other border pixels (4-neighbour border).
     """
-    p = np.pad(a, 2)
+    p = np.pad(a, ((0, 0),) * (a.ndim - 2) + ((2, 2), (2, 2)))
 
     def at(src, dy, dx, margin):
-        h, w = src.shape
-        return src[margin + dy:h - margin + dy, margin + dx:w - margin + dx]
+        h, w = src.shape[-2:]
+        return src[..., margin + dy:h - margin + dy, margin + dx:w - margin + dx]
 
     inner = at(p, 0, 0, 1)
     border = np.zeros(inner.shape, bool)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from pixelspark.functions import kernels as K
-from pixelspark.operators import measure, ranking
+from pixelspark.operators import measure, outline, ranking, shape, tensors
 from pixelspark.operators import stencil as st
 
 
@@ -73,3 +73,45 @@ def test_intensity_of_whole_and_of_spread_objects(spark, images, monkeypatch):
     assert whole == run()
     plan = measure._intensity_whole(px, ["image_id", "label", "channel"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_tensors_and_perimeters_of_a_stack_are_those_of_its_tiles():
+    rng = np.random.default_rng(5)
+    a, labels = rng.normal(size=(20, 7, 6)), rng.integers(0, 3, (20, 7, 6)).astype(float)
+    for f, b in ((lambda a: np.stack(tensors.hessian_fields(a, [(1.0, 1.0)])), a), (lambda a: np.stack(tensors.tensor_fields(a, [(1.0, 1.0)])), a),
+                 (lambda a: shape.perimeter_weights(a)[None], labels)):
+        np.testing.assert_array_equal(f(b), np.stack([f(t) for t in b], 1))
+
+
+def test_items_of_a_stack_are_those_of_its_tiles():
+    rng = np.random.default_rng(6)
+    labels = rng.integers(0, 3, (60, 9, 8)).astype(float)
+    labels[0], labels[1] = 0, 0
+    labels[1, 1:6, 1:6], labels[1, 2:5, 2:5], labels[1, 3, 3] = 1, 0, 2
+    got = np.stack(outline.stack_items(labels), 1)
+    want = np.concatenate([np.stack(outline.label_items(t, 0, 0), 1) + [[k * outline.OBJECT, 0, 0, 0, 0, 0]] for k, t in enumerate(labels)])
+    want = want[np.isin(want[:, 1], (outline.CLOSED, outline.VERTEX))]
+    assert sorted(map(tuple, got.tolist())) == sorted(map(tuple, want.tolist()))
+    assert got[(got[:, 0] == outline.OBJECT + 1) & (got[:, 1] == outline.CLOSED), 5] == 9
+
+
+def test_hulls_of_many_objects_are_those_of_each():
+    rng = np.random.default_rng(9)
+    of = np.sort(rng.integers(0, 40, 2000))
+    y, x = rng.integers(-1, 60, 2000), rng.integers(-1, 60, 2000)
+    t = np.linspace(0, 2 * np.pi, 4000)
+    of, y, x = np.append(of, np.full(4000, 99)), np.append(y, np.rint(9000 * np.sin(t)).astype(int)), np.append(x, np.rint(9000 * np.cos(t)).astype(int))
+    got = outline.hulls(of, y, x)
+    for k in np.unique(of):
+        p, q = y[of == k] / 2, x[of == k] / 2
+        far = max(((p - a) ** 2 + (q - b) ** 2).max() for a, b in zip(p, q)) ** 0.5
+        assert got[int(k)] == outline.hulls(of[of == k], y[of == k], x[of == k])[int(k)] and abs(got[int(k)][1] - far) < 1e-9
+    square = outline.hulls(np.zeros(4, int), np.array([0, 0, 6, 6]), np.array([0, 6, 0, 6]))
+    assert square == {0: (16, 18 ** 0.5)}
+
+
+def test_objects_of_small_images_do_not_depend_on_the_tiles(images):
+    labels = images.where("channel = 0 and value >= 2 and image_id is not null").selectExpr("image_id", "y", "x", "cast(1 + x div 3 AS int) AS label").distinct()
+    run = lambda block: _rows(tensors.object_partials(images, labels, hessian=[(0.5, 0.5)], tensor=[(0.5, 0.5)], smooth=0.3, intensity=True, erosion=0,
+                                                      perimeter=shape.perimeter_weights, block=block, outlines=True))
+    assert run(256) == run(4)
