@@ -8,7 +8,8 @@ have may be split between two pieces; these are stitched, as are groups that beg
 
 A task works through slices of whole texts and writes a row per slice, with the links of each document as counts over the
 slice's distinct id pairs. Pair counts of the corpus are grouped from those, each slice asks for those it holds, and the
-documents get their sums. Nothing is broadcast but the vocabularies.
+documents get their sums. Nothing is broadcast but the vocabularies. What a slice has found goes through Spark in packed form,
+and the counts that it has asked for come back as rows in order behind it: no step there gathers a group in memory.
 """
 
 from __future__ import annotations
@@ -27,10 +28,11 @@ from pixelspark.llm.byte_bpe import units
 from pixelspark.llm.common import list_array, per_worker, ragged, slices, stored, strings
 from pixelspark.llm.words import byte_letters
 
-#: Merged ends in a piece; bytes of text in a slice; bytes of units and ids that an encoder keeps.
+#: Merged ends in a piece; bytes of text in a slice; bytes of units and ids that an encoder keeps; bytes of a row group of slices.
 WORK = 1 << 16
 SLICE = 1 << 20
 STORE_BYTES = 24 << 20
+GROUP_BYTES = 8 << 20
 #: Words encoded in one call.
 JOINED = 2000
 SPACE = "▁"
@@ -245,35 +247,68 @@ def align(coder: Aligner, texts: pa.Array, work: int = WORK) -> dict:
     pair = pa.array(np.concatenate(keys)).dictionary_encode()
     code = pair.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     pairs = pair.dictionary.to_numpy()
-    of = pa.array(np.concatenate(docs) * max(1, len(pairs)) + code).value_counts()
-    where, times = of.field(0).to_numpy(), of.field(1).to_numpy()
+    of = pa.array(np.concatenate(docs) * len(pairs) + code).value_counts()
+    order = np.argsort(of.field(0).to_numpy())
     sha = np.full(len(texts), "", object)
     sha[some] = digest.out
     return {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "sha": sha, "pairs": pairs,
-            "totals": np.bincount(code, minlength=len(pairs)), "doc": where // max(1, len(pairs)), "pair": where % max(1, len(pairs)), "times": times}
+            "totals": np.bincount(code, minlength=len(pairs)), "where": of.field(0).to_numpy()[order], "times": of.field(1).to_numpy()[order]}
 
 
-PER_DOC = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "sha")
-SLICE_ROW = ("slice long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, sha array<string>, "
-             "pairs array<long>, totals array<long>, doc array<int>, pair array<int>, times array<int>")
+def packed(columns: dict[str, pa.Array]) -> bytes:
+    """A record batch of its own, compressed."""
+    batch, sink = pa.RecordBatch.from_pydict(columns), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: pa.Buffer) -> pa.RecordBatch:
+    with pa.ipc.open_stream(data) as got:
+        return got.read_next_batch()
+
+
+def narrow(x: np.ndarray) -> pa.Array:
+    """Numbers from zero up, in as few bytes as the largest needs."""
+    return pa.array(x.astype(np.min_scalar_type(int(x.max(initial=0)))))
+
+
+def packed_links(where: np.ndarray, times: np.ndarray) -> bytes:
+    """Links in ascending order of ``where``, document * number of pairs + pair: the steps between them, and how often each."""
+    return packed({"step": narrow(np.diff(where, prepend=0)), "times": narrow(times)})
+
+
+def link_sums(links: pa.RecordBatch, n_docs: int, count: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(best links, sum of counts) of each document; ``count`` and ``best`` of the slice's pairs."""
+    n_best, sums = np.zeros(n_docs, np.int64), np.zeros(n_docs, np.int64)
+    if links.num_rows:
+        doc, pair = np.divmod(np.cumsum(links.column(0).to_numpy().astype(np.int64)), len(count))
+        times = links.column(1).to_numpy().astype(np.int64)
+        np.add.at(n_best, doc, times * best[pair])
+        np.add.at(sums, doc, times * count[pair])
+    return n_best, sums
+
+
+PER_DOC = ("n_a", "n_b", "n_groups", "n_links", "sha")
+SLICE_ROW = "slice long, pairs array<long>, totals array<long>, docs binary, links binary"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
 def aligned_slices(docs: DataFrame, model_a: bytes, pattern: str, model_b: bytes, work: int = WORK) -> DataFrame:
-    """A row per slice of texts, SLICE_ROW."""
+    """A row per slice of texts, SLICE_ROW. ``docs`` holds doc_id and PER_DOC, ``links`` is as ``packed_links`` gives it."""
     shipped = docs.sparkSession.sparkContext.broadcast((model_a, pattern, model_b))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = Aligner.of(*shipped.value), TaskContext.get().partitionId()
         for made, batch in enumerate(slices(batches, "text", SLICE)):
             got = align(coder, strings(batch), work)
-            row = {"slice": pa.array([part << 32 | made]), "doc_id": pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64()))}
-            for name in ("n_a", "n_b", "n_groups", "n_links", "pairs", "totals"):
+            row = {"slice": pa.array([part << 32 | made])}
+            for name in ("pairs", "totals"):
                 row[name] = list_array(got[name].astype(np.int64), np.array([len(got[name])]))
-            row["sha"] = pa.array([got["sha"].tolist()], pa.list_(pa.string()))
-            for name in ("doc", "pair", "times"):
-                row[name] = list_array(got[name].astype(np.int32), np.array([len(got[name])]))
-            yield pa.RecordBatch.from_pydict({name.split()[0]: row[name.split()[0]] for name in SLICE_ROW.split(", ")})
+            ids = batch.column(0).take(pa.array(np.arange(batch.num_rows)))
+            row["docs"] = pa.array([packed({"doc_id": ids} | {name: pa.array(got[name]) for name in PER_DOC})], pa.binary())
+            row["links"] = pa.array([packed_links(got["where"], got["times"])], pa.binary())
+            yield pa.RecordBatch.from_pydict(row)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SLICE_ROW)
 
@@ -293,26 +328,32 @@ def alignment(docs: DataFrame, model_a: bytes, pattern: str, model_b: bytes, wor
     no tokens: zeros and ''. Repeated rows give repeated rows and count as often. An empty table gives an empty result; other
     columns are not read.
     """
-    parts = stored(aligned_slices(docs, model_a, pattern, model_b, work), "slices")
+    parts = stored(aligned_slices(docs, model_a, pattern, model_b, work), "slices", GROUP_BYTES)
     table = stored(pair_counts(parts), "pairs")
-    asked = parts.select("slice", F.posexplode("pairs").alias("at", "pair"))
-    found = (asked.join(table, "pair").groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("at", "count", "best"))).alias("x"))
-             .select("slice", F.transform("x", lambda x: x["count"]).alias("count"), F.transform("x", lambda x: x["best"]).alias("best")))
+    found = parts.select("slice", F.posexplode("pairs").alias("at", "pair")).join(table, "pair").select("slice", "at", "count", "best")
+    heads = parts.select("slice", F.lit(-1).alias("at"), "docs", "links")
+
+    def closed(head: pa.RecordBatch, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        docs, links = (unpacked(head.column(name)[0].as_buffer()) for name in ("docs", "links"))
+        count, best = (np.concatenate([np.zeros(0, np.int64), *(r.column(name).to_numpy(zero_copy_only=False) for r in rows)]).astype(np.int64)
+                       for name in ("count", "best"))
+        n_best, sums = link_sums(links, docs.num_rows, count, best)
+        return pa.RecordBatch.from_arrays([*docs.columns[:-1], pa.array(n_best), pa.array(sums), docs.columns[-1]],
+                                          names=[x.split()[0] for x in RESULT.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, rows = None, []
         for batch in batches:
-            for i in range(batch.num_rows):
-                value = {n: batch.column(k)[i].values for k, n in enumerate(batch.schema.names) if n != "slice" and batch.column(k)[i].is_valid}
-                n = len(value["doc_id"])
-                doc, pair, times = (value[x].to_numpy() for x in ("doc", "pair", "times"))
-                best = sums = np.zeros(n, np.int64)
-                if len(doc):
-                    count, top = value["count"].to_numpy(), value["best"].to_numpy(zero_copy_only=False).astype(bool)
-                    best, sums = np.zeros(n, np.int64), np.zeros(n, np.int64)
-                    np.add.at(best, doc[top[pair]], times[top[pair]])
-                    np.add.at(sums, doc, times * count[pair])
-                yield pa.RecordBatch.from_arrays([*[value[x] for x in PER_DOC[:-1]], pa.array(best), pa.array(sums), value["sha"]],
-                                                 names=[x.split()[0] for x in RESULT.split(", ")])
-
-    return (parts.select("slice", *PER_DOC, "doc", "pair", "times").join(found, "slice", "left")
-            .select(*PER_DOC, "doc", "pair", "times", "count", "best").mapInArrow(run, RESULT))
+            first = np.flatnonzero(batch.column("at").to_numpy() < 0).tolist()
+            for a, b in zip([-1, *first], [*first, batch.num_rows]):
+                if a >= 0:
+                    if head is not None:
+                        yield closed(head, rows)
+                    head, rows = batch.slice(a, 1), []
+                if a + 1 < b:
+                    rows.append(batch.slice(a + 1, b - a - 1).select(["count", "best"]))
+        if head is not None:
+            yield closed(head, rows)
+
+    return (heads.unionByName(found, allowMissingColumns=True).repartition("slice").sortWithinPartitions("slice", "at")
+            .mapInArrow(run, RESULT))

@@ -29,11 +29,15 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back; cuts lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back; cuts lineage, survives lost executors.
+
+    ``group_bytes`` bounds a row group where rows are large: a reader decodes up to 4,096 rows of one at once.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    small = {"parquet.block.size": group_bytes, "parquet.page.size.row.check.min": 1} if group_bytes else {}
+    df.write.options(**small).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
