@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixelspark.llm.byte_bpe import units
-from pixelspark.llm.common import list_array, per_worker, ragged, slices, stored, strings
+from pixelspark.llm.common import arrow_batches, list_array, per_worker, ragged, slices, stored, strings
 from pixelspark.llm.words import byte_letters
 
-#: Merged ends in a piece; bytes of text in a slice; bytes of units and ids that an encoder keeps; bytes of a row group of slices.
+#: Merged ends in a piece; bytes of text in a slice; bytes of units and ids that an encoder keeps;
+#: bytes of texts in a batch, several slices; bytes of a row group of slices.
 WORK = 1 << 16
 SLICE = 1 << 20
 STORE_BYTES = 24 << 20
+BATCH_BYTES = 8 << 20
 GROUP_BYTES = 8 << 20
 #: Words encoded in one call.
 JOINED = 2000
@@ -328,7 +330,8 @@ def alignment(docs: DataFrame, model_a: bytes, pattern: str, model_b: bytes, wor
     no tokens: zeros and ''. Repeated rows give repeated rows and count as often. An empty table gives an empty result; other
     columns are not read.
     """
-    parts = stored(aligned_slices(docs, model_a, pattern, model_b, work), "slices", GROUP_BYTES)
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        parts = stored(aligned_slices(docs, model_a, pattern, model_b, work), "slices", GROUP_BYTES)
     table = stored(pair_counts(parts), "pairs")
     found = parts.select("slice", F.posexplode("pairs").alias("at", "pair")).join(table, "pair").select("slice", "at", "count", "best")
     heads = parts.select("slice", F.lit(-1).alias("at"), "docs", "links")

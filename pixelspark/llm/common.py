@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
@@ -41,6 +42,18 @@ def stored(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Plans made inside hand rows to Python in batches of about ``limit`` bytes; a batch lies in the JVM and in the worker, twice while it grows."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, limit)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def per_worker(key: tuple, make: Callable[[], Any]) -> Any:
     """One object per Python worker process; the tasks that reuse the worker share it.
 

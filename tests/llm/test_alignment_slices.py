@@ -46,6 +46,15 @@ def test_no_step_gathers_a_slice_in_memory(spark):
     assert "collect_list" not in plan and "ObjectHashAggregate" not in plan
 
 
+def test_batches_of_texts_are_bounded(spark, monkeypatch, stored_slices):
+    """A batch was 10,000 rows of any length; the session's own setting is as before behind it."""
+    monkeypatch.setattr(alignment, "BATCH_BYTES", 20_000, raising=False)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    aligned(spark, TEXTS * 6).collect()
+    assert stored_slices["slices"].count() > 10 and spark.conf.get(key) == before
+
+
 @pytest.mark.parametrize("rows", [1, 7, 10_000])
 def test_counts_of_a_slice_in_several_batches(spark, monkeypatch, rows):
     monkeypatch.setattr(alignment, "SLICE", 3000)
